@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lossloom.functions.delinquency import months_past_due, usable_balance
 from lossloom.operators.durable import small_side
+from lossloom.operators.windows import by_loan
 from lossloom.params import FeatureSettings
 
 ID_COLUMNS = ["loan_id", "reporting_period", "vintage", "state"]
@@ -18,7 +19,6 @@ MASTER_COLUMNS = ["loan_id", "fico_orig", "ltv_orig", "dti_orig", "upb_orig", "i
 MONTHLY_COLUMNS = ["loan_id", "reporting_period", "loan_age", "upb_current", "int_rate_current",
                    "delq_status", "total_principal_current", "vintage"]
 
-BY_LOAN = W.partitionBy("loan_id").orderBy("reporting_period")
 
 
 def loan_month_panel(monthly: DataFrame, master: DataFrame,
@@ -41,22 +41,22 @@ def with_features(panel: DataFrame, s: FeatureSettings = FeatureSettings()) -> D
     widest = max(s.windows)
 
     def last_rows(n: int):
-        return BY_LOAN.rowsBetween(-(n - 1), 0)
+        return by_loan().rowsBetween(-(n - 1), 0)
 
     levels = panel.withColumns({"delq_num": status, "_balance": balance})
     paid = F.col("total_principal_current")
     new = {
-        "months_on_book": (F.row_number().over(BY_LOAN) - 1).cast("bigint"),
+        "months_on_book": (F.row_number().over(by_loan()) - 1).cast("bigint"),
         "current_ltv": F.when(sized, F.col("ltv_orig") * F.col("_balance") / F.col("upb_orig")),
         "upb_paydown_ratio": F.when(sized, 1 - F.col("_balance") / F.col("upb_orig")),
         "rate_spread_vs_orig": F.col("int_rate_current") - F.col("int_rate_orig"),
         "cum_principal_paid": F.when(
             paid.isNotNull(),
-            F.sum(paid).over(BY_LOAN.rowsBetween(W.unboundedPreceding, 0))),
+            F.sum(paid).over(by_loan().rowsBetween(W.unboundedPreceding, 0))),
         f"balance_change_{s.balance_months}m":
-            F.col("_balance") / F.lag("_balance", s.balance_months).over(BY_LOAN) - 1,
+            F.col("_balance") / F.lag("_balance", s.balance_months).over(by_loan()) - 1,
         f"delq_change_{s.delq_months}m":
-            (F.col("delq_num") - F.lag("delq_num", s.delq_months).over(BY_LOAN)).cast("double"),
+            (F.col("delq_num") - F.lag("delq_num", s.delq_months).over(by_loan())).cast("double"),
     }
     for n in s.windows:
         new[f"max_delq_{n}m"] = F.max("delq_num").over(last_rows(n))

@@ -9,22 +9,21 @@ from pyspark.sql import functions as F
 from lossloom.functions.dates import month_number
 from lossloom.functions.delinquency import code_in
 from lossloom.operators.durable import small_side
+from lossloom.operators.windows import by_loan, whole_loan
 from lossloom.params import EventCodes
 
-BY_LOAN = W.partitionBy("loan_id").orderBy("reporting_period")
-WHOLE_LOAN = BY_LOAN.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
 
 
 def forward_event(horizon: int, default_dpd: int):
     """1 if any of the next ``horizon`` rows of the loan is in default, 0 if none, null at the end."""
     event = (F.coalesce(F.col("delq_num"), F.lit(0)) >= default_dpd).cast("int")
-    return F.max(event).over(BY_LOAN.rowsBetween(1, horizon))
+    return F.max(event).over(by_loan().rowsBetween(1, horizon))
 
 
 def months_left():
     """Calendar months between the row and the last row of its loan."""
     here = month_number("reporting_period")
-    return F.max(here).over(WHOLE_LOAN) - here
+    return F.max(here).over(whole_loan()) - here
 
 
 def label_defaults(features: DataFrame, horizon: int, default_dpd: int) -> DataFrame:

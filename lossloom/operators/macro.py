@@ -7,21 +7,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lossloom.functions.dates import month_start
+from lossloom.operators.windows import by_month
 
-# The windows here run over one row per calendar month, a number bounded by the calendar.
-BY_MONTH = W.partitionBy().orderBy("reporting_period")
 YEAR_ON_YEAR = {"hpi": "hpi_yoy", "real_gdp": "gdp_yoy", "cpi": "cpi_yoy"}
 
 
 def forward_fill(monthly: DataFrame, columns: list[str]) -> DataFrame:
-    so_far = BY_MONTH.rowsBetween(W.unboundedPreceding, 0)
+    so_far = by_month().rowsBetween(W.unboundedPreceding, 0)
     return monthly.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
 
 
 def year_on_year(monthly: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Percent change over 12 rows of a gap-free monthly table, ``source -> new name``."""
     return monthly.withColumns({
-        new: (F.try_divide(F.col(c), F.lag(c, 12).over(BY_MONTH)) - 1) * 100
+        new: (F.try_divide(F.col(c), F.lag(c, 12).over(by_month())) - 1) * 100
         for c, new in columns.items() if c in monthly.columns})
 
 

@@ -14,6 +14,7 @@ from lossloom.functions.delinquency import code_in, usable_balance
 from lossloom.operators import ranks
 from lossloom.operators.durable import durable, small_side
 from lossloom.operators.regression import LinearFit, clipped
+from lossloom.operators.windows import by_month
 from lossloom.params import EventCodes, LgdSettings
 
 # Cost and proceeds fields of a liquidation.
@@ -130,7 +131,7 @@ def rolling_windows(losses: DataFrame, months: int = 24) -> DataFrame:
     spine = monthly.agg(F.min("month").alias("a"), F.max("month").alias("b")).filter(
         F.col("a").isNotNull()).select(
         F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("month"))
-    frame = W.partitionBy().orderBy("month")  # one row per calendar month
+    frame = by_month("month")
     last = frame.rowsBetween(-(months - 1), 0)
     return (
         spine.join(monthly, "month", "left")

@@ -96,3 +96,46 @@ MONTHLY = ["loan_id", "reporting_period", "loan_age", "upb_current", "int_rate_c
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full_panel(spark, sf_dir).select(*MONTHLY)
+
+
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Macro series ``(series, day, value)`` from shipments: daily ones, and output by quarter."""
+    day = F.col("l_shipdate").cast("date")
+
+    def one(name, value, when=day):
+        return F.struct(F.lit(name).alias("series"), when.alias("day"), value.alias("value"))
+
+    return read(spark, sf_dir, "lineitem").select(F.explode(F.array(
+        one("hpi", F.col("l_extendedprice")),
+        one("treasury_10y", 100 * F.col("l_discount")),
+        one("mortgage_30y", 100 * F.col("l_tax")),
+        one("unemployment", F.when(F.col("l_returnflag") == "R", 100.0).otherwise(0.0)),
+        one("real_gdp", F.col("l_quantity"), F.trunc(day, "quarter")),
+    )).alias("o")).select("o.*")
+
+
+SERIES = ["hpi", "treasury_10y", "mortgage_30y", "unemployment", "real_gdp"]
+
+
+def amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Liquidation costs and proceeds per order, spread over the reported fields."""
+    cost = F.col("l_extendedprice") * F.col("l_tax")
+    proceed = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    return read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("loan_id")).agg(
+        F.sum(F.when(flag == "A", cost)).alias("foreclosure_costs"),
+        F.sum(F.when(flag == "N", cost)).alias("property_preservation_and_repair_costs"),
+        F.sum(F.when(flag == "R", cost)).alias("asset_recovery_costs"),
+        F.sum(F.when(status == "F", proceed)).alias("net_sales_proceeds"),
+        F.sum(F.when(status == "O", proceed)).alias("other_foreclosure_proceeds"))
+
+
+def monthly_with_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly rows whose last month carries the liquidation fields."""
+    rows = full_panel(spark, sf_dir)
+    rows = rows.withColumn("upb_at_the_time_of_removal", F.when(
+        F.col("zero_balance_code").isNotNull() & (F.col("loan_id") % 4 == 0),
+        F.col("upb_orig") * 0.9))
+    exits = rows.filter(F.col("zero_balance_code").isNotNull())
+    return exits.select(*MONTHLY, "upb_at_the_time_of_removal").join(
+        amounts(spark, sf_dir), "loan_id", "left")
