@@ -325,11 +325,12 @@ def p8(spark, sf):
         F.count_if(delinquency.at_least("delq_status", 3)).alias("late90"))
 
 
-@query("p9_usable_balance", digest_sql("balance", "@numbered", *CELL))
+@query("p9_usable_balance", digest_sql("root", "(select *, sqrt(balance) as root from @numbered)",
+                                       *CELL))
 def p9(spark, sf):
     rows = tables.full_panel(spark, sf).withColumn(
-        "balance", delinquency.usable_balance("upb_current"))
-    return digest(rows, "balance", *CELL)
+        "root", F.sqrt(delinquency.usable_balance("upb_current")))
+    return digest(rows, "root", *CELL)
 
 
 for _name, _column in (("p10_current_ltv", "current_ltv"), ("p11_paydown_ratio", "upb_paydown_ratio"),
