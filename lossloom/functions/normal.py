@@ -7,6 +7,7 @@ Wichura's algorithm AS 241 (PPND16) for the quantile. Both are good to about 1e-
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -48,28 +49,43 @@ def _poly(coefficients: list[float], x: Column) -> Column:
     return reduce(lambda acc, c: acc * x + F.lit(c), coefficients[1:], F.lit(coefficients[0]))
 
 
+def _bind(x: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(x)`` with ``x`` evaluated once: a lambda variable stands for it, so formulas that use
+    it dozens of times do not copy its expression (or a subquery in it) dozens of times."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
 def normal_cdf(x: Column) -> Column:
-    z = F.abs(x)
-    bell = F.exp(-z * z / 2)
-    near = bell * _poly(CDF_NUM, z) / _poly(CDF_DEN, z)
-    far = z + F.lit(0.65)
-    for step in (4.0, 3.0, 2.0, 1.0):
-        far = z + F.lit(step) / far
-    far = bell / far / ROOT_TWO_PI
-    tail = F.when(z > 37, F.lit(0.0)).when(z < CDF_SPLIT, near).otherwise(far)
-    return F.when(x > 0, 1 - tail).otherwise(tail)
+    def tail(z: Column) -> Column:
+        bell = F.exp(-z * z / 2)
+        near = bell * _poly(CDF_NUM, z) / _poly(CDF_DEN, z)
+        far = z + F.lit(0.65)
+        for step in (4.0, 3.0, 2.0, 1.0):
+            far = z + F.lit(step) / far
+        far = bell / far / ROOT_TWO_PI
+        return F.when(z > 37, F.lit(0.0)).when(z < CDF_SPLIT, near).otherwise(far)
+
+    return _bind(x, lambda v: F.when(v > 0, 1 - _bind(F.abs(v), tail))
+                 .otherwise(_bind(F.abs(v), tail)))
 
 
 def normal_quantile(p: Column) -> Column:
     """Inverse of :func:`normal_cdf` for 0 < p < 1."""
-    q = p - 0.5
-    mid = F.lit(0.180625) - q * q
-    centre = q * _poly(Q_MID_NUM, mid) / _poly(Q_MID_DEN, mid)
-    r = F.sqrt(-F.ln(F.when(q < 0, p).otherwise(1 - p)))
-    near, far = r - 1.6, r - 5.0
-    tail = F.when(r <= 5, _poly(Q_NEAR_NUM, near) / _poly(Q_NEAR_DEN, near)).otherwise(
-        _poly(Q_FAR_NUM, far) / _poly(Q_FAR_DEN, far))
-    return F.when(F.abs(q) <= 0.425, centre).otherwise(F.when(q < 0, -tail).otherwise(tail))
+    def centre(q: Column) -> Column:
+        return _bind(F.lit(0.180625) - q * q,
+                     lambda m: q * _poly(Q_MID_NUM, m) / _poly(Q_MID_DEN, m))
+
+    def outer(r: Column) -> Column:
+        near, far = r - 1.6, r - 5.0
+        return F.when(r <= 5, _poly(Q_NEAR_NUM, near) / _poly(Q_NEAR_DEN, near)).otherwise(
+            _poly(Q_FAR_NUM, far) / _poly(Q_FAR_DEN, far))
+
+    def whole(v: Column) -> Column:
+        q = v - 0.5
+        size = _bind(F.sqrt(-F.ln(F.least(v, 1 - v))), outer)
+        return F.when(F.abs(q) <= 0.425, _bind(q, centre)).when(q < 0, -size).otherwise(size)
+
+    return _bind(p, whole)
 
 
 def inside_unit(p: Column) -> Column:

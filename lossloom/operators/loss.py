@@ -92,14 +92,21 @@ def _unit_losses(hazard: np.ndarray, path: tuple[float, ...], smm: float,
     return np.cumsum(h, axis=1, out=h)
 
 
+def _hazard(block: pd.DataFrame) -> np.ndarray:
+    pd12 = np.clip(block["pd12"].to_numpy(dtype=float), 0.0, 0.999999)
+    return 1.0 - (1.0 - pd12) ** (1.0 / 12.0)
+
+
+def _block_value(block: pd.DataFrame, horizon: int) -> np.ndarray:
+    return _discounted_balance(*(block[c].to_numpy(dtype=float) for c in ("upb", "rate", "term")),
+                               horizon)
+
+
 def _losses(block: pd.DataFrame, cases: list[LossCase]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """12-month and lifetime loss of each loan for each case, sharing equal scenario paths."""
     upb = block["upb"].to_numpy(dtype=float)
-    pd12 = np.clip(block["pd12"].to_numpy(dtype=float), 0.0, 0.999999)
-    hazard = 1.0 - (1.0 - pd12) ** (1.0 / 12.0)
-    longest = max(c.horizon for c in cases)
-    value = _discounted_balance(upb, block["rate"].to_numpy(dtype=float),
-                                block["term"].to_numpy(dtype=float), longest)
+    hazard = _hazard(block)
+    value = _block_value(block, max(c.horizon for c in cases))
     in_default = block["stage"].to_numpy() >= 3
     known: dict[tuple, np.ndarray] = {}
     for case in cases:
@@ -139,6 +146,27 @@ def loan_losses(loans: DataFrame, case: LossCase) -> DataFrame:
                 "ecl_12m double, ecl_lifetime double, ecl double")
 
 
+def monthly_profile(loans: DataFrame, case: LossCase) -> DataFrame:
+    """Expected loss per scenario and month over all loans, before the stage rule.
+
+    ``scenario, month, n, loss``; each block of loans emits scenarios x months partial sums.
+    """
+    loans = loans.select(*LOAN_COLUMNS[1:])
+
+    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block in _blocks(batches):
+            hazard, value = _hazard(block), _block_value(block, case.horizon)
+            for s in case.weights:
+                total = _unit_losses(hazard, case.multipliers[s], case.smm, value)
+                step = np.diff(np.nansum(total, axis=0), prepend=0.0) * case.lgd[s]
+                yield pd.DataFrame({"scenario": s, "month": range(1, case.horizon + 1),
+                                    "n": len(block), "loss": step})
+
+    partial = loans.mapInPandas(kernel, "scenario string, month int, n bigint, loss double")
+    return partial.groupBy("scenario", "month").agg(F.sum("n").alias("n"),
+                                                    F.sum("loss").alias("loss"))
+
+
 def loss_summary(losses: DataFrame) -> DataFrame:
     """Totals per stage plus the portfolio row (null stage): balance, losses and coverage."""
     return losses.rollup("stage").agg(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -49,14 +49,19 @@ def ranking_metrics(sliced: DataFrame, by: Sequence[str] = (), threshold: float
         (F.col("_bad") / n).alias("default_rate"), n.alias("n"))
 
 
-def _chosen_positions(size, max_points: int):
-    """Positions of at most ``max_points`` evenly spaced items out of ``size`` (first and last in)."""
+def _holds_chosen(first: Column, end: Column, size: Column, max_points: int) -> Column:
+    """Does [first, end) hold one of ``max_points`` evenly spaced positions out of ``size``?
+
+    Position i is the rounded i * step; only the three i around ``first / step`` can be the
+    smallest position at or after ``first``.
+    """
     step = (size - 1) / F.lit(float(max_points - 1))
-    spread = F.transform(F.sequence(F.lit(0), F.lit(max_points - 1)),
-                         lambda i: F.rint(i * step).cast("bigint"))
-    everything = F.sequence(F.lit(0).cast("bigint"),
-                            F.least(size, F.lit(max_points)).cast("bigint") - 1)
-    return F.when(size <= max_points, everything).otherwise(F.array_distinct(spread))
+    near = F.floor(F.try_divide(first, step))
+    hit = F.lit(False)
+    for shift in (-1, 0, 1):
+        at = F.rint((near + shift) * step)
+        hit = hit | ((near + shift >= 0) & (at >= first) & (at < end))
+    return F.when(size <= max_points, F.lit(True)).otherwise(F.coalesce(hit, F.lit(False)))
 
 
 def roc_points(sliced: DataFrame, by: Sequence[str] = (), max_points: int = 60) -> DataFrame:
@@ -86,7 +91,7 @@ def roc_points(sliced: DataFrame, by: Sequence[str] = (), max_points: int = 60)
         *by, F.lit(0).cast("bigint").alias("_at"), "_size",
         F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     curve = points.unionByName(origin)
-    wanted = F.array_contains(_chosen_positions(F.col("_size"), max_points), F.col("_at"))
+    wanted = _holds_chosen(F.col("_at"), F.col("_at") + 1, F.col("_size"), max_points)
     return curve.filter(wanted).select(*by, F.col("_at").alias("position"), "fpr", "tpr")
 
 
@@ -98,8 +103,7 @@ def ks_points(sliced: DataFrame, by: Sequence[str] = (), max_points: int = 60) -
     by = list(by)
     r = ranks.running_totals(sliced, by, "p", ["n", "bad", "good"])
     first, end = F.col("n_before"), F.col("n_before") + F.col("n")
-    inside = F.exists(_chosen_positions(F.col("n_total"), max_points),
-                      lambda at: (at >= first) & (at < end))
+    inside = _holds_chosen(first, end, F.col("n_total"), max_points)
     return r.filter(inside).select(
         *by, (end / F.col("n_total")).alias("pop_pct"),
         ((F.col("bad_before") + F.col("bad")) / F.greatest(F.col("bad_total"), F.lit(1)))

@@ -77,8 +77,9 @@ def ordered_factors(paths: DataFrame) -> DataFrame:
 
 
 def default_paths(paths: DataFrame, ttc_pd: Column, rho: float) -> DataFrame:
-    """Add ``pit_pd`` to factor paths."""
-    return paths.withColumn("pit_pd", point_in_time_pd(ttc_pd, F.col("z"), rho))
+    """Add ``pit_pd`` to factor paths; ``ttc_pd`` may be a scalar subquery."""
+    known = paths.withColumn("_ttc", ttc_pd)
+    return known.withColumn("pit_pd", point_in_time_pd(F.col("_ttc"), F.col("z"), rho)).drop("_ttc")
 
 
 def weighted_path(paths: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload import q_cohort, q_data, q_order, q_quality  # noqa: F401
+from workload import q_cohort, q_data, q_models, q_order, q_quality, q_risk  # noqa: F401
 from workload.registry import ORACLE, QUERIES
 
 FLAGSHIP = "a19_loss_summary"

@@ -207,9 +207,9 @@ PARTS["latest"] = """
     from @exposures) where rn = 1"""
 
 # A closed-form score stands in for a fitted model: evaluated identically by every engine.
-SCORE = ("least(9e-1, 4e-3 + 3e-2 * coalesce(delq_num, 0) + 1e-4 * (820 - fico_orig)"
+SCORE = ("round(least(9e-1, 4e-3 + 3e-2 * coalesce(delq_num, 0) + 1e-4 * (820 - fico_orig)"
          " + 2e-4 * greatest(coalesce(current_ltv, 8e1) - 60, 0)"
-         " + 2e-3 * coalesce(count_30dpd_12m, 0))")
+         " + 2e-3 * coalesce(count_30dpd_12m, 0)), 10)")
 
 PARTS["snapshot"] = f"""
   select loan_id, reporting_period, delq_num, coalesce(pd_orig, pd_now) as pd_orig, pd_now
