@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lossloom.functions.amortization import balance_path, remaining_balance
 from lossloom.operators import ranks
+from lossloom.operators.durable import durable
 from lossloom.operators.sampling import sample_one_in
 from lossloom.operators.windows import by_loan
 
@@ -44,7 +45,7 @@ def schedule_backtest(panel: DataFrame, horizons: tuple = (3, 6, 12, 24)) -> Dat
         F.struct(F.lit(h).alias("horizon"), remaining_balance(b, r, n, float(h)).alias("pred"),
                  F.lead(b, h).over(by_loan()).alias("actual")).alias(f"h{h}") for h in horizons])
     ahead = wide.select(F.explode(F.array(*wide.columns)).alias("v")).select("v.*")
-    pairs = ahead.filter(F.col("actual").isNotNull() & (F.col("pred") > 0))
+    pairs = durable(ahead.filter(F.col("actual").isNotNull() & (F.col("pred") > 0)))
     pred, actual = F.col("pred"), F.col("actual")
     means = pairs.groupBy("horizon").agg(
         F.count(F.lit(1)).alias("n"), F.avg(pred).alias("mean_pred"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .durable import durable
+from .durable import durable, small_side
 
 SLICE = "_slice"
 
@@ -37,6 +37,77 @@ def value_counts(df: DataFrame, by: Sequence[str], value: str, keep_nulls: bool
         F.count(value).alias("n"), *[F.sum(name).alias(name) for name in terms])
 
 
+FEW_VALUES = 1000
+SKETCH = 2000  # rank error of the sketch is at most rows / SKETCH
+
+
+def compact_counts(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float],
+                   keep_nulls: bool = False, **sums: Column) -> DataFrame:
+    """:func:`value_counts` with the values that cannot be a wanted quantile merged into cells.
+
+    A first pass sketches, per group, a narrow interval around each wanted quantile. The second
+    pass keeps the values inside the intervals and merges those between two intervals into one
+    row (its smallest value stands for it), so a column of distinct doubles shuffles a few rows
+    per thousand instead of all. Groups with few distinct values keep all of them. Merged rows
+    have ``exact`` = false; :func:`all_exact` tells whether a wanted rank fell on one.
+    """
+    keys = [F.col(c) for c in by]
+    clean = F.col(value).cast("double")
+    clean = F.when(~F.isnan(clean), clean + F.lit(0.0)).alias(value)
+    rows = df.select(*keys, clean, *[e.alias(n) for n, e in sums.items()])
+    if not keep_nulls:
+        rows = rows.filter(F.col(value).isNotNull())
+    margin = 4.0 / SKETCH
+    lows = [max(p - margin, 0.0) for p in probabilities]
+    highs = [min(p + margin, 1.0) for p in probabilities]
+    sketch = rows.groupBy(*by).agg(
+        F.percentile_approx(value, [*lows, *highs], SKETCH).alias("_q"),
+        (F.approx_count_distinct(value) <= FEW_VALUES).alias("_few"))
+    n = len(lows)
+    x, q = F.col(value), F.col("_q")
+    inside = F.coalesce(F.col("_few"), F.lit(True))
+    cell = F.lit(0)
+    for i in range(n):
+        inside = inside | ((x >= F.get(q, F.lit(i))) & (x <= F.get(q, F.lit(n + i))))
+        cell = cell + F.when(x > F.get(q, F.lit(n + i)), 1).otherwise(0)
+    if by:
+        joined = rows.join(small_side(sketch), list(by))
+    else:
+        joined = rows.withColumns({c: sketch.select(c).scalar() for c in ("_q", "_few")})
+    kept = F.when(inside | x.isNull(), x)
+    placed = joined.withColumns({
+        "_kept": kept,
+        "_cell": F.when(x.isNull(), F.lit(-1)).when(inside, F.lit(None)).otherwise(cell)})
+    merged = placed.groupBy(*by, "_cell", "_kept").agg(
+        F.count(value).alias("n"), F.min(value).alias("_min"), F.max(value).alias("_max"),
+        *[F.sum(name).alias(name) for name in sums])
+    return merged.select(*by, F.col("_min").alias(value), "n", *sums,
+                         F.coalesce(F.col("_min") == F.col("_max"), F.lit(True)).alias("exact"))
+
+
+def all_exact(ranked: DataFrame, probabilities: Sequence[float]) -> bool:
+    """Did every wanted rank fall on a value that was kept as it is?"""
+    first, last = F.col("n_before"), F.col("n_before") + F.col("n") - 1
+    hit = F.lit(False)
+    for p in probabilities:
+        position = (F.col("n_total") - 1) * F.lit(float(p))
+        for rank in (F.floor(position), F.ceil(position)):
+            hit = hit | ((first <= rank) & (rank <= last))
+    return ranked.filter(~F.col("exact") & hit).isEmpty()
+
+
+def ranked_counts(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float],
+                  keep_nulls: bool = False, **sums: Column) -> tuple[DataFrame, DataFrame]:
+    """Stored slices and their running totals, compacted where that is exact, else complete."""
+    sliced = cut_into_slices(
+        compact_counts(df, by, value, probabilities, keep_nulls, **sums), by, value)
+    ranked = running_totals(sliced, by, value, ["n"])
+    if not all_exact(ranked, probabilities):
+        sliced = cut_into_slices(value_counts(df, by, value, keep_nulls, **sums), by, value)
+        ranked = running_totals(sliced, by, value, ["n"])
+    return sliced, ranked
+
+
 def cut_into_slices(counts: DataFrame, by: Sequence[str], value: str,
                     slices: int | None = None) -> DataFrame:
     """Add a ``_slice`` number that follows (group, value) order and is stored with the rows."""
@@ -112,8 +183,8 @@ def quantiles_of_counts(ranked: DataFrame, by: Sequence[str], value: str,
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
                     probabilities: Sequence[float]) -> DataFrame:
     """Exact quantiles of ``value`` per group; columns ``n_total`` and ``quantiles``."""
-    sliced = cut_into_slices(value_counts(df, by, value), by, value)
-    return quantiles_of_counts(running_totals(sliced, by, value, ["n"]), by, value, probabilities)
+    _, ranked = ranked_counts(df, by, value, probabilities)
+    return quantiles_of_counts(ranked, by, value, probabilities)
 
 
 def bin_of(value: Column, edges: Column, bins: int) -> Column:

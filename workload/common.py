@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossloom.operators import exposure, features, labels, loss, macro, severity, staging
-from lossloom.operators.durable import use_checkpoint_dir
+from lossloom.operators.durable import durable, use_checkpoint_dir
 from lossloom.operators.models import column_scorer
 from lossloom.operators.regression import LinearFit
 from lossloom.params import LossSettings, ScenarioSettings
@@ -49,8 +49,14 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
     return labels.label_defaults(feat(spark, sf), 12, 3)
 
 
+LABEL_COLUMNS = ["loan_id", "reporting_period", "target", "delq_num", "fico_orig", "current_ltv",
+                 "count_30dpd_12m"]
+
+
 def closed(spark: SparkSession, sf: str) -> DataFrame:
-    return labels.drop_open_window(labelled(spark, sf), 12)
+    """Labelled rows with a complete outcome; stored narrow, as the cut needs their last month."""
+    rows = durable(labelled(spark, sf).select(*LABEL_COLUMNS))
+    return labels.drop_open_window(rows, 12)
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:

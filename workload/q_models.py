@@ -8,6 +8,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from lossloom.operators import binning, labels, metrics, models, regression
+from lossloom.operators.durable import durable
 from lossloom.params import PdSettings, PrepaySettings
 from workload import tables
 from workload.common import (
@@ -132,6 +133,11 @@ def l9(spark, sf):
 BINNED = ["fico_orig", "current_ltv", "max_delq_6m", "delq_change_3m", "balance_change_3m"]
 
 
+def binned_rows(spark, sf):
+    """The few columns that binning reads, stored: it passes over them twice."""
+    return durable(labelled(spark, sf).select("vintage", "target", *BINNED))
+
+
 def woe_sql(f: str, bins: int = 8) -> str:
     probs = ", ".join(f"{i / bins}" for i in range(bins + 1))
     return f"""woe_{f} as materialized (
@@ -165,7 +171,7 @@ WOE_ALL = ("with " + ", ".join(woe_sql(f) for f in BINNED) + ", woe as ("
 select feature, kind, bin, round(lo, 8) as lo, round(hi, 8) as hi, value, n, bad, good,
   round(woe, 8) as woe, round(iv_part, 8) as iv_part from woe""")
 def m1(spark, sf):
-    table = binning.woe_table(labelled(spark, sf), BINNED, "target")
+    table = binning.woe_table(binned_rows(spark, sf), BINNED, "target")
     return table.withColumns({c: F.round(c, 8) for c in ("lo", "hi", "woe", "iv_part")})
 
 
@@ -180,7 +186,7 @@ from (select l.vintage, """ + ", ".join(f"w{i}.woe as w_{f}" for i, f in enumera
         and (w{i}.hi is null or l.{f} < w{i}.hi))""" for i, f in enumerate(BINNED)) + """
 ) group by vintage""")
 def m2(spark, sf):
-    rows = labelled(spark, sf)
+    rows = binned_rows(spark, sf)
     out = binning.fit_woe(rows, BINNED, "target").transform(rows)
     return out.groupBy("vintage").agg(F.count(F.lit(1)).alias("n"), *[
         F.round(F.avg(f"{f}_woe"), 8).alias(f"{f}_woe") for f in BINNED])
@@ -191,7 +197,7 @@ select feature, round(iv, 8) as iv, case when iv < 2e-2 then 'useless' when iv <
   when iv < 3e-1 then 'medium' when iv < 5e-1 then 'strong' else 'suspiciously strong' end as strength
 from (select feature, sum(iv_part) as iv from woe group by feature)""")
 def m3(spark, sf):
-    table = binning.woe_table(labelled(spark, sf), BINNED, "target")
+    table = binning.woe_table(binned_rows(spark, sf), BINNED, "target")
     return binning.information_values(table).withColumn("iv", F.round("iv", 8))
 
 
@@ -270,8 +276,6 @@ def train_test(spark, sf):
     from lossloom.plans.default_model import default_dataset
 
     rows = default_dataset(labelled(spark, sf), PdSettings(split_date="2000-01-01"))
-    from lossloom.operators.durable import durable
-
     rows = durable(rows.select(*dict.fromkeys([*FEATURES, "target", "split", *KEY])))
     return rows.filter("split = 'train'"), rows.filter("split = 'test'")
 
