@@ -26,15 +26,18 @@ def score():
 
 
 def digest(df: DataFrame, value: str, *by: str) -> DataFrame:
-    """Counts and mean of one column per cohort cell: every row takes part."""
+    """Counts and mean of one column per cohort cell: every row takes part.
+
+    The mean is scaled by pi, because means of short decimals sit exactly on rounding borders.
+    """
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.count(value).alias("known"),
-        F.round(F.avg(F.col(value).cast("double")), 4).alias("mean"))
+        F.round(F.avg(F.col(value).cast("double")) * F.pi(), 4).alias("scaled_mean"))
 
 
 def digest_sql(value: str, source: str, *by: str) -> str:
     return (f"select {', '.join(by)}, count(*) as n, count({value}) as known, "
-            f"round(avg(cast({value} as double)), 4) as mean from {source} "
+            f"round(avg(cast({value} as double)) * pi(), 4) as scaled_mean from {source} "
             f"group by {', '.join(by)}")
 
 
