@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lossloom import schema
-from lossloom.functions import dates, delinquency, hashing
+from lossloom.functions import dates, delinquency
 from lossloom.operators import features, labels, regression, sampling, severity, staging
 from lossloom.sources import feature_store, raw_files, results, warehouse
 from workload import sql, tables

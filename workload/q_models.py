@@ -13,15 +13,13 @@ from lossloom.params import PdSettings, PrepaySettings
 from workload import tables
 from workload.common import (
     CELL,
-    digest,
-    digest_sql,
     feat,
     labelled,
     lgd,
     macro_table,
     scored,
 )
-from workload.q_cohort import BACKTEST_SQL, backtest_panel  # noqa: F401
+from workload.q_cohort import backtest_panel  # noqa: F401
 from workload.q_data import feature_rows
 from workload.q_order import CURVE_SQL, KEY
 from workload.registry import query

@@ -6,11 +6,8 @@ from pyspark.sql import functions as F
 
 from lossloom.functions.rates import monthly_prepay_value
 from lossloom.operators import (
-    binning,
     drift,
-    features,
     labels,
-    loss,
     macro,
     metrics,
     quality,
@@ -28,10 +25,9 @@ from workload.common import (
     labelled,
     losses,
     macro_table,
-    score,
     scored,
 )
-from workload.q_cohort import LOSS_SQL, book, flat_case
+from workload.q_cohort import book
 from workload.q_data import HASH_SQL
 from workload.registry import query
 

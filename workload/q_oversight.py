@@ -10,16 +10,13 @@ from lossloom.operators import drift, loss, metrics, monitoring, scenarios, seve
 from lossloom.operators.durable import durable
 from lossloom.params import ValidationSettings
 from lossloom.sources import results
-from workload import sql
 from workload.common import (
     BASE_LGD,
     DOWNTURN_LGD,
     LOSS,
-    RHO,
     SCENARIOS,
     book,
     closed,
-    feat,
     losses,
     scored,
     snapshot,

@@ -12,19 +12,15 @@ from lossloom.operators import (
     regression,
     scenarios,
     severity,
-    staging,
 )
 from lossloom.operators.models import column_scorer
 from lossloom.params import LgdSettings, ScenarioSettings
 from workload import sql, tables
 from workload.common import (
-    BASE_LGD,
-    DOWNTURN_LGD,
     RESPONSE,
     RESPONSE_SQL,
     RHO,
     SCENARIOS,
-    SCORE_COLUMNS,
     book,
     closed,
     feat,
@@ -32,7 +28,6 @@ from workload.common import (
     losses,
     macro_table,
     score,
-    scored,
     snapshot,
     staged,
 )
