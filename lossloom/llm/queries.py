@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lossloom.llm import quality_rules
+from lossloom.llm import quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,3 +28,8 @@ def query(name: str, sql: str | None = None):
 @query("op5_quality_rules")
 def op5(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents"))
+
+
+@query("op6_simhash_near_dedup")
+def op6(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
