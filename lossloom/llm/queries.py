@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lossloom.llm import quality_rules, simhash
+from lossloom.llm import decontaminate, mixing, pii, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,3 +33,19 @@ def op5(spark, sf):
 @query("op6_simhash_near_dedup")
 def op6(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op7_benchmark_decontamination")
+def op7(spark, sf):
+    return decontaminate.find_passages(table(spark, sf, "documents"),
+                                       table(spark, sf, "benchmark"))
+
+
+@query("op2_pii_bootstrap")
+def op2(spark, sf):
+    return pii.digest(pii.find_pii(table(spark, sf, "documents")))
+
+
+@query("op1_source_mixing", mixing.oracle())
+def op1(spark, sf):
+    return mixing.mixed(table(spark, sf, "documents"))
