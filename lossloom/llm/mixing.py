@@ -191,7 +191,8 @@ with recursive rows as (
          coalesce(cast(doc_id as varchar), 'none') as id, md5(coalesce(text, '')) as m
   from {documents}),
 sources as (
-  select source, sum(n) as tokens, count(*) as docs from rows group by source having sum(n) > 0),
+  select source, cast(sum(n) as bigint) as tokens, count(*) as docs from rows
+  group by source having sum(n) > 0),
 shares as (select source, tokens, docs, tokens / sum(tokens) over () as p,
                   sum(tokens) over () as total, count(*) over () as k from sources),
 halved as (

@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lossloom.llm import decontaminate, mixing, pii, quality_rules, simhash
+from lossloom.llm import (
+    decontaminate,
+    language,
+    line_quality,
+    mixing,
+    pii,
+    quality_rules,
+    simhash,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +57,13 @@ def op2(spark, sf):
 @query("op1_source_mixing", mixing.oracle())
 def op1(spark, sf):
     return mixing.mixed(table(spark, sf, "documents"))
+
+
+@query("op8_line_crf_quality")
+def op8(spark, sf):
+    return line_quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op9_language_mixture")
+def op9(spark, sf):
+    return language.predict_languages(table(spark, sf, "documents"))
