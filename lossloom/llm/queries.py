@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lossloom.llm import (
     decontaminate,
     language,
+    language_model,
     line_quality,
     mixing,
     pii,
@@ -67,3 +68,8 @@ def op8(spark, sf):
 @query("op9_language_mixture")
 def op9(spark, sf):
     return language.predict_languages(table(spark, sf, "documents"))
+
+
+@query("op3_bloom_language_model")
+def op3(spark, sf):
+    return language_model.score_documents(table(spark, sf, "documents"))
