@@ -13,7 +13,9 @@ from lossloom.llm import (
     line_quality,
     mixing,
     pii,
+    preferences,
     quality_rules,
+    secrets,
     simhash,
 )
 
@@ -73,3 +75,14 @@ def op9(spark, sf):
 @query("op3_bloom_language_model")
 def op3(spark, sf):
     return language_model.score_documents(table(spark, sf, "documents"))
+
+
+@query("op4_secret_forest")
+def op4(spark, sf):
+    return secrets.scan(table(spark, sf, "documents"))
+
+
+@query("op10_preference_formatting", preferences.oracle())
+def op10(spark, sf):
+    convs = preferences.conversations(table(spark, sf, "conversations"))
+    return preferences.digest(preferences.format_pairs(preferences.rejected_replies(convs)))
