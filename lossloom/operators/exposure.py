@@ -28,10 +28,14 @@ def exposure_columns(monthly: DataFrame) -> DataFrame:
     ).filter((F.col("upb_current") > 0) & (F.col("remaining_term") > 0))
 
 
-def exposure_panel(monthly: DataFrame, one_in: int = 50) -> DataFrame:
-    """Rows of one loan in ``one_in`` with positive balance and term and a known rate."""
+def exposure_panel(monthly: DataFrame, one_in: int = 1) -> DataFrame:
+    """Rows with positive balance and term and a known rate; of one loan in ``one_in`` if over 1.
+
+    Rows without a loan id belong to no loan and stay out: they would meet in one window.
+    """
     rows = exposure_columns(monthly)
-    return (sample_one_in(rows, one_in) if one_in > 1 else rows).na.drop(subset=INPUTS)
+    return (sample_one_in(rows, one_in) if one_in > 1 else rows).na.drop(
+        subset=["loan_id", *INPUTS])
 
 
 def schedule_backtest(panel: DataFrame, horizons: tuple = (3, 6, 12, 24)) -> DataFrame:
@@ -43,24 +47,31 @@ def schedule_backtest(panel: DataFrame, horizons: tuple = (3, 6, 12, 24)) -> Dat
     wide = panel.select(*[
         F.struct(F.lit(h).alias("horizon"), remaining_balance(b, r, n, float(h)).alias("pred"),
                  F.lead(b, h).over(by_loan()).alias("actual")).alias(f"h{h}") for h in horizons])
-    ahead = wide.select(F.explode(F.array(*wide.columns)).alias("v")).select("v.*")
-    pairs = durable(ahead.filter(F.col("actual").isNotNull() & (F.col("pred") > 0)))
+    # One row per loan-month is stored, with all horizons beside each other; means and sketches
+    # of the medians come from one aggregate over it, the medians from one more pass.
+    wide = durable(wide)
+    pred, actual = F.col("v.pred"), F.col("v.actual")
+    errors = {"pct_err": F.abs(pred - actual) / F.greatest(actual, F.lit(1.0)),
+              "ratio": actual / F.greatest(pred, F.lit(1.0))}
+    ahead = wide.select(F.explode(F.array(*wide.columns)).alias("v")).filter(
+        actual.isNotNull() & (pred > 0)).select(
+        "v.horizon", pred.alias("pred"), actual.alias("actual"),
+        *[x.alias(kind) for kind, x in errors.items()])
     pred, actual = F.col("pred"), F.col("actual")
-    means = pairs.groupBy("horizon").agg(
+    means = durable(ahead.groupBy("horizon").agg(
         F.count(F.lit(1)).alias("n"), F.avg(pred).alias("mean_pred"),
-        F.avg(actual).alias("mean_actual"), F.avg(F.abs(pred - actual)).alias("mae"))
-    ratios = pairs.select("horizon", F.explode(F.array(
-        F.struct(F.lit("pct_err").alias("kind"),
-                 (F.abs(pred - actual) / F.greatest(actual, F.lit(1.0))).alias("x")),
-        F.struct(F.lit("ratio").alias("kind"),
-                 (actual / F.greatest(pred, F.lit(1.0))).alias("x")))).alias("v")
-    ).select("horizon", "v.*")
-    mid = ranks.exact_quantiles(ratios, ["horizon", "kind"], "x", [0.5])
+        F.avg(actual).alias("mean_actual"), F.avg(F.abs(pred - actual)).alias("mae"),
+        *[ranks.sketch_of(kind, [0.5]).alias(f"_q_{kind}") for kind in errors]))
+    long = lambda df, prefix, name: df.select("horizon", F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(prefix + kind).alias(name)) for kind in errors
+    ])).alias("v")).select("horizon", "v.*")
+    sketch = long(means, "_q_", "_q").withColumn("_few", F.lit(False))
+    mid = ranks.exact_quantiles(long(ahead, "", "x"), ["horizon", "kind"], "x", [0.5], sketch)
     middle = F.get("quantiles", F.lit(0))
     medians = mid.groupBy("horizon").agg(
         F.max(F.when(F.col("kind") == "pct_err", middle)).alias("median_abs_pct_err"),
         F.max(F.when(F.col("kind") == "ratio", middle)).alias("actual_to_scheduled"))
-    return means.join(medians, "horizon")
+    return means.drop(*[f"_q_{kind}" for kind in errors]).join(medians, "horizon")
 
 
 def curtailment_factor(backtest: DataFrame, at_horizon: int = 12) -> DataFrame:
@@ -83,7 +94,7 @@ def latest_exposure(monthly: DataFrame, period: str | None = None) -> DataFrame:
     rows = exposure_columns(monthly)
     if period:
         rows = rows.filter(F.col("reporting_period") == F.lit(period).cast("date"))
-    newest = rows.groupBy("loan_id").agg(
+    newest = rows.filter(F.col("loan_id").isNotNull()).groupBy("loan_id").agg(
         F.max(F.struct("reporting_period", *INPUTS)).alias("r"))
     return newest.select("loan_id", F.col("r.upb_current").alias("upb"),
                          F.col("r.note_rate").alias("rate"),

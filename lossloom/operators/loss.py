@@ -168,8 +168,15 @@ def monthly_profile(loans: DataFrame, case: LossCase) -> DataFrame:
 
 
 def loss_summary(losses: DataFrame) -> DataFrame:
-    """Totals per stage plus the portfolio row (null stage): balance, losses and coverage."""
+    """Totals per stage plus the portfolio row (null stage): balance, losses and coverage.
+
+    Loans without a loss (an input is missing) count in the balance only; ``n_without_loss`` and
+    ``ead_without_loss`` say how many and how much, so that low coverage cannot hide them.
+    """
+    missing = F.col("ecl").isNull() | F.isnan("ecl")
     return losses.rollup("stage").agg(
+        F.count_if(missing).alias("n_without_loss"),
+        F.coalesce(F.sum(F.when(missing, F.col("upb"))), F.lit(0.0)).alias("ead_without_loss"),
         F.count(F.lit(1)).alias("n_loans"), F.sum("upb").alias("ead"), F.sum("ecl").alias("ecl"),
         F.sum("ecl_12m").alias("ecl_12m"), F.sum("ecl_lifetime").alias("ecl_lifetime"),
     ).withColumn("coverage_pct", F.col("ecl") / F.greatest("ead", F.lit(1.0)) * 100)

@@ -49,12 +49,14 @@ def ranking_metrics(sliced: DataFrame, by: Sequence[str] = (), threshold: float
         (F.col("_bad") / n).alias("default_rate"), n.alias("n"))
 
 
-def _holds_chosen(first: Column, end: Column, size: Column, max_points: int) -> Column:
+def _holds_chosen(first: Column, end: Column, size: Column, max_points: int | None) -> Column:
     """Does [first, end) hold one of ``max_points`` evenly spaced positions out of ``size``?
 
-    Position i is the rounded i * step; only the three i around ``first / step`` can be the
-    smallest position at or after ``first``.
+    None chooses every position. Position i is the rounded i * step; only the three i around
+    ``first / step`` can be the smallest position at or after ``first``.
     """
+    if max_points is None:
+        return F.lit(True)
     step = (size - 1) / F.lit(float(max_points - 1))
     near = F.floor(F.try_divide(first, step))
     hit = F.lit(False)
@@ -64,7 +66,7 @@ def _holds_chosen(first: Column, end: Column, size: Column, max_points: int) ->
     return F.when(size <= max_points, F.lit(True)).otherwise(F.coalesce(hit, F.lit(False)))
 
 
-def roc_points(sliced: DataFrame, by: Sequence[str] = (), max_points: int = 60) -> DataFrame:
+def roc_points(sliced: DataFrame, by: Sequence[str] = (), max_points: int | None = 60) -> DataFrame:
     """ROC curve from high to low score without collinear points, thinned evenly.
 
     Starts at (0, 0). A point between the first and the last is dropped when its step equals
@@ -95,7 +97,7 @@ def roc_points(sliced: DataFrame, by: Sequence[str] = (), max_points: int = 60)
     return curve.filter(wanted).select(*by, F.col("_at").alias("position"), "fpr", "tpr")
 
 
-def ks_points(sliced: DataFrame, by: Sequence[str] = (), max_points: int = 60) -> DataFrame:
+def ks_points(sliced: DataFrame, by: Sequence[str] = (), max_points: int | None = 60) -> DataFrame:
     """Cumulative bad and good shares at evenly spaced population positions, low score first.
 
     Rows with equal scores form one step, so a position inside it reports the step's end.

@@ -41,15 +41,25 @@ FEW_VALUES = 1000
 SKETCH = 2000  # rank error of the sketch is at most rows / SKETCH
 
 
+def sketch_of(value: str, probabilities: Sequence[float]) -> Column:
+    """Aggregate: the limits of a narrow interval around each wanted quantile, lows then highs."""
+    margin = 4.0 / SKETCH
+    lows = [max(p - margin, 0.0) for p in probabilities]
+    highs = [min(p + margin, 1.0) for p in probabilities]
+    return F.percentile_approx(value, [*lows, *highs], SKETCH)
+
+
 def compact_counts(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float],
-                   keep_nulls: bool = False, **sums: Column) -> DataFrame:
+                   keep_nulls: bool = False, sketch: DataFrame | None = None,
+                   **sums: Column) -> DataFrame:
     """:func:`value_counts` with the values that cannot be a wanted quantile merged into cells.
 
     A first pass sketches, per group, a narrow interval around each wanted quantile. The second
     pass keeps the values inside the intervals and merges those between two intervals into one
     row (its smallest value stands for it), so a column of distinct doubles shuffles a few rows
     per thousand instead of all. Groups with few distinct values keep all of them. Merged rows
-    have ``exact`` = false; :func:`all_exact` tells whether a wanted rank fell on one.
+    have ``exact`` = false; :func:`all_exact` tells whether a wanted rank fell on one. ``sketch``
+    (``by``, ``_q`` from :func:`sketch_of`, ``_few``) saves the first pass if it is known already.
     """
     keys = [F.col(c) for c in by]
     clean = F.col(value).cast("double")
@@ -57,13 +67,11 @@ def compact_counts(df: DataFrame, by: Sequence[str], value: str, probabilities:
     rows = df.select(*keys, clean, *[e.alias(n) for n, e in sums.items()])
     if not keep_nulls:
         rows = rows.filter(F.col(value).isNotNull())
-    margin = 4.0 / SKETCH
-    lows = [max(p - margin, 0.0) for p in probabilities]
-    highs = [min(p + margin, 1.0) for p in probabilities]
-    sketch = rows.groupBy(*by).agg(
-        F.percentile_approx(value, [*lows, *highs], SKETCH).alias("_q"),
-        (F.approx_count_distinct(value) <= FEW_VALUES).alias("_few"))
-    n = len(lows)
+    if sketch is None:
+        sketch = rows.groupBy(*by).agg(
+            sketch_of(value, probabilities).alias("_q"),
+            (F.approx_count_distinct(value) <= FEW_VALUES).alias("_few"))
+    n = len(probabilities)
     x, q = F.col(value), F.col("_q")
     inside = F.coalesce(F.col("_few"), F.lit(True))
     cell = F.lit(0)
@@ -97,10 +105,11 @@ def all_exact(ranked: DataFrame, probabilities: Sequence[float]) -> bool:
 
 
 def ranked_counts(df: DataFrame, by: Sequence[str], value: str, probabilities: Sequence[float],
-                  keep_nulls: bool = False, **sums: Column) -> tuple[DataFrame, DataFrame]:
+                  keep_nulls: bool = False, sketch: DataFrame | None = None,
+                  **sums: Column) -> tuple[DataFrame, DataFrame]:
     """Stored slices and their running totals, compacted where that is exact, else complete."""
     sliced = cut_into_slices(
-        compact_counts(df, by, value, probabilities, keep_nulls, **sums), by, value)
+        compact_counts(df, by, value, probabilities, keep_nulls, sketch, **sums), by, value)
     ranked = running_totals(sliced, by, value, ["n"])
     if not all_exact(ranked, probabilities):
         sliced = cut_into_slices(value_counts(df, by, value, keep_nulls, **sums), by, value)
@@ -181,9 +190,10 @@ def quantiles_of_counts(ranked: DataFrame, by: Sequence[str], value: str,
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
-                    probabilities: Sequence[float]) -> DataFrame:
+                    probabilities: Sequence[float],
+                    sketch: DataFrame | None = None) -> DataFrame:
     """Exact quantiles of ``value`` per group; columns ``n_total`` and ``quantiles``."""
-    _, ranked = ranked_counts(df, by, value, probabilities)
+    _, ranked = ranked_counts(df, by, value, probabilities, sketch=sketch)
     return quantiles_of_counts(ranked, by, value, probabilities)
 
 

@@ -67,7 +67,6 @@ class PrepaySettings:
     horizon: int = 12
     split_date: str = "2022-01-01"
     max_train_rows: int = 750_000
-    max_test_rows: int = 750_000
     seed: int = 42
     use_macro: bool = True
     features: tuple = (
@@ -98,7 +97,7 @@ class LgdSettings:
 @dataclass(frozen=True)
 class EadSettings:
     horizons: tuple = (3, 6, 12, 24)
-    sample_mod: int = 50
+    sample_mod: int = 1  # 1: all loans; n: one loan in n
     apply_curtailment: bool = False
 
 

@@ -19,16 +19,17 @@ def prepay_features(s: PrepaySettings) -> list[str]:
 
 def prepay_dataset(features: DataFrame, monthly: DataFrame, macro: DataFrame | None,
                    s: PrepaySettings = PrepaySettings()) -> DataFrame:
-    """Labelled rows with ``split``; both parts are thinned to their caps at unchanged rates."""
+    """Labelled rows with ``split``; the train part is thinned to its cap at unchanged rates.
+
+    The rows are stored once, as the cut counts them before it picks; all test rows stay.
+    """
     rows = labels.label_prepayments(features, labels.terminal_events(monthly), s.horizon)
     if s.use_macro:
         rows = labels.with_refi_incentive(rows, macro)
-    rows = labels.with_split(rows, s.split_date)
-    key = sampling.row_key(*KEY)
-    return sampling.keep_class_rates(
-        rows.filter(F.col("split") == "train"), s.max_train_rows, key, s.seed).unionByName(
-        sampling.keep_class_rates(
-            rows.filter(F.col("split") == "test"), s.max_test_rows, key, s.seed))
+    rows = durable(labels.with_split(rows, s.split_date))
+    train = sampling.keep_class_rates(rows.filter(F.col("split") == "train"), s.max_train_rows,
+                                      sampling.row_key(*KEY), s.seed)
+    return train.unionByName(rows.filter(F.col("split") == "test"))
 
 
 def fit_prepay_models(features: DataFrame, monthly: DataFrame, macro: DataFrame | None,

@@ -45,7 +45,7 @@ def severity_stage(monthly: DataFrame, master: DataFrame, macro: DataFrame,
 
 def exposure_stage(monthly: DataFrame, s: EadSettings = EadSettings(),
                    results: Results | None = None) -> DataFrame:
-    """Back-test of the amortisation schedule on a sample of the loans."""
+    """Back-test of the amortisation schedule (all loans unless ``sample_mod`` thins them)."""
     backtest = durable(exposure.schedule_backtest(
         exposure.exposure_panel(monthly, s.sample_mod), s.horizons))
     if results is not None:

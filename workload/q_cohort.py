@@ -16,6 +16,7 @@ from lossloom.operators import (
     staging,
 )
 from lossloom.sources import raw_files
+from lossloom.params import EventCodes
 from workload import sql, tables
 from workload.common import (
     BASE_LGD,
@@ -33,7 +34,7 @@ from workload.common import (
 )
 from workload.registry import query
 
-AGES = list(range(0, 49))
+AGES = list(range(EventCodes().max_age + 1))
 
 
 @query("a1_delinquency_timeseries", """
@@ -239,7 +240,9 @@ loan_ecl as (select *, case when stage = 1 then ecl_12m else ecl_lifetime end as
 with {LOSS_SQL}
 select stage, count(*) as n_loans, round(sum(upb), -1) as ead, round(sum(ecl), 1) as ecl,
   round(sum(ecl_12m), 1) as ecl_12m, round(sum(ecl_lifetime), 1) as ecl_lifetime,
-  round(sum(ecl) / greatest(sum(upb), 1) * 100, 6) as coverage_pct
+  round(sum(ecl) / greatest(sum(upb), 1) * 100, 6) as coverage_pct,
+  count(case when ecl is null then 1 end) as n_without_loss,
+  coalesce(round(sum(case when ecl is null then upb end), -1), 0e0) as ead_without_loss
 from loan_ecl group by rollup (stage)""")
 def a19(spark, sf):
     losses_per_loan = loss.loan_losses(book(spark, sf), flat_case(spark, sf))
@@ -247,7 +250,8 @@ def a19(spark, sf):
         "stage", "n_loans", F.round("ead", -1).alias("ead"), F.round("ecl", 1).alias("ecl"),
         F.round("ecl_12m", 1).alias("ecl_12m"),
         F.round("ecl_lifetime", 1).alias("ecl_lifetime"),
-        F.round("coverage_pct", 6).alias("coverage_pct"))
+        F.round("coverage_pct", 6).alias("coverage_pct"), "n_without_loss",
+        F.round("ead_without_loss", -1).alias("ead_without_loss"))
 
 
 @query("a20_severity_statistics", """

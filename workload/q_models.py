@@ -57,7 +57,7 @@ union all select 'train', target, case when target = 1 then count(*) else
 def l3(spark, sf):
     from lossloom.plans.default_model import default_dataset
 
-    rows = default_dataset(labelled(spark, sf),
+    rows = default_dataset(labelled(spark, sf).select("target", *KEY),
                            PdSettings(split_date="2000-01-01", max_train_rows=60_000))
     return rows.groupBy("split", "target").agg(F.count(F.lit(1)).alias("n"))
 
@@ -71,13 +71,13 @@ def l4(spark, sf):
 @query("l5_prepay_dataset", """
 with s as (select *, case when reporting_period < date '2000-01-01' then 'train' else 'test' end as split
   from @prepaylab)
-select split, target, cast(floor(count(*) * least(1e0, 40000e0 / sum(count(*)) over (partition by split)))
-  as bigint) as n from s group by split, target""")
+select split, target, cast(case when split = 'test' then count(*) else
+  floor(count(*) * least(1e0, 40000e0 / sum(count(*)) over (partition by split))) end as bigint) as n
+from s group by split, target""")
 def l5(spark, sf):
     from lossloom.plans.prepayment import prepay_dataset
 
-    settings = PrepaySettings(split_date="2000-01-01", max_train_rows=40_000,
-                              max_test_rows=40_000)
+    settings = PrepaySettings(split_date="2000-01-01", max_train_rows=40_000)
     rows = prepay_dataset(feat(spark, sf), tables.monthly(spark, sf), macro_table(spark, sf),
                           settings)
     return rows.groupBy("split", "target").agg(F.count(F.lit(1)).alias("n"))
@@ -136,18 +136,18 @@ def binned_rows(spark, sf):
     return durable(labelled(spark, sf).select("vintage", "target", *BINNED))
 
 
-def woe_sql(f: str, bins: int = 8) -> str:
+def woe_sql(f: str, bins: int = 8, rows: str = "@labelled") -> str:
     probs = ", ".join(f"{i / bins}" for i in range(bins + 1))
     return f"""woe_{f} as materialized (
   with t as (select greatest(count(case when target = 1 then 1 end), 1) as tb,
       greatest(count(case when target = 0 then 1 end), 1) as tg, count(distinct {f}) as d,
-      list_sort(list_distinct(quantile_cont(cast({f} as double), [{probs}]))) as e0 from @labelled),
+      list_sort(list_distinct(quantile_cont(cast({f} as double), [{probs}]))) as e0 from {rows}),
   u as (select tb, tg, d <= 20 as discrete, case when len(e0) >= 3 then e0 end as e from t),
   b as (select case when {f} is null then 'null' when discrete then 'discrete' else 'numeric' end as kind,
       case when {f} is not null and not discrete then
         coalesce(len(list_filter(e[2:len(e) - 1], lambda v: v <= {f})), 0) end as bin,
       case when discrete then cast({f} as double) end as value, tb, tg, e, target
-    from @labelled join u on true)
+    from {rows} join u on true)
   select '{f}' as feature, kind, cast(bin as integer) as bin,
     case when bin >= 1 then e[bin + 1] end as lo,
     case when bin < len(e) - 2 then e[bin + 2] end as hi, value, count(*) as n,
@@ -173,6 +173,22 @@ def m1(spark, sf):
     return table.withColumns({c: F.round(c, 8) for c in ("lo", "hi", "woe", "iv_part")})
 
 
+# Mostly zero, capped at 3, and some thousand values between: quantiles fall on the spikes.
+SPIKY = ("case when (cast(loan_id as bigint) * 61 + cast(loan_age as bigint)) % 1000 < 980 then 0e0 "
+         "when (cast(loan_id as bigint) * 61 + cast(loan_age as bigint)) % 1000 >= 995 then 3e0 "
+         "else 1e0 + (cast(loan_id as bigint) * 61 + cast(loan_age as bigint)) % 2801 / 2803e0 end")
+
+
+@query("m1_woe_spiky", "with " + woe_sql(
+    "spiky", rows=f"(select target, {SPIKY} as spiky from @labelled)") + """
+select feature, kind, bin, round(lo, 8) as lo, round(hi, 8) as hi, value, n, bad, good,
+  round(woe, 8) as woe, round(iv_part, 8) as iv_part from woe_spiky""")
+def m1_spiky(spark, sf):
+    rows = durable(labelled(spark, sf).select("target", F.expr(SPIKY).alias("spiky")))
+    table = binning.woe_table(rows, ["spiky"], "target")
+    return table.withColumns({c: F.round(c, 8) for c in ("lo", "hi", "woe", "iv_part")})
+
+
 @query("m2_woe_transform", WOE_ALL + """
 select vintage, count(*) as n, """ + ", ".join(
     f"round(avg(w_{f}), 8) as {f}_woe" for f in BINNED) + """
@@ -229,7 +245,7 @@ def m4(spark, sf):
 @query("m5_roc_curve", f"""
 with {CURVE_SQL} select position, fpr, tpr from curve""")
 def m5(spark, sf):
-    return metrics.roc_points(slices(spark, sf), max_points=10_000_000)
+    return metrics.roc_points(slices(spark, sf), max_points=None)
 
 
 @query("m5_ks_curve", """
@@ -273,8 +289,9 @@ SMALL_TREES = models.TreeSettings(trees=5, depth=3)
 def train_test(spark, sf):
     from lossloom.plans.default_model import default_dataset
 
-    rows = default_dataset(labelled(spark, sf), PdSettings(split_date="2000-01-01"))
-    rows = durable(rows.select(*dict.fromkeys([*FEATURES, "target", "split", *KEY])))
+    columns = dict.fromkeys([*FEATURES, "target", *KEY])
+    rows = durable(default_dataset(labelled(spark, sf).select(*columns),
+                                   PdSettings(split_date="2000-01-01")))
     return rows.filter("split = 'train'"), rows.filter("split = 'test'")
 
 

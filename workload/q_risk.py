@@ -32,7 +32,6 @@ from workload.common import (
     staged,
 )
 from workload.q_cohort import LOSS_SQL, flat_case
-from workload.q_data import HASH_SQL
 from workload.q_models import OLS2_SQL
 from workload.q_order import WINDOWS_SQL
 from workload.registry import query
@@ -152,7 +151,7 @@ select horizon, count(*) as n, round(avg(pred), 3) as mean_pred, round(avg(actua
   round(median(actual / greatest(pred, 1)), 8) as actual_to_scheduled
 from pairs where actual is not null and pred > 0 group by horizon""")
 def r11(spark, sf):
-    out = exposure.schedule_backtest(exposure.exposure_panel(tables.monthly(spark, sf), 1))
+    out = exposure.schedule_backtest(exposure.exposure_panel(tables.monthly(spark, sf)))
     return out.select("horizon", "n", *[F.round(c, 3).alias(c)
                                         for c in ("mean_pred", "mean_actual", "mae")],
                       *[F.round(c, 8).alias(c)
@@ -164,16 +163,16 @@ with {BACKTEST_EAD}
 select round(median(actual / greatest(pred, 1)), 8) as curtailment_factor
 from pairs where actual is not null and pred > 0 and horizon = 12""")
 def r12(spark, sf):
-    out = exposure.schedule_backtest(exposure.exposure_panel(tables.monthly(spark, sf), 1))
+    out = exposure.schedule_backtest(exposure.exposure_panel(tables.monthly(spark, sf)))
     return exposure.curtailment_factor(out).select(
         F.round("curtailment_factor", 8).alias("curtailment_factor"))
 
 
-@query("r13_exposure_panel", f"""
+@query("r13_exposure_panel", """
 select loan_id, count(*) as n, round(avg(ln(upb_current)), 6) as log_upb, min(remaining_term) as term
-from @exposures where {HASH_SQL} % 50 = 0 group by loan_id""")
+from @exposures group by loan_id""")
 def r13(spark, sf):
-    return exposure.exposure_panel(tables.monthly(spark, sf), 50).groupBy("loan_id").agg(
+    return exposure.exposure_panel(tables.monthly(spark, sf)).groupBy("loan_id").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg(F.ln("upb_current")), 6).alias("log_upb"),
         F.min("remaining_term").alias("term"))
 
