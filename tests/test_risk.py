@@ -27,15 +27,33 @@ def value(spark, expr):
 # ---- annuities, rates, normal law ----------------------------------------------------------
 
 
-def test_payment_and_balance(spark):
-    assert abs(value(spark, amortization.monthly_payment(F.lit(1e5), F.lit(6.0), 360)) - 599.55) < 0.01
-    after = value(spark, amortization.remaining_balance(F.lit(1e5), F.lit(6.0), 360, 12))
-    assert abs(after - 98772) < 1
-    assert value(spark, amortization.remaining_balance(F.lit(1e5), F.lit(6.0), 360, 400)) < 1e-6
-    assert value(spark, amortization.remaining_balance(F.lit(12e4), F.lit(0.0), 120, 60)) == 60000
-    assert value(spark, amortization.remaining_balance(F.lit(0.0), F.lit(5.0), 360, 12)) == 0
-    assert value(spark, amortization.remaining_balance(F.lit(1e5), F.lit(5.0), 0, 12)) == 0
-    assert value(spark, amortization.remaining_balance(F.lit(None).cast("double"), F.lit(5.0), 9, 1)) is None
+def walked(balance, yearly, payment, steps):
+    """Balances month by month: interest in, payment out."""
+    out = [balance]
+    for _ in range(steps):
+        out.append(out[-1] * (1 + yearly / 1200) - payment)
+    return out
+
+
+def test_schedule_pays_the_loan_off(spark):
+    payment = value(spark, amortization.monthly_payment(F.lit(8.4e4), F.lit(7.5), 48))
+    path = walked(8.4e4, 7.5, payment, 48)
+    assert abs(path[-1]) < 1e-6
+    for k in (1, 17, 47):
+        left = value(spark, amortization.remaining_balance(F.lit(8.4e4), F.lit(7.5), 48, k))
+        assert abs(left - path[k]) < 1e-6
+
+
+def test_schedule_at_its_limits(spark):
+    def left(balance, rate, term, after):
+        return value(spark, amortization.remaining_balance(balance, rate, term, after))
+
+    assert left(F.lit(9e3), F.lit(0.0), 45, 15) == 6000        # no interest: 200 a month
+    assert abs(left(F.lit(7e4), F.lit(4.25), 60, 61)) < 1e-6   # after the end
+    assert left(F.lit(0.0), F.lit(3.5), 24, 2) == 0
+    assert left(F.lit(5e3), F.lit(3.5), 0, 2) == 0
+    assert left(F.lit(None).cast("double"), F.lit(3.5), 24, 2) is None
+    assert left(F.lit(5e3), F.lit(None).cast("double"), 24, 2) is None
 
 
 def test_monthly_rates(spark):
@@ -89,21 +107,20 @@ def test_latest_exposure_is_the_latest_valid_row(spark):
 # ---- severity ------------------------------------------------------------------------------
 
 
-def crisis(spark):
-    rng = np.random.default_rng(0)
+def stressed(spark):
+    """Six losses a month at 0.2; in thirty months from March 2016 they are 0.7."""
     rows = []
-    for d in months(date(2015, 1, 1), 120):
-        rows += [(d, float(v)) for v in np.clip(rng.normal(0.12, 0.1, 10), 0, 1)]
-    for d in months(date(2009, 6, 1), 25):
-        rows += [(d, float(v)) for v in np.clip(rng.normal(0.5, 0.1, 30), 0, 1)]
+    for k, d in enumerate(months(date(2013, 1, 1), 84)):
+        rows += [(d, 0.7 if 38 <= k < 68 else 0.2)] * 6
     return spark.createDataFrame(rows, "default_period date, lgd double")
 
 
-def test_worst_window_isolates_the_crisis(spark):
-    worst = severity.worst_window(crisis(spark)).first()
-    assert 0.45 <= worst["lgd"] <= 0.55 and worst["window_start"].year in (2009, 2010)
-    thin = crisis(spark).filter("default_period < date '2010-01-01'")
-    assert severity.worst_window(thin).count() == 0
+def test_worst_window_lies_in_the_stress(spark):
+    worst = severity.worst_window(stressed(spark)).first()
+    assert abs(worst["lgd"] - 0.7) < 1e-12
+    assert date(2016, 3, 1) <= worst["window_start"] <= date(2016, 9, 1)
+    few = stressed(spark).filter("default_period >= date '2019-06-01'")    # 42 losses
+    assert severity.worst_window(few).count() == 0
 
 
 def test_net_loss_rules(spark):
@@ -121,27 +138,34 @@ def test_net_loss_rules(spark):
     assert (50.0, 0.5) in [(r["default_upb"], r["lgd"]) for r in reported.collect()]
 
 
-def test_severity_fit_and_downturn(spark):
-    rng = np.random.default_rng(0)
-    mtm, age = rng.uniform(50, 110, 600), rng.uniform(1, 5, 600)
-    lgd = np.clip(0.02 + 0.006 * (mtm - 60) + rng.normal(0, 0.03, 600), 0, 1)
-    frame = spark.createDataFrame([(float(a), float(b), float(c)) for a, b, c in zip(mtm, age, lgd)],
-                                  "mtm_ltv double, loan_age_years double, lgd double")
+def test_severity_fit_recovers_an_exact_plane(spark):
+    rows = [(45.0 + 4 * i, 0.5 + k, 0.004 * (45 + 4 * i) + 0.01 * (0.5 + k) - 0.1)
+            for i in range(18) for k in range(5)]
+    frame = spark.createDataFrame(rows, "mtm_ltv double, loan_age_years double, lgd double")
     fit = regression.fit_linear(frame, ["mtm_ltv", "loan_age_years"], "lgd")
-    design = np.column_stack([mtm, age, np.ones(600)])
-    assert np.allclose([*fit.coefficients, fit.intercept], np.linalg.lstsq(design, lgd, rcond=None)[0])
-    means = [r["mean_lgd"] for r in severity.severity_by_bucket(frame).orderBy(
-        F.split("ltv_bucket", "-")[0].cast("int")).collect()]
-    assert means == sorted(means)
-    empty = spark.createDataFrame([], "lgd double")
-    down = severity.downturn_severity(frame, fit, empty).first()
+    assert np.allclose([*fit.coefficients, fit.intercept], [0.004, 0.01, -0.1])
+    buckets = {r["ltv_bucket"]: r["mean_lgd"] for r in severity.severity_by_bucket(frame).collect()}
+    first = next(b for b in buckets if b.startswith("0-"))
+    # 45, 49, 53 and 57 lie below 60: mean 51, mean age 2.5.
+    assert abs(buckets[first] - (0.004 * 51 + 0.01 * 2.5 - 0.1)) < 1e-9
+    down = severity.downturn_severity(frame, fit, spark.createDataFrame([], "lgd double")).first()
     assert down["uplift_ratio"] > 1 and down["empirical_lgd"] is None
-    choice = severity.downturn_choice(spark.createDataFrame(
-        [(0.5, 0.33, 0.35, 0.33)], "empirical_lgd double, model_downturn_lgd double, "
-                                   "benchmark double, base_mean_lgd double")).first()
-    assert choice["driver"] == "empirical" and choice["downturn_lgd"] == 0.5
-    stats = severity.severity_statistics(frame).first()
-    assert abs(stats["p90"] - np.percentile(lgd, 90)) < 1e-12 and abs(stats["std"] - lgd.std()) < 1e-12
+
+
+def test_the_largest_downturn_candidate_wins(spark):
+    columns = ("empirical_lgd double, model_downturn_lgd double, benchmark double, "
+               "base_mean_lgd double")
+    for row, driver in (((.41, .44, .3, .2), "model"), ((None, .21, .3, .2), "benchmark"),
+                        ((.62, .44, .3, .2), "empirical")):
+        got = severity.downturn_choice(spark.createDataFrame([row], columns)).first()
+        assert got["driver"].startswith(driver) and got["downturn_lgd"] == max(x for x in row if x)
+
+
+def test_severity_statistics(spark):
+    frame = spark.createDataFrame([(x / 10,) for x in range(11)] + [(None,)], "lgd double")
+    got = severity.severity_statistics(frame).first()
+    assert got["n"] == 11 and abs(got["median"] - .5) < 1e-12 and abs(got["p90"] - .9) < 1e-12
+    assert abs(got["std"] - .1 ** .5) < 1e-12
 
 
 # ---- staging -------------------------------------------------------------------------------
@@ -149,19 +173,26 @@ def test_severity_fit_and_downturn(spark):
 
 @pytest.fixture(scope="module")
 def staged(spark):
-    rows = [("a", 0, .01, .01), ("b", 1, .01, .01), ("c", 0, .01, .04), ("d", 0, .005, .02),
-            ("e", 3, .01, .01), ("f", 4, .01, .5), ("g", None, .01, .01)]
+    rows = [
+        ("calm", 0, .02, .021, 1),          # ratio 1.05, rise .001
+        ("unknown", None, .02, .02, 1),
+        ("late", 2, .002, .001, 2),         # past due, although its rate fell
+        ("doubled", 0, .001, .002, 2),      # ratio 2 alone
+        ("risen", 0, .2, .215, 2),          # rise .015 alone
+        ("almost", 0, .1, .109, 1),
+        ("defaulted", 3, .3, .1, 3),
+        ("gone", 9, None, None, 3)]
     return staging.with_stage(spark.createDataFrame(
-        rows, "loan_id string, delq_num bigint, pd_orig double, pd_now double")).cache()
+        rows, "loan_id string, delq_num bigint, pd_orig double, pd_now double, want int")).cache()
 
 
 def test_stages(staged):
-    got = {r["loan_id"]: r["stage"] for r in staged.collect()}
-    assert got == {"a": 1, "b": 2, "c": 2, "d": 2, "e": 3, "f": 3, "g": 1}
-    assert staged.filter("loan_id = 'g'").first()["is_default"] is None
-    assert abs(staging.stage_distribution(staged).agg(F.sum("pct")).first()[0] - 100) < 0.05
-    matrix = staging.migration_matrix(staged, staged.select("loan_id", F.lit(1).alias("stage")))
-    assert matrix.agg(F.sum("n")).first()[0] == 7
+    assert staged.filter("stage <> want").count() == 0
+    assert staged.filter("loan_id = 'unknown'").first()["is_default"] is None
+    share = {r["stage"]: r["pct"] for r in staging.stage_distribution(staged).collect()}
+    assert abs(share[2] - 37.5) < 0.01 and abs(sum(share.values()) - 100) < 0.05
+    earlier = staged.select("loan_id", F.lit(2).alias("stage")).filter("loan_id <> 'gone'")
+    assert staging.migration_matrix(staged, earlier).agg(F.sum("n")).first()[0] == 7
 
 
 def test_snapshot_falls_back_to_current_pd(spark):
@@ -205,12 +236,21 @@ def test_monotone_clamp(spark):
     assert scenarios.ordered_factors(z_paths(spark, .5, -.5, 1.5)).filter("adjusted").count() == 0
 
 
-def test_multipliers_keep_the_book_level(spark):
-    paths = spark.createDataFrame([("base", .5, 1, .0074), ("upside", .25, 1, .0038), ("downside", .25, 1, .0406)],
-                                  "scenario string, weight double, month int, pit_pd double")
-    total = scenarios.multipliers(paths).agg(F.sum(F.col("weight") * F.col("multiplier"))).first()[0]
-    assert abs(total - 1) < 1e-12
-    assert scenarios.ordering_check(paths).first()["ordering_ok"]
+def test_multipliers_divide_by_the_weighted_start(spark):
+    rows = [("mild", .6, 1, .02), ("harsh", .4, 1, .07), ("mild", .6, 2, .05), ("harsh", .4, 2, .05)]
+    paths = spark.createDataFrame(rows, "scenario string, weight double, month int, pit_pd double")
+    got = {(r["scenario"], r["month"]): r["multiplier"] for r in scenarios.multipliers(paths).collect()}
+    level = .6 * .02 + .4 * .07     # 0.04 in month 1
+    assert abs(got["mild", 1] - .02 / level) < 1e-12 and abs(got["harsh", 1] - .07 / level) < 1e-12
+    assert abs(.6 * got["mild", 1] + .4 * got["harsh", 1] - 1) < 1e-12
+    assert abs(got["mild", 2] - .05 / level) < 1e-12    # later months keep the first one's level
+
+
+@pytest.mark.parametrize("up, down, ok", [(.01, .03, True), (.03, .01, False), (.02, .02, True)])
+def test_ordering_check(spark, up, down, ok):
+    rows = [("base", .5, 1, .02), ("upside", .2, 1, up), ("downside", .3, 1, down)]
+    paths = spark.createDataFrame(rows, "scenario string, weight double, month int, pit_pd double")
+    assert scenarios.ordering_check(paths).first()["ordering_ok"] == ok
 
 
 # ---- loss ----------------------------------------------------------------------------------
@@ -250,90 +290,121 @@ def test_kernel_matches_a_plain_loop(spark):
         assert np.isclose(got[loan]["ecl"], near if inputs[-1] == 1 else life, rtol=1e-10)
 
 
-def test_single_loan_and_missing_input(spark):
-    rows = [("L", .12, 1e5, 6.0, 360.0, 2), ("M", None, 1e5, 6.0, 360.0, 2)]
-    case = loss.loss_case("x", {"base": (1.0,) * 12}, {"base": 1.0}, .25, .25,
-                          LossSettings(horizon=12, annual_cpr=0.0))
-    got = {r["loan_id"]: r for r in loss.loan_losses(spark.createDataFrame(rows, LOANS), case).collect()}
-    assert 2700 < got["L"]["ecl"] < 3000 and abs(got["L"]["ecl_12m"] - got["L"]["ecl_lifetime"]) < 1e-9
-    assert got["M"]["ecl"] is None
+def test_one_month_is_plain_arithmetic(spark):
+    """One month, no prepayment: loss = hazard x severity x scheduled balance, discounted."""
+    hazard, balance = 1 - .4 ** (1 / 12), 2.4e4 - 2.4e4 / 24    # no interest: a 24th is repaid
+    rows = [("one", .6, 2.4e4, 0.0, 24.0, 1), ("three", .6, 2.4e4, 0.0, 24.0, 3)]
+    case = loss.loss_case("x", {"only": (.05,)}, {"only": 1.0}, .5, .5,
+                          LossSettings(horizon=1, annual_cpr=0.0))
+    got = {r["loan_id"]: r["ecl"] for r in loss.loan_losses(spark.createDataFrame(rows, LOANS), case).collect()}
+    assert abs(got["one"] - hazard * .5 * balance) < 1e-9
+    assert got["three"] == .5 * 2.4e4
+
+
+def test_loans_without_a_loss_show_in_the_summary(spark):
+    rows = [("known", .2, 5e4, 4.0, 120.0, 1), ("no rate", .2, 3e4, None, 120.0, 1),
+            ("no pd", None, 2e4, 4.0, 120.0, 2)]
+    case = loss.loss_case("x", {"only": (.05,) * 12}, {"only": 1.0}, .5, .5, LossSettings(horizon=12))
+    losses = loss.loan_losses(spark.createDataFrame(rows, LOANS), case)
+    total = loss.loss_summary(losses).filter("stage is null").first()
+    assert (total["n_loans"], total["n_without_loss"], total["ead_without_loss"]) == (3, 2, 5e4)
+    assert total["ead"] == 1e5 and total["ecl"] > 0
 
 
 @pytest.fixture(scope="module")
 def loans(spark):
-    rng = np.random.default_rng(0)
-    rows = [(f"L{i}", float(np.clip(rng.beta(1.6, 150), 1e-4, None)), float(rng.uniform(1e5, 4e5)),
-             float(rng.uniform(3, 6)), float(rng.uniform(200, 360)),
-             int(rng.choice([1, 2, 3], p=[.95, .04, .01]))) for i in range(400)]
+    rows = [(f"N{i}", .003 + .0004 * (i % 37), 9e4 + 1500.0 * (i % 53), 2.5 + .25 * (i % 9),
+             90.0 + 6 * (i % 31), 3 if i % 41 == 0 else 2 if i % 11 == 0 else 1) for i in range(330)]
     return spark.createDataFrame(rows, LOANS).cache()
 
 
-PATHS = {"base": (.0074,) * 60, "upside": (.0038,) * 60, "downside": (.0406,) * 60}
-WEIGHTS = {"base": .5, "upside": .25, "downside": .25}
+PATHS = {"plain": (.012,) * 48, "good": (.007,) * 48, "bad": (.031,) * 48}
+WEIGHTS = {"plain": .6, "good": .15, "bad": .25}
 
 
-def test_coverage_rises_by_stage(spark):
-    rows = [(f"L{i}", .01, 2e5, 5.0, 300.0, 1 + i % 3) for i in range(30)]
-    case = loss.loss_case("x", {"base": (.01,) * 60}, {"base": 1.0}, .2, .2)
+def test_coverage_of_stages(spark):
+    rows = [(f"N{i}", .02, 1.1e5, 3.75, 240.0, 1 + i % 3) for i in range(12)]
+    case = loss.loss_case("x", {"only": (.02,) * 36}, {"only": 1.0}, .45, .45, LossSettings(horizon=36))
     summary = loss.loss_summary(loss.loan_losses(spark.createDataFrame(rows, LOANS), case)).cache()
+    coverage = {r["stage"]: r["coverage_pct"] for r in summary.collect()}
+    assert coverage[1] < coverage[2] < coverage[3] and abs(coverage[3] - 45) < 1e-9
     assert validation.coverage_rises_by_stage(summary).first()["passed"]
-    assert validation.stage3_matches_severity(summary, .2).first()["passed"]
-    assert not validation.stage3_matches_severity(summary, .4).first()["passed"]
-    assert summary.filter("stage is null").first()["n_loans"] == 30
-
-
-def test_sensitivity_directions(spark, loans):
-    grid = ValidationSettings(cpr_values=(0.0, .2), horizon_values=(60,), downturn_lgd_values=(.3, .45),
-                              weight_variants={"base": WEIGHTS, "severe": {"base": .3, "upside": .1, "downside": .6}})
-    cases = loss.sensitivity_cases(PATHS, WEIGHTS, .126, .35, LossSettings(), grid)
-    g = {(r["lever"], r["value"]): r for r in loss.sensitivity_grid(loans, cases).collect()}
-    ecl = {k: r["total_ecl"] for k, r in g.items()}
-    assert ecl["annual_cpr", "0.2"] < ecl["annual_cpr", "0.0"]
-    assert ecl["downturn_lgd", "0.45"] > ecl["downturn_lgd", "0.3"]
-    assert ecl["scenario_weights", "severe"] > ecl["scenario_weights", "base"]
-    base = next(r for r in g.values() if r["position"] == 0)
-    single = loss.loss_summary(loss.loan_losses(loans, cases[0][2])).filter("stage is null").first()
-    assert np.isclose(base["total_ecl"], single["ecl"]) and base["delta_vs_base_pct"] == 0
-    profile = loss.monthly_profile(loans.filter("stage = 2"), cases[0][2])
-    stage2 = loss.loan_losses(loans.filter("stage = 2"), cases[0][2]).agg(F.sum("ecl")).first()[0]
-    weighted = sum(WEIGHTS[r["scenario"]] * r["loss"] for r in profile.collect())
-    assert np.isclose(weighted, stage2)
+    assert validation.stage3_matches_severity(summary, .45).first()["passed"]
+    assert not validation.stage3_matches_severity(summary, .2).first()["passed"]
+    swapped = summary.withColumn("coverage_pct", -F.col("coverage_pct"))
+    assert not validation.coverage_rises_by_stage(swapped).first()["passed"]
+
+
+def test_each_sensitivity_case_equals_its_own_run(spark, loans):
+    levers = ValidationSettings(cpr_values=(.03, .3), horizon_values=(12, 36), downturn_lgd_values=(.5,),
+                                weight_variants={"mostly bad": {"plain": .1, "good": .1, "bad": .8}})
+    cases = loss.sensitivity_cases(PATHS, WEIGHTS, .22, .4, LossSettings(downside="bad"), levers)
+    rows = {r["position"]: r for r in loss.sensitivity_grid(loans, cases).collect()}
+    assert len(rows) == len(cases) == 7
+    totals = [loss.loss_summary(loss.loan_losses(loans, c)).filter("stage is null").first()["ecl"]
+              for _, _, c in cases]
+    for k, total in enumerate(totals):
+        assert np.isclose(rows[k]["total_ecl"], total)
+        assert np.isclose(rows[k]["delta_vs_base_pct"], (total / totals[0] - 1) * 100, atol=1e-9)
+    at = {(lever, v): totals[k] for k, (lever, v, _) in enumerate(cases)}
+    assert at["annual_cpr", "0.3"] < at["annual_cpr", "0.03"]      # repaid loans cannot default
+    assert at["horizon_months", "12"] < at["horizon_months", "36"]
+    assert at["scenario_weights", "mostly bad"] > totals[0]
+
+
+def test_monthly_profile_adds_up_to_the_lifetime_loss(spark, loans):
+    case = loss.loss_case("x", PATHS, WEIGHTS, .22, .4, LossSettings(horizon=48, downside="bad"))
+    some = loans.filter("stage = 2")
+    by_month = loss.monthly_profile(some, case)
+    total = sum(WEIGHTS[r["scenario"]] * r["loss"] for r in by_month.collect())
+    assert np.isclose(total, loss.loan_losses(some, case).agg(F.sum("ecl_lifetime")).first()[0])
 
 
 # ---- validation and monitoring -------------------------------------------------------------
 
 
-def test_other_checks(spark):
-    metrics = spark.createDataFrame([("a", .89), ("b", .6)], "model string, auc double")
-    assert validation.discrimination(metrics, .7).first()["passed"]
-    assert not validation.discrimination(metrics, .95).first()["passed"]
-    book = spark.createDataFrame([(.0085,)], "pd_now double")
-    assert validation.effective_calibration(book, .0105).first()["passed"]
-    assert not validation.effective_calibration(book, .0001).first()["passed"]
-    empty = spark.createDataFrame([], "n bigint, pred_pd double, obs_default double")
-    advisory = validation.raw_calibration(empty)
-    assert advisory.first()["passed"] and advisory.first()["severity"] == "warn"
-    tally = validation.tally(validation.discrimination(metrics, .95).unionByName(advisory)).first()
-    assert tuple(tally) == (0, 1, 1)
+@pytest.mark.parametrize("least, passed", [(.81, True), (.83, False)])
+def test_discrimination_takes_the_best_model(spark, least, passed):
+    aucs = spark.createDataFrame([("tree", .74), ("line", .82)], "model string, auc double")
+    assert validation.discrimination(aucs, least).first()["passed"] == passed
+
+
+@pytest.mark.parametrize("mean, passed", [(.02, True), (.059, True), (.061, False), (.005, False)])
+def test_effective_calibration_band(spark, mean, passed):
+    book = spark.createDataFrame([(mean - .001,), (mean + .001,)], "pd_now double")
+    assert validation.effective_calibration(book, .02, (.3, 3.0)).first()["passed"] == passed
+
+
+def test_raw_calibration_only_advises(spark):
+    kind = "n bigint, pred_pd double, obs_default double"
+    far = validation.raw_calibration(spark.createDataFrame([(40, .5, .02), (60, .4, .03)], kind))
+    none = validation.raw_calibration(spark.createDataFrame([], kind))
+    assert not far.first()["passed"] and none.first()["passed"]
+    assert {far.first()["severity"], none.first()["severity"]} == {"warn"}
+    good = validation.discrimination(spark.createDataFrame([("m", .9)], "model string, auc double"), .8)
+    assert tuple(validation.tally(validation.all_checks(good, far, none)).first()) == (1, 1, 2)
 
 
-def block(period, n, mean, rate, seed):
-    rng = np.random.default_rng(seed)
-    return [(period, float(p), int(t)) for p, t in zip(
-        np.clip(rng.lognormal(np.log(mean), .4, n), 1e-4, 1), rng.binomial(1, rate, n))]
+def quarter(start, n, rates, hits):
+    """``n`` rows that go through ``rates``; the first ``hits`` of them default."""
+    return [(start, rates[i % len(rates)], int(i < hits)) for i in range(n)]
 
 
-def test_backtest_and_drift_lights(spark):
-    rows = block(date(2022, 1, 1), 2000, .010, .010, 1) + block(date(2022, 4, 1), 2000, .080, .010, 2)
-    rows += block(date(2022, 7, 1), 100, .01, .01, 3)
+def test_lights_of_backtest_and_drift(spark):
+    low, high = (.012, .018, .024, .03), (.2, .3, .35, .4)
+    rows = (quarter(date(2021, 1, 1), 600, low, 13) + quarter(date(2021, 4, 1), 600, low, 7)
+            + quarter(date(2021, 7, 1), 600, high, 190) + quarter(date(2021, 10, 1), 40, high, 40))
     panel = spark.createDataFrame(rows, "period date, pred_pd double, target int")
-    m = MonitoringSettings(backtest_amber=.6)
+    m = MonitoringSettings(min_n=500)
     back = monitoring.backtest(panel, m)
-    assert {r["period"].month: r["rag"] for r in back.collect()} == {1: "GREEN", 4: "RED"}
-    psi = monitoring.score_stability(panel, m)
-    assert {r["to"].month: r["rag"] for r in psi.collect()} == {4: "RED", 7: "RED"}
-    lights = monitoring.lights(back, psi)
-    assert tuple(monitoring.breaches(lights).first()) == (3, 0, 1)
+    # .021 predicted: 13 / 600 = .0217 observed; 7 / 600 = .0117 is 1.8 times too low; .3125: .3167.
+    assert {r["period"].month: r["rag"] for r in back.collect()} == {1: "GREEN", 4: "AMBER", 7: "GREEN"}
+    drift = monitoring.score_stability(panel, m)
+    assert {r["to"].month: r["rag"] for r in drift.collect()} == {4: "GREEN", 7: "RED", 10: "GREEN"}
+    every = monitoring.lights(back, drift)
+    assert every.count() == 6
+    assert tuple(monitoring.status(every).first())[1] == "RED"
+    assert tuple(monitoring.breaches(every).first())[0] == 1
 
 
 def test_status_uses_the_newest_light_of_each_source(spark):
