@@ -60,7 +60,7 @@ def log_rows(counts: DataFrame, status: str, sample_fraction: float,
         "vintage", "source_file", F.col("rows_master").cast("bigint").alias("rows_master"),
         F.col("rows_monthly").cast("bigint").alias("rows_monthly"),
         F.lit(float(sample_fraction)).alias("sample_fraction"), F.lit(status).alias("status"),
-        F.lit(message[:500]).alias("message"), F.current_timestamp().alias("finished_at"))
+        F.lit(message).alias("message"), F.current_timestamp().alias("finished_at"))
 
 
 def data_dictionary(spark: SparkSession) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Late and corrected quarters as they arrive: file stream, each batch replaces its vintages."""
+"""Late and corrected quarters as they arrive: a file stream that keeps the loan tables current.
+
+The stream only tells which quarters have new files. Each batch then loads these quarters whole,
+from all their files, with the same width check and audit rows as the batch ingest; so the tables
+do not depend on how files fell into batches, and a batch that runs twice changes nothing.
+"""
 
 from __future__ import annotations
 
@@ -6,39 +11,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lossloom import schema
 from lossloom.functions.dates import vintage_in_name
+from lossloom.plans.ingest import load_and_log
 from lossloom.sources import raw_files as raw
 from lossloom.sources.warehouse import Warehouse
 
 
 def quarter_stream(spark: SparkSession, folder: str,
-                   width: int = len(schema.FIELDS)) -> DataFrame:
-    """Text rows of new files with their vintage; the file source remembers what it has seen."""
-    return (
-        spark.readStream.schema(schema.raw_schema(width)).option("sep", "|")
-        .option("mode", "PERMISSIVE").csv(folder)
-        .withColumn("vintage", vintage_in_name(F.col("_metadata.file_name")))
-        .filter(F.col("vintage").isNotNull())
-    )
+                   max_files: int | None = None) -> DataFrame:
+    """(file, vintage) of the lines of new files; the file source remembers what it has seen."""
+    stream = spark.readStream.format("text")
+    if max_files is not None:
+        stream = stream.option("maxFilesPerTrigger", max_files)
+    return (stream.load(folder).select(F.col("_metadata.file_name").alias("file"))
+            .withColumn("vintage", vintage_in_name("file"))
+            .filter(F.col("vintage").isNotNull()))
 
 
 def start_ingest(spark: SparkSession, folder: str, root: str, checkpoint: str,
-                 width: int = len(schema.FIELDS)) -> StreamingQuery:
+                 max_files: int | None = None) -> StreamingQuery:
     """Process everything that is there and stop; run again (or on a schedule) for later files.
 
-    A batch that is retried after a failure overwrites the same vintages, so the tables end up the
-    same. ``checkpoint`` must be on storage that every executor reaches.
+    ``checkpoint`` must be on storage that every executor reaches.
     """
     store = Warehouse(spark, root)
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        rows = raw.with_types(batch)
-        store.replace_vintages(rows, "loan_level")
-        found = [r["vintage"] for r in rows.select("vintage").distinct().collect()]  # quarters
-        stored = store.read("loan_level").filter(F.col("vintage").isin(*found))
-        store.replace_vintages(raw.monthly_rows(stored), "loan_monthly")
-        store.replace_vintages(raw.master_rows(stored), "loan_master")
+    def reload(batch: DataFrame, _batch_id: int) -> None:
+        found = [r["vintage"] for r in batch.select("vintage").distinct().collect()]  # quarters
+        if found:
+            files = raw.list_files(spark, folder).filter(F.col("vintage").isin(*found))
+            load_and_log(spark, raw.inspect(spark, files), store)
 
-    return (quarter_stream(spark, folder, width).writeStream.foreachBatch(replace)
+    return (quarter_stream(spark, folder, max_files).writeStream.foreachBatch(reload)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lossloom import schema
 from lossloom.plans.ingest import ingest
-from lossloom.sources import feature_store, results, warehouse
+from lossloom.sources import feature_store, raw_files, results, warehouse
 from lossloom.streaming.vintages import start_ingest
 
 
@@ -63,17 +63,39 @@ def test_ingest_is_incremental_and_repeatable(spark, folder, tmp_path):
     assert store.read("metadata_catalog").count() == 64
 
 
-def test_stream_replaces_vintages(spark, folder, tmp_path):
-    (folder / "2018Q3.csv").unlink()
+def test_stream_keeps_all_files_of_a_quarter(spark, folder, tmp_path):
     (folder / "notes.csv").unlink()
     (folder / "2018Q4.zip").unlink()
     root, checkpoint = str(tmp_path / "wh"), str(tmp_path / "cp")
-    start_ingest(spark, str(folder), root, checkpoint).awaitTermination(120)
     store = warehouse.Warehouse(spark, root)
-    assert store.read("loan_monthly").count() == 4
-    (folder / "Performance_2018Q1_corrected.csv").write_text(line("A", "032018") + "\n")
+
+    def rows(table):
+        return {r["vintage"]: r["count"] for r in store.read(table).groupBy("vintage").count().collect()}
+
     start_ingest(spark, str(folder), root, checkpoint).awaitTermination(120)
-    assert store.read("loan_monthly").groupBy("vintage").count().filter("vintage = '2018Q1'").first()["count"] == 1
+    assert rows("loan_monthly") == {"2018Q1": 3, "2018Q2": 1}
+    (folder / "Performance_2018Q1_part2.csv").write_text(
+        "\n".join(line(x, "022018") for x in "EFG") + "\n")
+    (folder / "2018Q2_b.csv").write_text(line("H", "052018") + "\n")
+    start_ingest(spark, str(folder), root, checkpoint, max_files=1).awaitTermination(120)
+    assert rows("loan_monthly") == {"2018Q1": 6, "2018Q2": 2}
+    assert rows("loan_master") == {"2018Q1": 5, "2018Q2": 2}
+    log = store.read("ingestion_log")
+    assert {r["vintage"] for r in log.filter("status = 'FAILED'").collect()} == {"2018Q3"}
+    newest = log.filter("vintage = '2018Q1'").orderBy(F.desc("finished_at")).first()
+    assert (newest["rows_master"], newest["rows_monthly"]) == (5, 6)
+    start_ingest(spark, str(folder), root, checkpoint).awaitTermination(120)
+    assert rows("loan_monthly") == {"2018Q1": 6, "2018Q2": 2}
+
+
+def test_first_line_widths_come_from_one_job(spark, folder):
+    (folder / "empty_2019Q1.csv").write_text("")
+    paths = [r["path"] for r in raw_files.list_files(spark, str(folder)).collect()]
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    assert raw_files.first_line_widths(spark, paths) == {
+        "Performance_2018Q1.csv": 108, "2018-Q2.TXT": 110, "2018Q3.csv": 3}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - len(before) <= 3
+    assert raw_files.first_line_widths(spark, []) == {}
 
 
 def test_failed_quarters_are_tried_again(spark):

@@ -83,6 +83,25 @@ def raw_lines(spark, sf):
     return tables.full_panel(spark, sf).select("vintage", line.alias("line"))
 
 
+def raw_folder(spark, sf) -> str:
+    """The same lines as quarterly text files, named as they are delivered."""
+    folder = scratch(spark)
+    raw_lines(spark, sf).repartition("vintage").write.partitionBy("vintage").text(f"{folder}/out")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(f"{folder}/raw"))
+    for quarter in fs.listStatus(path(f"{folder}/out")):  # a few dozen quarters
+        name = quarter.getPath().getName()
+        if name.startswith("vintage="):
+            for k, f in enumerate(fs.listStatus(quarter.getPath())):
+                fs.rename(f.getPath(), path(f"{folder}/raw/Performance_{name[8:]}_{k}.csv"))
+    return f"{folder}/raw"
+
+
+def raw_paths(spark, folder: str) -> list[str]:
+    return [r["path"] for r in raw_files.list_files(spark, folder).collect()]
+
+
 @query("s3_raw_scan", """
 select vintage, count(*) as n, count(zero_balance_code) as coded,
   count(case when loan_id % 59 <> 0 then 1 end) as numeric_upb,
@@ -92,7 +111,7 @@ select vintage, count(*) as n, count(zero_balance_code) as coded,
   max(origination_date) as last_origination, sum(fico_orig) as fico
 from @panel group by vintage""")
 def s3(spark, sf):
-    rows = raw_files.with_types(raw_files.parse_lines(raw_lines(spark, sf)))
+    rows = raw_files.loan_level(spark, raw_paths(spark, raw_folder(spark, sf)))
     return rows.groupBy("vintage").agg(
         F.count(F.lit(1)).alias("n"), F.count("zero_balance_code").alias("coded"),
         F.count("upb_current").alias("numeric_upb"),
@@ -106,12 +125,36 @@ def s3(spark, sf):
 select width, count(*) as n, count(case when width > 108 then 1 end) as padded
 from (select case when loan_id % 61 = 0 then 110 else 108 end as width from @panel) group by width""")
 def s4(spark, sf):
-    rows = raw_files.parse_lines(raw_lines(spark, sf), width=110)
+    rows = raw_files.read_raw(spark, raw_paths(spark, raw_folder(spark, sf)), width=110)
     width = F.when(F.col("extra_field_110").isNotNull(), 110).otherwise(108)
     return rows.groupBy(width.alias("width")).agg(
         F.count(F.lit(1)).alias("n"), F.count("extra_field_109").alias("padded"))
 
 
+@query("s3_parsed_lines", """
+select vintage, count(*) as n, count(case when loan_id % 59 <> 0 then 1 end) as numeric_upb,
+  count(case when loan_id % 53 <> 0 then 1 end) as dated from @panel group by vintage""")
+def s3_lines(spark, sf):
+    rows = raw_files.with_types(raw_files.parse_lines(raw_lines(spark, sf)))
+    return rows.groupBy("vintage").agg(
+        F.count(F.lit(1)).alias("n"), F.count("upb_current").alias("numeric_upb"),
+        F.count("reporting_period").alias("dated"))
+
+
+@query("s17_ingest", """
+select vintage, count(distinct loan_id) as rows_master, count(*) as rows_monthly,
+  'SUCCESS' as status, count(*) as stored from @panel group by vintage""")
+def s17(spark, sf):
+    from lossloom.plans.ingest import ingest
+
+    root = scratch(spark)
+    audit = ingest(spark, raw_folder(spark, sf), root)
+    stored = warehouse.Warehouse(spark, root).read("loan_monthly").groupBy("vintage").agg(
+        F.count(F.lit(1)).alias("stored"))
+    return audit.join(stored, "vintage").select("vintage", "rows_master", "rows_monthly", "status",
+                                                "stored")
+
+
 @query("s5_vintage_parquet", "select vintage, count(*) as n from @panel group by vintage")
 def s5(spark, sf):
     store = warehouse.Warehouse(spark, scratch(spark))
