@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lossloom.functions.dates import quarter_index, quarter_label
 from lossloom.operators import ranks
-from lossloom.operators.durable import small_side
+from lossloom.operators.durable import durable, small_side
 from lossloom.operators.quality import _row, long_values
 from lossloom.params import QualityLimits
 
@@ -19,16 +19,16 @@ MIN_ROWS = 20
 def stability(values: DataFrame, period: str, bins: int = 10) -> DataFrame:
     """PSI of each period against the one before it, for every feature, in one job.
 
-    ``values`` has ``period``, ``feature`` and ``x``. Bins are the earlier period's quantiles. The
-    data is read once: everything is derived from counts of distinct values. Rows come out for
-    every consecutive pair of periods, ``psi`` is null where a side has too few rows or bins.
+    ``values`` has ``period``, ``feature`` and ``x``. Bins are the earlier period's quantiles. They
+    come from compacted counts; then rows are counted per bin of both sets of edges, combined
+    before the shuffle, so no distinct values are shuffled. ``values`` is read three times: pass
+    stored columns. Rows come out for every consecutive pair of periods, ``psi`` is null where a
+    side has too few rows or bins.
     """
     keys = ["feature", period]
-    counts = ranks.value_counts(values.filter(F.col(period).isNotNull()), keys, "x",
-                                keep_nulls=True)
-    sliced = ranks.cut_into_slices(counts, keys, "x")
-    ranked = ranks.running_totals(sliced, keys, "x", ["n"])
+    values = values.filter(F.col(period).isNotNull())
     probs = [i / bins for i in range(bins + 1)]
+    _, ranked = ranks.ranked_counts(values, keys, "x", probs, keep_nulls=True)
     quantiles = ranks.quantiles_of_counts(ranked, keys, "x", probs)
     in_order = W.partitionBy("feature").orderBy(period)
     # One row per feature and period: the number of quarters, not of loans.
@@ -43,10 +43,14 @@ def stability(values: DataFrame, period: str, bins: int = 10) -> DataFrame:
     def usable(edge_col: str, mine: str, other: str) -> Column:
         return ((F.size(edge_col) >= 3) & (F.col(mine) >= MIN_ROWS) & (F.col(other) >= MIN_ROWS))
 
-    binned = sliced.filter(F.col("x").isNotNull()).join(edges, keys).withColumns({
-        "_own_bin": ranks.bin_of(F.col("x"), F.col("own"), bins),
-        "_earlier_bin": F.when(F.col("earlier").isNotNull(),
-                               ranks.bin_of(F.col("x"), F.col("earlier"), bins))})
+    x = F.col("x").cast("double")
+    rows = values.select(*keys, x.alias("x")).filter(x.isNotNull() & ~F.isnan(x))
+    binned = rows.join(edges.select(*keys, "own", "earlier", "from", "next"), keys).select(
+        *keys, "from", "next", ranks.bin_of(F.col("x"), F.col("own"), bins).alias("_own_bin"),
+        F.when(F.col("earlier").isNotNull(),
+               ranks.bin_of(F.col("x"), F.col("earlier"), bins)).alias("_earlier_bin")
+    ).groupBy(*keys, "from", "next", "_own_bin", "_earlier_bin").agg(
+        F.count(F.lit(1)).alias("n"))
     sides = binned.select("feature", "n", F.explode(F.array(
         F.struct(F.col("next").alias("to"), F.col("_own_bin").alias("bin"),
                  F.lit(True).alias("is_base")),
@@ -72,6 +76,7 @@ def stability(values: DataFrame, period: str, bins: int = 10) -> DataFrame:
 
 def stability_of_two(df: DataFrame, baseline: str, compare: str, bins: int = 10) -> DataFrame:
     """PSI of one column against another of the same rows (one row, ``psi``)."""
+    df = durable(df.select(baseline, compare))  # read three times
     both = df.select(F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col(baseline).cast("double").alias("x")),
         F.struct(F.lit(1).alias("side"), F.col(compare).cast("double").alias("x")))).alias("v"))

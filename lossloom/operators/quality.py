@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lossloom.functions.bounds import no_nan
 from lossloom.operators import ranks
 from lossloom.params import QualityLimits
 from lossloom.schema import CHECK_RESULT
@@ -138,30 +139,28 @@ def long_values(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -
 def outlier_check(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Share outside 1.5 interquartile ranges, all columns in one job; report only.
 
-    Quartiles interpolate linearly. The distinct-value counts that give the quartiles also give
-    the outlier counts, so the table is read once.
+    Quartiles interpolate linearly and come from compacted counts; then one aggregate without a
+    shuffle of rows counts what lies outside. The limits of the checked columns, two numbers each,
+    pass through the driver.
     """
     columns = [c for c in columns if c in df.columns]
-    counts = ranks.value_counts(long_values(df, columns), ["feature"], "x")
-    sliced = ranks.cut_into_slices(counts, ["feature"], "x")
-    ranked = ranks.running_totals(sliced, ["feature"], "x", ["n"])
-    quartiles = ranks.quantiles_of_counts(ranked, ["feature"], "x", [0.25, 0.75])
-    q1, q3 = F.get("quantiles", F.lit(0)), F.get("quantiles", F.lit(1))
-    limits = quartiles.filter(F.col("n_total") >= MIN_FOR_OUTLIERS).select(
-        "feature", (q1 - 1.5 * (q3 - q1)).alias("_lo"), (q3 + 1.5 * (q3 - q1)).alias("_hi"))
-    # One row per checked column.
-    outside = (
-        sliced.join(F.broadcast(limits), "feature")
-        .groupBy("feature", "_lo", "_hi")
-        .agg(F.sum(F.when((F.col("x") < F.col("_lo")) | (F.col("x") > F.col("_hi")), F.col("n"))
-                   .otherwise(0)).alias("out"))
-    )
-    rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
-    return outside.select(_row(
-        table, "outlier", F.col("feature"), "outlier_pct",
-        F.round(F.lit(100.0) * F.col("out") / rows, 4), None, "INFO",
-        F.concat(F.col("feature"), F.lit(": "), F.col("out"), F.lit(" outlier(s)"))
-    ).alias("r")).select("r.*")
+    quartiles = ranks.exact_quantiles(long_values(df, columns), ["feature"], "x", [0.25, 0.75])
+    limits = {r["feature"]: r["quantiles"] for r in
+              quartiles.filter(F.col("n_total") >= MIN_FOR_OUTLIERS).collect()}
+    if not limits:
+        return df.sparkSession.createDataFrame([], CHECK_RESULT)
+
+    def outside(column: str) -> Column:
+        q1, q3 = limits[column]
+        x, reach = no_nan(F.col(column).cast("double")), 1.5 * (q3 - q1)
+        return F.count_if((x < q1 - reach) | (x > q3 + reach)).alias(f"_out_{column}")
+
+    counted = df.agg(F.count(F.lit(1)).alias("_rows"), *map(outside, limits))
+    return counted.select(F.explode(F.array(*[_row(
+        table, "outlier", F.lit(c), "outlier_pct",
+        F.round(F.lit(100.0) * F.col(f"_out_{c}") / F.col("_rows"), 4), None, "INFO",
+        F.concat(F.lit(f"{c}: "), F.col(f"_out_{c}"), F.lit(" outlier(s)"))) for c in limits
+    ])).alias("r")).select("r.*")
 
 
 def master_checks(master: DataFrame, expected: list[str],

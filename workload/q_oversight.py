@@ -207,7 +207,8 @@ PSI_SQL = f"""{edges_sql('@scored', 'period', 'p', 'pred_pd')},
 @query("v12_score_stability", f"""
 with {PSI_SQL} select "from", "to", round(psi, 8) as psi, rag from psis""")
 def v12(spark, sf):
-    return monitoring.score_stability(backtest_panel(spark, sf)).withColumn(
+    panel = durable(backtest_panel(spark, sf).select("period", "pred_pd"))
+    return monitoring.score_stability(panel).withColumn(
         "psi", F.round("psi", 8))
 
 
