@@ -14,10 +14,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lossloom.functions.bounds import clip, no_nan
+from lossloom.functions.hashing import hash32
 from lossloom.operators.binning import WoeMap, fit_woe
+from lossloom.operators.durable import small_side
 from lossloom.operators.metrics import best_by_auc, class_weight, ranking_metrics, score_counts
 from lossloom.operators.regression import medians
 
@@ -53,6 +56,25 @@ class Scorecard:
     def intercept(self) -> float:
         return float(self.model.stages[-1].intercept)
 
+    def log_odds(self) -> Column:
+        """Log-odds of being bad as an expression over the raw features."""
+        out = F.lit(self.intercept)
+        for name, weight in self.coefficients.items():
+            out = out + F.lit(weight) * self.woe.column(name)
+        return out
+
+    def scaling_record(self, pdo: float = 20, base_score: float = 600,
+                       base_odds: float = 50.0) -> dict:
+        """What turns this card into points: factor, offset, coefficients and intercept."""
+        factor = pdo / log(2)
+        return {"pdo": pdo, "base_score": base_score, "base_odds": base_odds, "factor": factor,
+                "offset": base_score - factor * log(base_odds),
+                "coefficients": self.coefficients, "intercept": self.intercept}
+
+    def points(self, record: dict) -> Column:
+        """Points of a row by a scaling record of this card."""
+        return F.lit(record["offset"]) - F.lit(record["factor"]) * self.log_odds()
+
     def score(self, df: DataFrame, out: str = "pd") -> DataFrame:
         scored = self.model.transform(self.woe.transform(df))
         return (scored.withColumn(out, vector_to_array("probability")[1])
@@ -132,15 +154,36 @@ def fit_trees(train: DataFrame, features: list[str], target: str = "target",
     return BoostedTrees(model, fill, list(features))
 
 
+RANGES = 65_536
+
+
+def stratified_folds(df: DataFrame, key: Column, target: str = "target", folds: int = 3,
+                     seed: int = 42) -> DataFrame:
+    """Add ``fold``: every class is dealt evenly, so class counts of folds differ by one at most.
+
+    Rows are numbered per class in hash order without a global sort: counts of 65,536 hash ranges
+    give each range its first number, and only rows of one class and range are ranked together.
+    """
+    hashed = df.withColumn("_h", hash32(key, seed)).withColumn("_tie", F.md5(key)).withColumn(
+        "_range", F.floor(F.col("_h") / (1 << 16)).cast("int"))
+    counts = hashed.groupBy(target, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    order = W.partitionBy(target).orderBy("_range")  # at most RANGES rows per class
+    starts = counts.select(target, "_range", (F.sum("_n").over(order) - F.col("_n")).alias("_first"))
+    own = F.row_number().over(W.partitionBy(target, "_range").orderBy("_h", "_tie")) - 1
+    fold = ((F.col("_first") + own) % folds).cast("int").alias("fold")
+    return hashed.join(small_side(starts, 2 * RANGES), [target, "_range"]).select(
+        *df.columns, fold)
+
+
 def cross_validated_auc(df: DataFrame, features: list[str], target: str = "target",
-                        estimator=None, folds: int = 3, seed: int = 42) -> float:
-    """Mean area under the ROC curve over ``folds`` held-out parts."""
+                        estimator=None, folds: int = 3, fold: str = "fold") -> float:
+    """Mean exact area under the ROC curve over the held-out parts of column ``fold``."""
     data = VectorAssembler(inputCols=features, outputCol="features").transform(df)
-    data = data.select("features", F.col(target).cast("double").alias("label"))
+    data = data.select("features", F.col(target).cast("double").alias("label"), fold)
     runner = CrossValidator(
-        estimator=estimator or LogisticRegression(), numFolds=folds, seed=seed,
+        estimator=estimator or LogisticRegression(), numFolds=folds, foldCol=fold,
         estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"))
+        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0))
     return float(runner.fit(data).avgMetrics[0])
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -142,13 +141,26 @@ GRID_CASES = [  # position, cpr, horizon, downturn severity, weights
     (0, "1e-1", 60, DOWNTURN_LGD, (0.5, 0.25, 0.25)), (1, "0e0", 60, DOWNTURN_LGD, (0.5, 0.25, 0.25)),
     (2, "2e-1", 60, DOWNTURN_LGD, (0.5, 0.25, 0.25)), (3, "1e-1", 36, DOWNTURN_LGD, (0.5, 0.25, 0.25)),
     (4, "1e-1", 60, 0.45, (0.5, 0.25, 0.25)), (5, "1e-1", 60, DOWNTURN_LGD, (0.3, 0.1, 0.6))]
-GRID_ROWS = ", ".join(
-    f"({i}, {cpr}, {h}, '{s}', {w}e0, {d if s == 'downside' else BASE_LGD}e0)"
-    for i, cpr, h, d, ws in GRID_CASES for s, w in zip(("base", "upside", "downside"), ws))
+EVEN = (0.5, 0.25, 0.25)
+LEVER_CASES = [(0, "1e-1", 60, DOWNTURN_LGD, EVEN), (1, "0e0", 60, DOWNTURN_LGD, EVEN),
+               (2, "5e-2", 60, DOWNTURN_LGD, EVEN), (3, "1e-1", 60, DOWNTURN_LGD, EVEN),
+               (4, "2e-1", 60, DOWNTURN_LGD, EVEN), (5, "1e-1", 36, DOWNTURN_LGD, EVEN),
+               (6, "1e-1", 48, DOWNTURN_LGD, EVEN), (7, "1e-1", 60, DOWNTURN_LGD, EVEN),
+               (8, "1e-1", 60, 0.30, EVEN), (9, "1e-1", 60, 0.35, EVEN), (10, "1e-1", 60, 0.45, EVEN),
+               (11, "1e-1", 60, DOWNTURN_LGD, EVEN), (12, "1e-1", 60, DOWNTURN_LGD, (0.4, 0.2, 0.4)),
+               (13, "1e-1", 60, DOWNTURN_LGD, (0.3, 0.1, 0.6))]
 
-GRID_SQL = f"""
+
+def case_rows(cases):
+    return ", ".join(
+        f"({i}, {cpr}, {h}, '{s}', {w}e0, {d if s == 'downside' else BASE_LGD}e0)"
+        for i, cpr, h, d, ws in cases for s, w in zip(("base", "upside", "downside"), ws))
+
+
+def grid_sql(given):
+    return f"""
 with paths as materialized ({PATH_SQL}),
-cases as (select * from (values {GRID_ROWS}) v(position, cpr, horizon, scenario, w, l)),
+cases as (select * from (values {case_rows(given)}) v(position, cpr, horizon, scenario, w, l)),
 anchors as (select position, sum(w * mult) as anchor, sum(w * l) as wl from cases join paths using (scenario)
   where t = 1 group by position),
 -- Loans with the same inputs have the same loss per unit of balance: evaluate distinct inputs once.
@@ -171,7 +183,7 @@ select position, round(total_ecl, 1) as total_ecl,
 from totals"""
 
 
-@query("v10_sensitivity_grid", GRID_SQL)
+@query("v10_sensitivity_grid", grid_sql(GRID_CASES))
 def v10(spark, sf):
     cases = loss.sensitivity_cases(grid_paths(spark, sf), SCENARIOS.weights, BASE_LGD,
                                    DOWNTURN_LGD, LOSS, GRID)
@@ -181,11 +193,15 @@ def v10(spark, sf):
                       F.round("delta_vs_base_pct", 6).alias("delta_vs_base_pct"))
 
 
-@query("v10_sensitivity_levers")
+@query("v10_sensitivity_levers", grid_sql(LEVER_CASES))
 def v10_levers(spark, sf):
+    """All levers of the settings."""
     cases = loss.sensitivity_cases(grid_paths(spark, sf), SCENARIOS.weights, BASE_LGD,
-                                   DOWNTURN_LGD, LOSS, replace(ValidationSettings()))
-    return loss.sensitivity_grid(book(spark, sf), cases)
+                                   DOWNTURN_LGD, LOSS, ValidationSettings())
+    out = durable(loss.sensitivity_grid(book(spark, sf), cases))
+    return out.select("position", F.round("total_ecl", 1).alias("total_ecl"),
+                      F.round("coverage_pct", 6).alias("coverage_pct"),
+                      F.round("delta_vs_base_pct", 6).alias("delta_vs_base_pct"))
 
 
 @query("v11_traffic_light", """
