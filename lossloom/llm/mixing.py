@@ -4,8 +4,9 @@ Weights are token shares raised to an exponent between 1 (the natural mix) and 0
 alike). The smallest exponent is bisected at which the entropy of the weights stays within its
 target and no source is repeated more often than allowed. Each source then gets its share of the
 token budget as whole permutations of its documents (epochs) and one last permutation, cut where
-the budget ends. A permutation deals documents to blocks by hash and orders each block by hash, so
-that prefix sums run over blocks and only the block of the cut is ordered.
+the budget ends. A permutation deals n documents to about the root of n blocks by hash and orders each
+block by hash: prefix sums run over blocks, only the block of the cut is ordered, and neither has more
+than about the root of n rows.
 """
 
 from __future__ import annotations
@@ -24,11 +25,10 @@ from lossloom.llm.text import whole, words
 @dataclass(frozen=True)
 class Mix:
     """Targets: entropy as a share of the largest possible, repeats of a source, token budget
-    (None: all tokens there are); documents in a block; seed of the permutations."""
+    (None: all tokens there are); seed of the permutations."""
     entropy: float = 0.95
     max_repeats: float = 4.0
     tokens: int | None = None
-    block_docs: int = 16_384
     seed: int = 42
 
 
@@ -81,7 +81,7 @@ def plan(rows: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
 
     ``rows`` has __ll_source, __ll_tokens and __ll_id (id and text hash as text). The counts combine
     before they are shuffled; the cut needs the token sums of blocks, then the documents of one
-    block per source, about ``block_docs`` of them.
+    block per source.
     """
     sources = stored(rows.groupBy("__ll_source").agg(
         F.sum("__ll_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")))
@@ -97,7 +97,7 @@ def plan(rows: DataFrame, mix: Mix = DEFAULT) -> DataFrame:
         "__ll_source", "tokens", "docs", (p / z).alias("weight"), target.alias("target"),
         F.floor(target / F.col("tokens")).cast("int").alias("epochs"),
         (target % F.col("tokens")).alias("rest"),
-        F.ceil(F.col("docs") / F.lit(mix.block_docs)).cast("long").alias("blocks")))
+        F.ceil(F.sqrt(F.col("docs").cast("double"))).cast("long").alias("blocks")))
     drawn = join_on_hot_key(rows, goal.select("__ll_source", "epochs", "rest", "blocks"),
                             "__ll_source", "__ll_id", "inner").withColumns(
         {"place": place(F.col("epochs"), mix)}).withColumn("block", block(F.col("place"),
@@ -218,7 +218,7 @@ goal as (
          as target from shares, chosen),
 cut as (
   select source, target // tokens as epochs, target % tokens as rest,
-         cast(ceil(docs / {mix.block_docs}) as bigint) as blocks from goal),
+         cast(ceil(sqrt(docs)) as bigint) as blocks from goal),
 draws as (
   select r.*, c.epochs, c.rest, c.blocks, unnest(range(0, c.epochs + 1)) as epoch
   from rows r join cut c on r.source is not distinct from c.source),

@@ -1,7 +1,7 @@
 """Mixing against the same rules in plain Python and in SQL."""
 
 import hashlib
-from math import log
+from math import ceil, log, sqrt
 
 import duckdb
 import pandas as pd
@@ -9,7 +9,7 @@ import pytest
 
 from lossloom.llm import mixing as m
 
-MIX = m.Mix(entropy=0.9, max_repeats=3.0, block_docs=8)
+MIX = m.Mix(entropy=0.9, max_repeats=3.0)
 
 
 def rows():
@@ -45,7 +45,7 @@ def plain(rows, mix):
     for s in total:
         target = round(p[s] ** high / z * everything)
         own = [(r, n) for r, n in zip(rows, size, strict=True) if r[2] == s]
-        blocks = -(-len(own) // mix.block_docs)
+        blocks = ceil(sqrt(len(own)))
         epochs, rest = divmod(target, total[s])
         for e in range(epochs + 1):
             placed = []
@@ -93,10 +93,10 @@ def test_targets_hold(docs):
 
 
 def test_repeats_bind_and_budgets_differ(docs):
-    want, _ = plain(rows(), m.Mix(entropy=1.0, max_repeats=1.5, block_docs=1000))
-    got = m.mixed(docs, m.Mix(entropy=1.0, max_repeats=1.5, block_docs=1000)).collect()
+    want, _ = plain(rows(), m.Mix(entropy=1.0, max_repeats=1.5))
+    got = m.mixed(docs, m.Mix(entropy=1.0, max_repeats=1.5)).collect()
     assert sorted(str(tuple(r)) for r in got) == want
-    small = m.mixed(docs, m.Mix(tokens=500, block_docs=4)).toPandas()
+    small = m.mixed(docs, m.Mix(tokens=500)).toPandas()
     assert 0 < small.n_tokens.sum() <= 500
 
 
