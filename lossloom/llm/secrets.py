@@ -19,7 +19,8 @@ from lossloom.llm.pii import located
 from lossloom.llm.storage import stored
 from lossloom.llm.text import bucket, whole, words
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}"
+# An equals sign belongs to a candidate as padding only; before a value it ends the name.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:={1,2}+(?![A-Za-z0-9+/_-]))?"
 # Words that stand before assigned secrets, and parts of paths that hold made-up ones.
 KEYWORD = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private|credential|auth)"
 ASSIGNED = KEYWORD + r"[A-Za-z0-9_. -]{0,16}[\"']?\s*(=|:|:=|=>)\s*[\"']?$"
@@ -71,10 +72,19 @@ def candidates(docs: DataFrame, doc_id: str, text: str, path: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"),
                        F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
                        whole(text).alias("t")).select(
-        "doc_id", "path", F.explode(located(F.col("t"), CANDIDATE, "[A-Za-z0-9+/_-]{16}")).alias("c")
+        "doc_id", "path", located(F.col("t"), CANDIDATE, "[A-Za-z0-9+/_-]{16}").alias("found")).select(
+        "doc_id", "path", F.explode(F.transform("found", with_name)).alias("c")
     ).select("doc_id", "path", "c.*")
 
 
+def with_name(c: Column, i: Column) -> Column:
+    """``left`` goes on into the candidate before, if that is near: it may be the name."""
+    last = F.get("found", i - 1)
+    near = last["end"] + F.length(c["left"]) == c["start"]
+    return c.withField("left", F.when((i > 0) & near, F.substring(
+        F.concat(last["m"], c["left"]), -48, 48)).otherwise(c["left"]))
+
+
 def codes(m: Column) -> Column:
     """Letter numbers of the candidate's characters, lower-cased; others lie outside 0 to 25."""
     return F.transform(F.split(F.lower(m), ""), lambda x: F.ascii(x) - 97)
