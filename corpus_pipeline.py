@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
 columns of ``docs``. ``run`` writes each stage to the shared checkpoint folder before the next.
+
+In every stage null texts count as empty (the rules reject them), texts are read whole, rows with a
+null id are documents of their own, rows repeated in id and text count as exact copies (one stays),
+other columns pass through under any name, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossloom.llm import decontaminate, mixing, near_copies, pii, quality_rules
+from lossloom.llm import decontaminate, mixing, pii, quality_rules, simhash
 from lossloom.llm.storage import stored
 
 
@@ -19,8 +23,9 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class of near copies: 5-word shingles, similarity 0.8."""
-    return near_copies.keep_one(docs)
+    """Keep one document of each class of near copies: fingerprints of 3-word shingles that differ
+    in at most 3 bits, as the near-duplicate operator links them."""
+    return simhash.keep_one(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
