@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lossloom.llm import (
     decontaminate,
+    exact_copies,
     language,
     language_model,
     line_quality,
     mixing,
     pii,
+    pivot_clusters,
     preferences,
     quality_rules,
     secrets,
     simhash,
+    spelling,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +89,18 @@ def op4(spark, sf):
 def op10(spark, sf):
     convs = preferences.conversations(table(spark, sf, "conversations"))
     return preferences.digest(preferences.format_pairs(preferences.rejected_replies(convs)))
+
+
+@query("op11_pivot_clusters", pivot_clusters.oracle())
+def op11(spark, sf):
+    return pivot_clusters.cluster_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op12_exact_copies", exact_copies.oracle())
+def op12(spark, sf):
+    return exact_copies.judge(table(spark, sf, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark, sf):
+    return spelling.spelling_variants(table(spark, sf, "documents"))

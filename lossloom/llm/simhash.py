@@ -200,23 +200,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                          "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mark=fingerprint,
-             tied_prints: DataFrame | None = None) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of ``docs`` per class: the row of the smallest id (null ids last).
 
-    ``tied_prints`` (fp, root) are classes over other fingerprints, those of the function ``mark``.
-
-    Rows are told apart by id and fingerprint; of rows alike in both one stays. The fingerprint
+    Null and empty texts are one class. Rows are told apart by id and fingerprint; of rows alike in
+    both one stays. An empty table gives no rows, other columns pass through. The fingerprint
     is computed again beside the text, and the rows kept are found by a join on id and
     fingerprint, which has no hot keys.
     """
-    rows = stored(docs.select(F.col(doc_id).alias("id"), mark(text).alias("fp")))
-    prints = rows.groupBy("fp").agg(
-        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first"))
-    prints = stored(prints)
-    if tied_prints is None:
-        tied_prints = classes(prints.select("fp"))
-    tied = prints.join(tied_prints, "fp", "left")
+    rows = digest(docs, doc_id, text)
+    prints = stored(rows.groupBy("fp").agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id")).alias("first")))
+    tied = prints.join(classes(prints.select("fp")), "fp", "left")
     chosen = tied.groupBy(F.coalesce("root", "fp").alias("root")).agg(
         F.min(F.struct("first.no_id", "first.id", "fp")).alias("c")).select(
         F.col("c.id").alias("__ll_id"), F.col("c.fp").alias("__ll_fp"))
@@ -225,7 +220,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mark=f
     again = chosen.join(rows, both).groupBy("__ll_id", "__ll_fp").agg(
         F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     again = stored(again)
-    marked = docs.withColumn("__ll_print", mark(text))
+    marked = docs.withColumn("__ll_print", fingerprint(text))
 
     def same(right: DataFrame) -> Column:
         return marked[doc_id].eqNullSafe(right["__ll_id"]) & (
