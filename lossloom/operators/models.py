@@ -11,16 +11,16 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lossloom.functions.bounds import clip, no_nan
+from lossloom.functions.bounds import no_nan
 from lossloom.functions.hashing import hash32
 from lossloom.operators.binning import WoeMap, fit_woe
 from lossloom.operators.durable import small_side
+from lossloom.operators.isotonic import Calibrator, fit_calibrator  # noqa: F401
 from lossloom.operators.metrics import best_by_auc, class_weight, ranking_metrics, score_counts
 from lossloom.operators.regression import medians
 
@@ -136,8 +136,8 @@ class TreeSettings:
     seed: int = 42
 
 
-# The two boosted candidates; trees of 31 leaves are five levels deep.
-CANDIDATES = {"xgboost": TreeSettings(trees=300, depth=5), "lightgbm": TreeSettings(trees=400)}
+# Sizes of the two boosted candidates; trees of 31 leaves are five levels deep.
+CANDIDATES = {"boosted_300": TreeSettings(trees=300, depth=5), "boosted_400": TreeSettings(trees=400)}
 
 
 def fit_trees(train: DataFrame, features: list[str], target: str = "target",
@@ -187,29 +187,6 @@ def cross_validated_auc(df: DataFrame, features: list[str], target: str = "targe
     return float(runner.fit(data).avgMetrics[0])
 
 
-@dataclass
-class Calibrator:
-    """Monotone map from score to observed rate, linear between its points, flat outside."""
-
-    model: IsotonicRegressionModel
-
-    def apply(self, df: DataFrame, score: str, out: str) -> DataFrame:
-        renamed = df.withColumn("_score", F.col(score).cast("double"))
-        fitted = self.model.transform(renamed).withColumn("_fit", clip(F.col("_fit"), 0.0, 1.0))
-        return fitted.withColumn(out, F.col("_fit")).drop("_score", "_fit")
-
-
-def fit_calibrator(scored: DataFrame, score: str, target: str) -> Calibrator:
-    """Isotonic regression on distinct scores weighted by their row counts."""
-    points = scored.filter(F.col(score).isNotNull()).groupBy(
-        F.col(score).cast("double").alias("_score")).agg(
-        F.avg(F.col(target).cast("double")).alias("_rate"),
-        F.count(F.lit(1)).cast("double").alias("_n"))
-    iso = IsotonicRegression(featuresCol="_score", labelCol="_rate", weightCol="_n",
-                             predictionCol="_fit", isotonic=True)
-    return Calibrator(iso.fit(points))
-
-
 def calibration_summary(scored: DataFrame, score: str, calibrated: str,
                         target: str) -> DataFrame:
     return scored.agg(F.avg(target).alias("observed_default_rate"),

@@ -1,7 +1,7 @@
 """Fitted models on shared storage: fit once, load in later stages.
 
-A model is a folder with its MLlib part (if it has one) and one line of JSON with everything that
-MLlib does not keep: bins, fill values, feature names, coefficients.
+A model is a folder with its MLlib part or its pools (if it has any) and one line of JSON with
+everything else: bins, fill values, feature names, coefficients.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import json
 from dataclasses import asdict
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import SparkSession
 
 from lossloom.operators.binning import WoeMap
@@ -33,7 +32,9 @@ def save_fitted(spark: SparkSession, fitted: Fitted, path: str) -> None:
         extra = asdict(fitted)
     else:
         extra = {}
-    if isinstance(fitted, Scorecard | BoostedTrees | Calibrator):
+    if isinstance(fitted, Calibrator):
+        fitted.pools.write.mode("overwrite").parquet(f"{path}/pools")
+    if isinstance(fitted, Scorecard | BoostedTrees):
         fitted.model.write().overwrite().save(f"{path}/mllib")
     line = json.dumps({"kind": kind, **extra})
     spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(
@@ -49,7 +50,7 @@ def load_fitted(spark: SparkSession, path: str) -> Fitted:
     if kind == "BoostedTrees":
         return BoostedTrees(PipelineModel.load(f"{path}/mllib"), rest["fill"], rest["features"])
     if kind == "Calibrator":
-        return Calibrator(IsotonicRegressionModel.load(f"{path}/mllib"))
+        return Calibrator(spark.read.parquet(f"{path}/pools"))
     if kind == "WoeMap":
         return WoeMap(rest["bins"])
     return LinearFit(tuple(rest["features"]), tuple(rest["coefficients"]), rest["intercept"],

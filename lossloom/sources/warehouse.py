@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lossloom import schema
 
 VINTAGE_TABLES = ("loan_master", "loan_monthly")
+# Fixed value: characters of an audit message.
+MESSAGE_WIDTH = 500
 
 
 class Warehouse:
@@ -55,12 +57,15 @@ def not_yet_ingested(files: DataFrame, log: DataFrame | None, force: bool = Fals
 
 def log_rows(counts: DataFrame, status: str, sample_fraction: float,
              message: str = "") -> DataFrame:
-    """Audit rows from ``vintage, source_file, rows_master, rows_monthly``."""
+    """Audit rows from ``vintage, source_file, rows_master, rows_monthly``.
+
+    The message is cut to the width of its field.
+    """
     return counts.select(
         "vintage", "source_file", F.col("rows_master").cast("bigint").alias("rows_master"),
         F.col("rows_monthly").cast("bigint").alias("rows_monthly"),
         F.lit(float(sample_fraction)).alias("sample_fraction"), F.lit(status).alias("status"),
-        F.lit(message).alias("message"), F.current_timestamp().alias("finished_at"))
+        F.lit(message[:MESSAGE_WIDTH]).alias("message"), F.current_timestamp().alias("finished_at"))
 
 
 def data_dictionary(spark: SparkSession) -> DataFrame:

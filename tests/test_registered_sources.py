@@ -2,7 +2,8 @@
 
 import pytest
 
-from lossloom.sources import raw_files
+from lossloom.sources import raw_files, warehouse
+from workload import tables
 from workload.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -14,9 +15,32 @@ def test_files_are_listed_and_read(spark, monkeypatch, name):
     plain = raw_files.list_files
     monkeypatch.setattr(raw_files, "list_files", lambda *a, **k: seen.append(a) or plain(*a, **k))
     monkeypatch.setattr("lossloom.plans.ingest.list_files", raw_files.list_files, raising=False)
-    assert QUERIES[name](spark, SF).count() > 0
+    rows = QUERIES[name](spark, SF).collect()
     assert seen
+    panel = tables.full_panel(spark, SF)
+    column = "rows_monthly" if name == "s17_ingest" else "n"
+    assert sum(r[column] for r in rows) == panel.count()
+    if name != "s4_positional_names":
+        assert len(rows) == panel.select("vintage").distinct().count()
 
 
 def test_parsed_lines_are_registered():
     assert "s3_parsed_lines" in QUERIES
+
+
+def test_files_that_are_passed_over_are_named(spark, tmp_path):
+    for name in ("Performance_2018Q1.csv", "Performance_1995Q2.csv", "notes.csv", "2018Q2.zip"):
+        (tmp_path / name).write_text("x")
+    assert [r.file for r in raw_files.list_files(spark, str(tmp_path)).collect()] == [
+        "Performance_2018Q1.csv"]
+    out = {r.file: r.reason for r in raw_files.left_out_files(spark, str(tmp_path)).collect()}
+    assert out == {"Performance_1995Q2.csv": "no quarter in the name",
+                   "notes.csv": "no quarter in the name", "2018Q2.zip": "not a data file"}
+
+
+def test_audit_message_is_cut_to_its_field(spark):
+    counts = spark.createDataFrame([("2018Q1", "a.csv", 1, 2)],
+                                   "vintage string, source_file string, rows_master int, "
+                                   "rows_monthly int")
+    row = warehouse.log_rows(counts, "FAILED", 1.0, "x" * 880).first()
+    assert row.message == "x" * 500

@@ -11,7 +11,7 @@ from lossloom.sources.warehouse import Warehouse
 from workload import common, tables
 
 SF = "/root/testdata/sf0.001"
-TREES = {"xgboost": models.TreeSettings(trees=3, depth=3)}
+TREES = {"boosted": models.TreeSettings(trees=3, depth=3)}
 
 
 def test_every_stage_runs(spark, tmp_path):
@@ -31,7 +31,7 @@ def test_every_stage_runs(spark, tmp_path):
     assert contest.metrics.count() == 2 and contest.metrics.filter("auc > 0.5").count() == 2
     prepay = prepayment.fit_prepay_models(
         feats, monthly, macro, params.PrepaySettings(split_date="1999-01-01", max_train_rows=5_000), TREES, out)
-    assert prepay.best in ("scorecard", "xgboost")
+    assert prepay.best in ("scorecard", "boosted")
 
     pit = params.PitSettings(min_n=50)
     anchor = default_model.calibrate_point_in_time(

@@ -83,10 +83,17 @@ def raw_lines(spark, sf):
     return tables.full_panel(spark, sf).select("vintage", line.alias("line"))
 
 
+# File names carry years of this century only; the derived loans begin in 1995.
+LATER = 10
+LATER_SQL = f"concat(cast(substr(vintage, 1, 4) as int) + {LATER}, substr(vintage, 5))"
+
+
 def raw_folder(spark, sf) -> str:
-    """The same lines as quarterly text files, named as they are delivered."""
+    """The same lines as quarterly text files, named as they are delivered, LATER years on."""
     folder = scratch(spark)
-    raw_lines(spark, sf).repartition("vintage").write.partitionBy("vintage").text(f"{folder}/out")
+    later = F.concat(F.substring("vintage", 1, 4).cast("int") + LATER, F.substring("vintage", 5, 2))
+    lines = raw_lines(spark, sf).withColumn("vintage", later)
+    lines.repartition("vintage").write.partitionBy("vintage").text(f"{folder}/out")
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(f"{folder}/raw"))
@@ -102,8 +109,8 @@ def raw_paths(spark, folder: str) -> list[str]:
     return [r["path"] for r in raw_files.list_files(spark, folder).collect()]
 
 
-@query("s3_raw_scan", """
-select vintage, count(*) as n, count(zero_balance_code) as coded,
+@query("s3_raw_scan", f"""
+select {LATER_SQL} as vintage, count(*) as n, count(zero_balance_code) as coded,
   count(case when loan_id % 59 <> 0 then 1 end) as numeric_upb,
   round(sum(case when loan_id % 59 <> 0 then upb_current end), 2) as upb,
   count(case when loan_id % 53 <> 0 then 1 end) as dated,
@@ -141,8 +148,8 @@ def s3_lines(spark, sf):
         F.count("reporting_period").alias("dated"))
 
 
-@query("s17_ingest", """
-select vintage, count(distinct loan_id) as rows_master, count(*) as rows_monthly,
+@query("s17_ingest", f"""
+select {LATER_SQL} as vintage, count(distinct loan_id) as rows_master, count(*) as rows_monthly,
   'SUCCESS' as status, count(*) as stored from @panel group by vintage""")
 def s17(spark, sf):
     from lossloom.plans.ingest import ingest

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lossloom.operators import binning, labels, metrics, models, regression, sampling
 from lossloom.operators.durable import durable
+from lossloom.operators.isotonic import fit_pools
 from lossloom.params import PdSettings, PrepaySettings
 from workload import tables
 from workload.common import (
@@ -333,7 +334,7 @@ def ranked_well(metrics_table):
 @query("m9_boosted_trees", f"""
 select model, (select count(*) from {TEST}) as n,
   (select round(avg(target), 8) from {TEST}) as default_rate, true as ranks
-from (select unnest(['xgboost', 'lightgbm']) as model)""")
+from (select unnest(['boosted_300', 'boosted_400']) as model)""")
 def m9(spark, sf):
     train, test = train_test(spark, sf)
     out = None
@@ -401,7 +402,7 @@ def m12_record(spark, sf):
 @query("m13_model_contest", f"""
 select model, (select count(*) from {TEST}) as n,
   (select round(avg(target), 8) from {TEST}) as default_rate, true as ranks, 1 as winners
-from (select unnest(['scorecard', 'xgboost', 'lightgbm']) as model)""")
+from (select unnest(['scorecard', 'boosted_300', 'boosted_400']) as model)""")
 def m13(spark, sf):
     train, test = train_test(spark, sf)
     contest = models.train_and_compare(train, test, FEATURES, trees=QUICK)
@@ -413,22 +414,39 @@ def m13(spark, sf):
                        (F.col("auc") >= 0.7).alias("ranks"), F.lit(winners).alias("winners"))
 
 
-# Pooled means by the minimum-maximum formula, over scores rounded to few values.
-@query("m14_isotonic_calibration", """
-with g as (select floor(p * 40) / 40 as s, cast(sum(target) as double) as y, count(*) as n
-    from @scored group by 1),
-  c as (select *, sum(y) over (order by s) as cy, sum(n) over (order by s) as cn from g),
-  seg as (select a.s as lo, b.s as hi, (b.cy - a.cy + a.y) / (b.cn - a.cn + a.n) as m
-    from c a join c b on b.s >= a.s),
-  tops as (select c.s, seg.lo, min(m) as m from c join seg on seg.lo <= c.s and seg.hi >= c.s
-    group by c.s, seg.lo)
-select c.s as score, c.n, round(max(tops.m), 8) as calibrated from c join tops using (s)
-group by c.s, c.n""")
+# Adjacent violators in whole rounds: every run of pools that do not rise becomes one pool.
+ISOTONIC_SQL = """
+with recursive points as materialized (
+    select p, count(*) as n, cast(sum(target) as hugeint) as s from @scored group by p),
+  pools as (
+    select 0 as step, p as lo, p as hi, n::hugeint as n, s, true as moved from points
+    union all
+    select step + 1, min(lo), max(hi), sum(n), sum(s), any_value(more) from (
+      select *, sum(starts) over (order by lo) as run, min(starts) over () * 0 = 0
+          and sum(1 - starts) over () > 0 as more
+      from (select *, case when s * lag(n) over (order by lo) <= lag(s) over (order by lo) * n
+                then 0 else 1 end as starts from pools where moved))
+    where more group by step, run),
+  final as (select lo, hi, n, s from pools where step = (select max(step) from pools))"""
+
+
+@query("m14_isotonic_calibration", ISOTONIC_SQL + """
+select p as score, count(*) as n, round(any_value(f.s / f.n::double), 8) as calibrated
+from @scored join final f on p between f.lo and f.hi group by p""")
 def m14(spark, sf):
-    rows = scored(spark, sf).select("target", (F.floor(F.col("p") * 40) / 40).alias("score"))
+    rows = durable(scored(spark, sf).select("target", F.col("p").alias("score")))
     calibrated = models.fit_calibrator(rows, "score", "target").apply(rows, "score", "cal")
     return calibrated.groupBy("score").agg(F.count(F.lit(1)).alias("n"),
-                                           F.round(F.avg("cal"), 8).alias("calibrated"))
+                                           F.round(F.min("cal"), 8).alias("calibrated"))
+
+
+@query("m14_isotonic_pools", ISOTONIC_SQL + """
+select lo, hi, cast(n as bigint) as n, cast(s as bigint) as defaults from final""")
+def m14_pools(spark, sf):
+    """The pools themselves, as the cluster keeps them."""
+    pools = fit_pools(scored(spark, sf), "p", "target")
+    return pools.select("lo", "hi", F.col("n").cast("long").alias("n"),
+                        F.col("s").cast("long").alias("defaults"))
 
 
 @query("m15_calibration_summary", """

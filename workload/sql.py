@@ -300,6 +300,8 @@ def with_parts(text: str) -> str:
     body = plain(text.strip())
     if not ctes:
         return body
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {ctes},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"
