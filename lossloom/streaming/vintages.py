@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lossloom.functions.dates import vintage_in_name
 from lossloom.plans.ingest import load_and_log
 from lossloom.sources import raw_files as raw
-from lossloom.sources.warehouse import Warehouse
+from lossloom.sources.versions import VersionedWarehouse
 
 
 def quarter_stream(spark: SparkSession, folder: str,
@@ -34,7 +34,7 @@ def start_ingest(spark: SparkSession, folder: str, root: str, checkpoint: str,
 
     ``checkpoint`` must be on storage that every executor reaches.
     """
-    store = Warehouse(spark, root)
+    store = VersionedWarehouse(spark, root)
 
     def reload(batch: DataFrame, _batch_id: int) -> None:
         found = [r["vintage"] for r in batch.select("vintage").distinct().collect()]  # quarters

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lossloom import schema
 from lossloom.plans.ingest import ingest
 from lossloom.sources import feature_store, raw_files, results, warehouse
+from lossloom.sources.versions import VersionedWarehouse
 from lossloom.streaming.vintages import start_ingest
 
 
@@ -48,7 +49,7 @@ def test_ingest_is_incremental_and_repeatable(spark, folder, tmp_path):
         "2018Q1": "SUCCESS", "2018Q2": "SUCCESS", "2018Q3": "FAILED"}
     assert (first["2018Q1"]["rows_master"], first["2018Q1"]["rows_monthly"]) == (2, 3)
     assert "3 fields" in first["2018Q3"]["message"]
-    store = warehouse.Warehouse(spark, root)
+    store = VersionedWarehouse(spark, root)
     monthly = store.read("loan_monthly")
     assert monthly.filter("vintage = '2018Q2'").first()["reporting_period"] is None
     assert monthly.filter("loan_id = 'B'").first()["upb_current"] is None
@@ -67,7 +68,7 @@ def test_stream_keeps_all_files_of_a_quarter(spark, folder, tmp_path):
     (folder / "notes.csv").unlink()
     (folder / "2018Q4.zip").unlink()
     root, checkpoint = str(tmp_path / "wh"), str(tmp_path / "cp")
-    store = warehouse.Warehouse(spark, root)
+    store = VersionedWarehouse(spark, root)
 
     def rows(table):
         return {r["vintage"]: r["count"] for r in store.read(table).groupBy("vintage").count().collect()}

@@ -8,6 +8,7 @@ from lossloom import schema
 from lossloom.functions import dates, delinquency
 from lossloom.operators import features, labels, regression, sampling, severity, staging
 from lossloom.sources import feature_store, raw_files, results, warehouse
+from lossloom.sources.versions import VersionedWarehouse
 from workload import sql, tables
 from workload.common import (
     CELL,
@@ -156,7 +157,7 @@ def s17(spark, sf):
 
     root = scratch(spark)
     audit = ingest(spark, raw_folder(spark, sf), root)
-    stored = warehouse.Warehouse(spark, root).read("loan_monthly").groupBy("vintage").agg(
+    stored = VersionedWarehouse(spark, root).read("loan_monthly").groupBy("vintage").agg(
         F.count(F.lit(1)).alias("stored"))
     return audit.join(stored, "vintage").select("vintage", "rows_master", "rows_monthly", "status",
                                                 "stored")
@@ -201,6 +202,77 @@ def s9(spark, sf):
     return store.read("loan_master").groupBy("vintage").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("s9_atomic_reload", """
+with months as (select vintage, count(*) as whole, count(case when fico_orig >= 700 then 1 end) as good
+    from @panel group by vintage),
+  w as (select vintage, count(*) as loans, any_value(m.whole) as months,
+    count(case when fico_orig >= 700 then 1 end) as good_loans, any_value(m.good) as good_months
+    from @loans join months m using (vintage) group by vintage)
+select state, vintage,
+  case when state = 'reloaded' and vintage like '1996%' then good_loans else loans end as loans,
+  case when state = 'reloaded' and vintage like '1996%' then good_months else months end as months,
+  case when state = 'reloaded' and vintage like '1996%' then 2 else 1 end as loads
+from w, (select unnest(['loaded', 'failed', 'pinned', 'reloaded']) as state)""")
+def s9_atomic(spark, sf):
+    """Two tables and a log: after a load, after one that failed half way, after a reload, and as a
+    reader sees them that opened the tables before it."""
+    store = VersionedWarehouse(spark, scratch(spark))
+    master, monthly = tables.master(spark, sf), tables.monthly(spark, sf)
+
+    def reload(loans, broken=False):
+        keep = loans.select("loan_id")
+        with store.load() as change:
+            change.replace_vintages(loans, "loan_master")
+            if broken:
+                raise RuntimeError("between two tables")
+            change.replace_vintages(monthly.join(keep, "loan_id", "left_semi"), "loan_monthly")
+            change.append(loans.select("vintage").distinct(), "log")
+
+    def state(name, at):
+        per = at.read("loan_master").groupBy("vintage").agg(F.count(F.lit(1)).alias("loans"))
+        months = at.read("loan_monthly").groupBy("vintage").agg(F.count(F.lit(1)).alias("months"))
+        loads = at.read("log").groupBy("vintage").agg(F.count(F.lit(1)).alias("loads"))
+        return per.join(months, "vintage").join(loads, "vintage").withColumn("state", F.lit(name))
+
+    reload(master)
+    out = state("loaded", store.snapshot())
+    better = master.filter(F.col("vintage").startswith("1996") & (F.col("fico_orig") >= 700))
+    try:
+        reload(better, broken=True)
+    except RuntimeError:
+        out = out.unionByName(state("failed", store.snapshot()))
+    pinned = store.snapshot()
+    reload(better)
+    return out.unionByName(state("pinned", pinned)).unionByName(state("reloaded", store))
+
+
+@query("i1_row_corrections", """
+select vintage, count(*) as n, sum(case when loan_id % 14 = 0 then 3 when loan_id % 7 = 0 then 2
+    else 1 end)::bigint as versions,
+  round(sum(upb_current * case when loan_id % 14 = 0 then 25e-2 when loan_id % 7 = 0 then 5e-1
+    else 1e0 end), 2) as upb
+from @panel group by vintage""")
+def i1(spark, sf):
+    """Third versions arrive before second ones, and the whole history arrives again at the end."""
+    from lossloom.streaming.corrections import start_corrections
+
+    root, k = scratch(spark), F.col("loan_id")
+    rows = tables.monthly(spark, sf).select("loan_id", "reporting_period", "upb_current", "vintage")
+
+    def version(n, share, kept=F.lit(True)):
+        return rows.filter(kept).withColumn("upb_current", F.col("upb_current") * share).withColumn(
+            "version", F.lit(n))
+
+    for part in (version(3, .25, k % 14 == 0), version(1, 1.0), version(2, .5, k % 7 == 0)):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    for checkpoint in ("first", "first", "again"):  # once, nothing new, all files once more
+        start_corrections(spark, f"{root}/in", f"{root}/wh", f"{root}/{checkpoint}", "rows", 2,
+                          max_files=1, stream=checkpoint).awaitTermination()
+    return VersionedWarehouse(spark, f"{root}/wh").read("rows").groupBy("vintage").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("version").alias("versions"),
+        F.round(F.sum("upb_current"), 2).alias("upb"))
+
+
 def audit_log(spark, sf):
     counts = tables.loans(spark, sf).groupBy("vintage").agg(
         F.count(F.lit(1)).alias("rows_master"), F.sum("n_months").alias("rows_monthly"))
