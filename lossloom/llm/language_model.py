@@ -5,11 +5,15 @@ scale and stored by level: an n-gram of level q is inserted q times, with a diff
 time, so that a reader finds the level by probing 1, 2, 3, ... until a key is missing. The filter
 goes to every worker; smoothed probabilities come from such probes alone.
 
-The filter has a size bound. Pairs seen fewer than a least count are left out once a corpus has
-more tokens than the bound has room for; as at most N / k pairs occur k times, that least count
-follows from N, and the probability of such a pair rests on its words. The base score is exact at
-any size: the few words that make up a fixed fraction of the text travel in a bounded table, all
-others are joined.
+The filter holds every word and pair of the training texts at a fixed number of bits per key, so
+it grows with them. What travels does not: the filter is laid out in segments by key range, and
+groups of segments of a bounded size are broadcast in turn. A token is scored in the pass that has the
+segment of its pair, and a document adds up the partial sums of all passes. Words go in every pass while
+their filter is within the bound; beyond it their levels are probed first, group by group, and stored as
+a byte per token. No count is left out at any size.
+
+The base score is exact: the few words that make up a fixed fraction of the text travel in a
+bounded table, all others are joined.
 """
 
 from __future__ import annotations
@@ -20,30 +24,30 @@ from math import ceil, log, log10
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossloom.llm.storage import stored
 from lossloom.llm.text import bucket, whole, words
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Folds A-Z to a-z and every kind of ASCII white space to a blank.
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 END, BEGIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 _A, _B, _C = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xC2B2AE3D27D4EB4F))
 WORD, PAIR = 1, 2
-#: Tokens of a shard of the key range, and tokens a task gathers before it sends counts.
-SHARD_TOKENS, SEND_TOKENS = 2_000_000, 2_000_000
-#: Least counts tried for the words: powers of two below 2 ** LOADS.
-LOADS = 40
+#: Training bytes behind a shard of the key range, and tokens a task gathers before it sends counts.
+SHARD_BYTES, SEND_TOKENS = 12_000_000, 2_000_000
+#: Bytes of text that are hashed at a time.
+PIECE = 1 << 19
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Size bound of the filter, bits per inserted key, base of the count levels, probes per key,
-    weight of the pair estimate, and the bound of the table of frequent words."""
-    filter_bytes: int = 64_000_000
-    key_bits: int = 12
-    least_bits: int = 8
+    """Bytes of the segments that a pass broadcasts (of words and of pairs), bits per inserted key,
+    base of the count levels, probes per key, weight of the pair estimate, and the bound of the
+    table of frequent words."""
+    group_bytes: int = 64_000_000
+    key_bits: float = 12.0
     base: float = 1.5
     probes: int = 6
     pair_weight: float = 0.1
@@ -53,44 +57,103 @@ class Settings:
 DEFAULT = Settings()
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _A
+    x = (x ^ (x >> np.uint64(27))) * _B
+    return x ^ (x >> np.uint64(31))
+
+
+class Hash:
+    """Sum of table[byte] * base ** place over the bytes of a word, modulo 2 ** 64, for all words of a
+    buffer at once: a difference of running sums, moved to place zero by the inverse power."""
+
+    def __init__(self, base: int) -> None:
+        self.base = base
+        self.table = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))
+        self.powers = self.inverse = np.ones(0, np.uint64)
+
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(data) >= len(self.powers):
+            size = max(len(data) + 1, PIECE + 1)
+            for name, base in (("powers", self.base), ("inverse", pow(self.base, -1, 1 << 64))):
+                steps = np.full(size, base, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.multiply.accumulate(steps))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.table[data] * self.powers[:len(data)], out=sums[1:])
+        return (sums[ends] - sums[starts]) * self.inverse[starts]
+
+
 class Tokens:
-    """64-bit keys of the words of texts, with a bounded memory of words seen."""
+    """64-bit keys of the words of texts: two such sums, mixed."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.first, self.second = Hash(0x9E3779B97F4A7C15 | 3), Hash(0xD1342543DE82EF95 | 3)
+
+    def words(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the words of the pieces, and the number of words per piece."""
+        data = np.frombuffer(b" ".join([b"", *pieces, b""]), np.uint8)
+        edges = np.flatnonzero(np.diff((data != 32).view(np.int8)))
+        starts, ends = edges[::2] + 1, edges[1::2] + 1
+        keys = mixed(self.first.words(data, starts, ends)
+                     + _C * mixed(self.second.words(data, starts, ends)))
+        borders = np.cumsum([1, *(len(p) + 1 for p in pieces)])
+        return keys, np.diff(np.searchsorted(starts, borders))
 
     def keys(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Keys of all tokens, an end after each text, and the number of tokens per text."""
-        if len(self.known) > 1_000_000:
-            self.known = {}
-        known, out, sizes = self.known, [], []
-        for text in texts:
-            split = (text or "").encode().translate(_LOWER).split()
-            for w in split:
-                h = known.get(w)
-                if h is None:
-                    h = known[w] = xxhash.xxh64_intdigest(w)
-                out.append(h)
-            out.append(int(END))
-            sizes.append(len(split) + 1)
-        return np.array(out, np.uint64), np.array(sizes, np.int64)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _A
-    x = (x ^ (x >> np.uint64(27))) * _B
-    return x ^ (x >> np.uint64(31))
+        found, counts, owners, held, size = [], [], [], [], 0
+        for i, text in enumerate(texts):
+            for piece in cut((text or "").encode().translate(_FOLD)):
+                if held and size + len(piece) > PIECE:
+                    k, n = self.words(held)
+                    found.append(k)
+                    counts.append(n)
+                    held, size = [], 0
+                held.append(piece)
+                owners.append(i)
+                size += len(piece) + 1
+        if held:
+            k, n = self.words(held)
+            found.append(k)
+            counts.append(n)
+        sizes = np.ones(len(texts), np.int64)
+        if owners:
+            np.add.at(sizes, owners, np.concatenate(counts))
+        out = np.empty(sizes.sum(), np.uint64)
+        ends = np.cumsum(sizes) - 1
+        inner = np.ones(len(out), bool)
+        inner[ends] = False
+        out[ends] = END
+        if found:
+            out[inner] = np.concatenate(found)
+        return out, sizes
+
+
+def cut(text: bytes) -> Iterator[bytes]:
+    """The text in pieces of about PIECE bytes, cut at blanks only."""
+    start = 0
+    while len(text) - start > PIECE:
+        at = text.rfind(b" ", start, start + PIECE)
+        if at <= start:
+            at = text.find(b" ", start + PIECE)
+        if at < 0:
+            break
+        yield text[start:at]
+        start = at
+    yield text[start:]
 
 
 def pair_keys(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Keys of (previous token, token); the first token of a text follows a begin mark."""
-    return mixed(histories(keys, sizes) * _C + keys)
+    return mixed(shifted(keys, sizes, BEGIN) * _C + keys)
 
 
-def histories(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    before = np.empty_like(keys)
-    before[1:] = keys[:-1]
-    before[np.concatenate(([0], np.cumsum(sizes)[:-1]))] = BEGIN
+def shifted(values: np.ndarray, sizes: np.ndarray, first) -> np.ndarray:
+    """The value before each one in its text, ``first`` at the start of a text."""
+    before = np.empty_like(values)
+    before[1:] = values[:-1]
+    before[np.concatenate(([0], np.cumsum(sizes)[:-1]))] = first
     return before
 
 
@@ -133,26 +196,37 @@ def segment(keys: np.ndarray, counts: np.ndarray, key_bits: float, settings: Set
 
 @dataclass
 class Filter:
-    """Segments of one kind of n-gram, laid end to end, and where each begins (in bits)."""
+    """Segments of the shards ``first``, ``first`` + 1, ... laid end to end, and where each begins (in
+    bits); keys of other shards have no level here."""
     data: np.ndarray
     begins: np.ndarray
+    first: int
+    shards: int
     settings: Settings
 
     @classmethod
-    def of(cls, parts: list[tuple[int, bytes]], shards: int, settings: Settings) -> Filter:
+    def of(cls, parts: list[tuple[int, bytes]], shards: int, settings: Settings, first: int = 0,
+           last: int | None = None) -> Filter:
         given = dict(parts)
-        sizes = [len(given.get(s, b"")) for s in range(shards)]
-        data = np.frombuffer(b"".join(given.get(s, b"") for s in range(shards)), np.uint8)
+        own = range(first, shards if last is None else last + 1)
+        sizes = [len(given.get(s, b"")) for s in own]
+        data = np.frombuffer(b"".join(given.get(s, b"") for s in own), np.uint8)
         return cls(data, np.concatenate(([0], np.cumsum(sizes))).astype(np.uint64) * np.uint64(8),
-                   settings)
+                   first, shards, settings)
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        shard = shard_of(keys, self.shards) - self.first
+        return (shard >= 0) & (shard < len(self.begins) - 1)
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """Levels by repeated membership probes; never below the true one."""
         out = np.zeros(len(keys), np.int64)
-        shard = shard_of(keys, len(self.begins) - 1)
-        begin = self.begins[shard]
-        bits = self.begins[shard + 1] - begin
-        live = np.flatnonzero(bits > 0)
+        live = np.flatnonzero(self.holds(keys))
+        shard = shard_of(keys[live], self.shards) - self.first
+        begin = np.zeros(len(keys), np.uint64)
+        bits = np.zeros(len(keys), np.uint64)
+        begin[live], bits[live] = self.begins[shard], self.begins[shard + 1] - self.begins[shard]
+        live = live[bits[live] > 0]
         level = 0
         while len(live):
             level += 1
@@ -166,29 +240,39 @@ class Filter:
 
 
 @dataclass
-class Model:
-    """What the workers get: two filters, totals, and the exact counts of frequent words."""
-    words: Filter
-    pairs: Filter
+class Totals:
+    """Training tokens, distinct words and texts, and the exact counts of frequent words."""
     tokens: int
     vocabulary: int
+    texts: int
     frequent: np.ndarray
     counts: np.ndarray
-    settings: Settings
 
-    def log_probabilities(self, keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """log10 of the smoothed probability of every token."""
-        middle = typical(self.settings.base)
-        own, at = np.unique(np.concatenate((keys, [BEGIN])), return_inverse=True)
-        count = middle[np.minimum(self.words.level(own), len(middle) - 1)]
-        single = (count[at[:-1]] + 1) / (self.tokens + self.vocabulary + 1)
-        before = histories(keys, sizes)
-        ahead = count[np.searchsorted(own, before)]
-        two, back = np.unique(pair_keys(keys, sizes), return_inverse=True)
-        both = middle[np.minimum(self.pairs.level(two), len(middle) - 1)][back]
-        share = np.where(ahead > 0, np.minimum(both / np.maximum(ahead, 1), 1.0), 0.0)
-        weight = np.where(ahead > 0, self.settings.pair_weight, 0.0)
-        return np.log10((1 - weight) * single + weight * share)
+
+def word_levels(words: Filter, keys: np.ndarray) -> np.ndarray:
+    own, at = np.unique(keys, return_inverse=True)
+    return words.level(own)[at]
+
+
+def log_probabilities(keys: np.ndarray, sizes: np.ndarray, levels_: np.ndarray, pairs: Filter,
+                      totals: Totals) -> np.ndarray:
+    """log10 of the smoothed probability of every token whose pair belongs to ``pairs``; others 0."""
+    s = pairs.settings
+    middle = typical(s.base)
+    begin = int(levels(np.array([totals.texts]), s.base)[0])
+    ahead_level = shifted(levels_, sizes, begin)
+    two = pair_keys(keys, sizes)
+    here = np.flatnonzero(pairs.holds(two))
+    own, back = np.unique(two[here], return_inverse=True)
+    top = len(middle) - 1
+    both = middle[np.minimum(pairs.level(own), top)][back]
+    single = (middle[np.minimum(levels_[here], top)] + 1) / (totals.tokens + totals.vocabulary + 1)
+    ahead = middle[np.minimum(ahead_level[here], top)]
+    share = np.where(ahead > 0, np.minimum(both / np.maximum(ahead, 1), 1.0), 0.0)
+    weight = np.where(ahead > 0, s.pair_weight, 0.0)
+    out = np.zeros(len(keys))
+    out[here] = np.log10((1 - weight) * single + weight * share)
+    return out
 
 
 def packed_counts(train: DataFrame, text: str, shards: int) -> DataFrame:
@@ -211,8 +295,7 @@ def packed_counts(train: DataFrame, text: str, shards: int) -> DataFrame:
         for batch in batches:
             for k in range(0, len(batch), 1000):
                 keys, sizes = reader.keys(batch["text"].iloc[k:k + 1000].tolist())
-                begins = np.full(len(sizes), BEGIN)
-                held.append((np.concatenate((keys, begins)), pair_keys(keys, sizes)))
+                held.append((keys, pair_keys(keys, sizes)))
                 n += len(keys)
                 if n >= SEND_TOKENS:
                     yield from send()
@@ -224,61 +307,27 @@ def packed_counts(train: DataFrame, text: str, shards: int) -> DataFrame:
         count, "kind int, shard long, keys binary, counts binary")
 
 
-def merged(packed: DataFrame, tokens: int, settings: Settings) -> DataFrame:
-    """(kind, shard, n, segment, keys, counts, load) per shard: pairs as their filter, words as
-    exact counts with the keys they would insert at a least count of 1, 2, 4, ...
+def merged(packed: DataFrame, shards: int, settings: Settings) -> DataFrame:
+    """(kind, shard, n, total, segment, keys, counts) per shard: the filter of its words or pairs, and
+    of words the exact counts.
 
-    A shard is a fixed part of the key range with about SHARD_TOKENS tokens before summing.
+    A shard is a fixed part of the key range with about SHARD_BYTES of text behind it; there are as
+    many tasks as shards of both kinds, so none grows with the corpus.
     """
-    room = pair_room(settings)
-    key_bits = min(float(settings.key_bits), max(room / max(tokens, 1), settings.least_bits))
-    least = max(1, ceil(tokens * settings.least_bits / room))
-
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         kind = int(group["kind"].iloc[0])
         keys = np.concatenate([np.frombuffer(x, np.uint64) for x in group["keys"]])
         parts = np.concatenate([np.frombuffer(x, np.uint32) for x in group["counts"]])
         own, at = np.unique(keys, return_inverse=True)
         counts = np.bincount(at, weights=parts, minlength=len(own)).astype(np.int64)
-        row = {"kind": kind, "shard": int(group["shard"].iloc[0]), "n": len(own),
-               "segment": b"", "keys": b"", "counts": b"", "load": []}
-        if kind == PAIR:
-            kept = counts >= least
-            row["segment"] = segment(own[kept], counts[kept], key_bits, settings)
-        else:
-            q = levels(counts, settings.base)
-            row |= {"n": int((own != BEGIN).sum()), "keys": own.tobytes(),
-                    "counts": counts.tobytes(),
-                    "load": [int(q[counts >= 1 << j].sum()) for j in range(LOADS)]}
-        return pd.DataFrame([row])
-
-    return packed.groupBy("kind", "shard").applyInPandas(
-        merge, "kind int, shard long, n long, segment binary, keys binary, counts binary, "
-               "load array<long>")
+        word = kind == WORD
+        return pd.DataFrame([{
+            "kind": kind, "shard": int(group["shard"].iloc[0]), "n": len(own),
+            "total": int(counts.sum()), "segment": segment(own, counts, settings.key_bits, settings),
+            "keys": own.tobytes() if word else b"", "counts": counts.tobytes() if word else b""}])
 
-
-def pair_room(settings: Settings) -> float:
-    """Bits for the pairs: three quarters of the filter; the words have the rest."""
-    return 8 * settings.filter_bytes * 0.75
-
-
-def word_segments(tables: DataFrame, settings: Settings) -> DataFrame:
-    """(shard, segment) of the words, at the smallest least count whose keys fit."""
-    total = list(tables.agg(*(F.sum(F.get("load", F.lit(j))).alias(f"l{j}")
-                              for j in range(LOADS))).first())
-    room = 8 * settings.filter_bytes * 0.25
-    j = next((j for j, n in enumerate(total) if (n or 0) * settings.least_bits <= room), LOADS - 1)
-    key_bits = min(float(settings.key_bits), room / max(total[j] or 1, 1))
-
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for shard, k, c in zip(batch["shard"], batch["keys"], batch["counts"], strict=True):
-                keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
-                kept = counts >= 1 << j
-                yield pd.DataFrame({"shard": [shard], "segment": [
-                    segment(keys[kept], counts[kept], key_bits, settings)]})
-
-    return tables.select("shard", "keys", "counts").mapInPandas(build, "shard long, segment binary")
+    return packed.repartition(2 * shards, "kind", "shard").groupBy("kind", "shard").applyInPandas(
+        merge, "kind int, shard long, n long, total long, segment binary, keys binary, counts binary")
 
 
 def word_table(tables: DataFrame) -> DataFrame:
@@ -289,29 +338,59 @@ def word_table(tables: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"key": np.frombuffer(keys, np.int64),
                                     "c": np.frombuffer(counts, np.int64)})
 
-    return tables.select("keys", "counts").mapInPandas(unpack, "key long, c long").filter(
-        F.col("key") != int(BEGIN.view(np.int64)))
-
-
-def train(docs: DataFrame, text: str = "text",
-          settings: Settings = DEFAULT) -> tuple[Model, DataFrame]:
-    """The model and the exact word table (key, c). Only the filter (at most ``filter_bytes``)
-    and the frequent words (at most ``frequent_words``) reach the driver."""
-    tokens = docs.agg(F.sum(F.size(words(whole(text))).cast("long") + 1)).first()[0] or 0
-    shards = max(1, ceil(tokens / SHARD_TOKENS))
-    tables = stored(merged(packed_counts(docs, text, shards), tokens, settings))
-    own = tables.filter(F.col("kind") == WORD)
-    vocabulary = own.agg(F.sum("n")).first()[0] or 0
-    parts = [word_segments(own, settings),
-             tables.filter(F.col("kind") == PAIR).select("shard", "segment")]
-    filters = [Filter.of([(r["shard"], bytes(r["segment"])) for r in p.collect()], shards, settings)
-               for p in parts]
-    table = word_table(own)
+    return tables.filter(F.col("kind") == WORD).select("keys", "counts").mapInPandas(
+        unpack, "key long, c long")
+
+
+@dataclass
+class Model:
+    """The stored segments, their totals and the exact word table (key, c)."""
+    tables: DataFrame
+    shards: int
+    totals: Totals
+    words: DataFrame
+    settings: Settings
+
+    def groups(self, kind: int) -> list[tuple[int, int]]:
+        """(first shard, last shard) of groups of segments of at most ``group_bytes`` (or one
+        segment), evenly filled."""
+        rows = self.tables.filter(F.col("kind") == kind).select(
+            "shard", F.octet_length("segment").alias("b")).collect()  # one row per shard
+        size = {r["shard"]: r["b"] for r in rows}
+        aim = sum(size.values()) / max(1, ceil(sum(size.values()) / self.settings.group_bytes))
+        out, first, held = [], 0, 0
+        for shard in range(self.shards):
+            b = size.get(shard, 0)
+            if held and (held + b > self.settings.group_bytes or held >= aim):
+                out.append((first, shard - 1))
+                first, held = shard, 0
+            held += b
+        return [*out, (first, self.shards - 1)]
+
+    def filter(self, kind: int, group: tuple[int, int]) -> Filter:
+        """The segments of one group; they pass through the driver to the workers."""
+        first, last = group
+        rows = self.tables.filter((F.col("kind") == kind) & F.col("shard").between(first, last))
+        parts = [(r["shard"], bytes(r["segment"])) for r in rows.select("shard", "segment").collect()]
+        return Filter.of(parts, self.shards, self.settings, first, last)
+
+
+def train(docs: DataFrame, text: str = "text", settings: Settings = DEFAULT) -> Model:
+    """Count all texts and build the filter. The driver gets sums and the frequent words (at most
+    ``frequent_words``)."""
+    row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
+    shards = max(1, ceil((row["b"] or 0) / SHARD_BYTES))
+    tables = stored(merged(packed_counts(docs, text, shards), shards, settings))
+    sums = tables.filter(F.col("kind") == WORD).agg(
+        F.sum("total").alias("tokens"), F.sum("n").alias("words")).first()
+    tokens = sums["tokens"] or 0
+    table = word_table(tables)
     often = table.filter(F.col("c") >= frequent_count(tokens, settings)).toPandas()
     keys = often["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return Model(*filters, tokens, vocabulary, keys[order], often["c"].to_numpy(np.int64)[order],
-                 settings), table
+    totals = Totals(tokens, sums["words"] or 0, row["n"], keys[order],
+                    often["c"].to_numpy(np.int64)[order])
+    return Model(tables, shards, totals, table, settings)
 
 
 def frequent_count(tokens: int, settings: Settings) -> int:
@@ -319,40 +398,83 @@ def frequent_count(tokens: int, settings: Settings) -> int:
     return max(1, ceil(tokens / settings.frequent_words))
 
 
-def scored(docs: DataFrame, model: Model, text: str) -> DataFrame:
-    """``docs`` without its text, with __ll_size, __ll_score, the base sums of frequent words and
-    the keys and counts of all other words."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("size long, score double, base double, known long, keys array<long>, "
-                  "counts array<long>")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m, reader = shared.value, Tokens()
-        for batch in texts:
-            parts = [part(m, reader, batch.iloc[k:k + 1000].tolist())
-                     for k in range(0, len(batch), 1000)]
-            yield pd.concat(parts, ignore_index=True)
-
-    def part(m: Model, reader: Tokens, texts: list[str | None]) -> pd.DataFrame:
+def with_levels(rows: DataFrame, model: Model, groups: list[tuple[int, int]]) -> DataFrame:
+    """``rows`` with ``levels``: the level of every word, a byte per token, one group at a time."""
+    out = rows.withColumn("levels", F.lit(None).cast("binary"))
+    for group in groups:
+        shared = rows.sparkSession.sparkContext.broadcast(model.filter(WORD, group))
+
+        @F.pandas_udf("binary")
+        def fill(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            reader = Tokens()
+            for texts, before in batches:
+                made = []
+                for k in range(0, len(texts), 1000):
+                    keys, sizes = reader.keys(texts.iloc[k:k + 1000].tolist())
+                    new = word_levels(shared.value, keys).astype(np.uint8)  # noqa: B023
+                    for at, old in zip(np.split(new, np.cumsum(sizes)[:-1]),
+                                       before.iloc[k:k + 1000], strict=True):
+                        if old is not None:
+                            at = np.maximum(at, np.frombuffer(old, np.uint8))
+                        made.append(at.tobytes())
+                yield pd.Series(made, dtype=object)
+
+        out = stored(out.withColumn("levels", fill("text", "levels")))
+        shared.destroy()
+    return out
+
+
+def passed(rows: DataFrame, model: Model, words: Filter | None, pairs: Filter,
+           first: bool) -> DataFrame:
+    """``rows`` without texts, stored, with __ll_lm of one pass: the partial sums of its pairs; in the first pass also what the base
+    score needs: sums over frequent words, keys and counts of all others."""
+    shared = rows.sparkSession.sparkContext.broadcast((words, pairs, model.totals))
+    kind = "score double" + (", size long, base double, known long, keys array<long>, "
+                             "counts array<long>" if first else "")
+
+    def part(reader: Tokens, texts: list[str | None], given: list[bytes] | None) -> pd.DataFrame:
+        words_, pairs_, totals = shared.value
         keys, sizes = reader.keys(texts)
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        total = np.add.reduceat(m.log_probabilities(keys, sizes), starts)
-        if len(m.frequent):
-            at = np.searchsorted(m.frequent, keys).clip(max=len(m.frequent) - 1)
-            found = m.frequent[at] == keys
-            logs = np.where(found, np.log10(m.counts[at] + 1.0), 0.0)
+        known = (word_levels(words_, keys) if given is None
+                 else np.frombuffer(b"".join(given), np.uint8).astype(np.int64))
+        logs = log_probabilities(keys, sizes, known, pairs_, totals)
+        out = {"score": np.add.reduceat(logs, starts)}
+        if not first:
+            return pd.DataFrame(out)
+        if len(totals.frequent):
+            at = np.searchsorted(totals.frequent, keys).clip(max=len(totals.frequent) - 1)
+            found = totals.frequent[at] == keys
+            logs = np.where(found, np.log10(totals.counts[at] + 1.0), 0.0)
         else:
             found, logs = np.zeros(len(keys), bool), np.zeros(len(keys))
-        rest = []
-        for s, n in zip(starts, sizes, strict=True):
-            own = keys[s:s + n][~found[s:s + n]]
-            rest.append(np.unique(own, return_counts=True))
-        return pd.DataFrame({
-            "size": sizes, "score": total, "base": np.add.reduceat(logs, starts),
+        rest = [np.unique(k[~f], return_counts=True) for k, f in zip(
+            np.split(keys, starts[1:]), np.split(found, starts[1:]), strict=True)]
+        return pd.DataFrame(out | {
+            "size": sizes, "base": np.add.reduceat(logs, starts),
             "known": np.add.reduceat(found.astype(np.int64), starts),
             "keys": [k.view(np.int64) for k, _ in rest], "counts": [c for _, c in rest]})
 
-    return docs.withColumn("__ll_lm", score(text)).drop(text)
+    if words is None:
+        @F.pandas_udf(kind)
+        def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            reader = Tokens()
+            for texts, given in batches:
+                yield pd.concat([part(reader, texts.iloc[k:k + 1000].tolist(),
+                                      given.iloc[k:k + 1000].tolist())
+                                 for k in range(0, len(texts), 1000)], ignore_index=True)
+        lm = score("text", "levels")
+    else:
+        @F.pandas_udf(kind)
+        def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            reader = Tokens()
+            for texts in batches:
+                yield pd.concat([part(reader, texts.iloc[k:k + 1000].tolist(), None)
+                                 for k in range(0, len(texts), 1000)], ignore_index=True)
+        lm = score("text")
+    out = stored(rows.withColumn("__ll_lm", lm).drop("text", "levels"))
+    shared.destroy()
+    return out
 
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7,
@@ -365,20 +487,38 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     out = docs.select(F.col(doc_id).alias("doc_id"), (bucket(doc_id, folds) == held).alias("held_out"),
                       F.col(text).alias("text"))
-    model, table = train(out.filter(~F.col("held_out")), "text", settings)
+    model = train(out.filter(~F.col("held_out")), "text", settings)
+    word_groups, pair_groups = model.groups(WORD), model.groups(PAIR)
+    numbered = out.withColumn("rid", F.monotonically_increasing_id())
+    if len(word_groups) + len(pair_groups) > 2:
+        numbered = stored(numbered)  # several passes must see the same numbers
+    if len(word_groups) > 1:
+        numbered, words_ = with_levels(numbered, model, word_groups), None
+    else:
+        words_ = model.filter(WORD, word_groups[0])
+    rows = passed(numbered, model, words_, model.filter(PAIR, pair_groups[0]), True)
     lm = F.col("__ll_lm")
-    rows = stored(scored(out.withColumn("rid", F.monotonically_increasing_id()), model, "text"))
+    more = None
+    for group in pair_groups[1:]:
+        one = passed(numbered.drop("doc_id", "held_out"), model, words_,
+                     model.filter(PAIR, group), False).select("rid", lm["score"].alias("part"))
+        more = one if more is None else more.unionByName(one)
     # Words below the frequent ones: no key has more than a fixed fraction of the tokens, so the
     # join is even; the sums of a document combine again before they meet.
     rare = rows.select("rid", F.explode(F.arrays_zip(lm["keys"].alias("key"),
                                                      lm["counts"].alias("n"))).alias("r"))
-    counts = table.filter(F.col("c") < frequent_count(model.tokens, settings))
+    counts = model.words.filter(F.col("c") < frequent_count(model.totals.tokens, settings))
     sums = rare.select("rid", "r.key", "r.n").join(counts, "key").groupBy("rid").agg(
         F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("base"), F.sum("n").alias("known"))
-    scale = log10(model.tokens + model.vocabulary + 1)
-    return rows.join(sums, "rid", "left").select(
+    scale = log10(model.totals.tokens + model.totals.vocabulary + 1)
+    scored = rows.join(sums, "rid", "left")
+    total = lm["score"]
+    if more is not None:
+        scored = scored.join(more.groupBy("rid").agg(F.sum("part").alias("more")), "rid")
+        total = total + F.col("more")
+    return scored.select(
         F.col("doc_id").alias(doc_id), "held_out", lm["size"].alias("n_tokens"),
         (lm["known"] + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.lit(model.totals.tokens).cast("long").alias("train_tokens"),
         (lm["base"] + F.coalesce("base", F.lit(0.0)) - lm["size"] * F.lit(scale)).alias("base_score"),
-        lm["score"].alias("score"))
+        total.alias("score"))

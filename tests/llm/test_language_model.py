@@ -13,7 +13,7 @@ DATA = "/root/testdata/sf0.001/documents.parquet"
 
 
 def tokens(text):
-    return [*(text or "").encode().translate(lm._LOWER).split(), None]
+    return [*(text or "").encode().translate(lm._FOLD).split(), None]
 
 
 def plain(rows):
@@ -72,15 +72,88 @@ def test_filter_returns_levels_and_errs_upwards_only():
     middle = lm.typical(s.base)
     assert (np.abs(np.log(middle[true] / counts)) <= np.log(s.base)).all()
     assert lm.Filter.of([], 3, s).level(keys[:5]).tolist() == [0] * 5
+    one = lm.Filter.of(parts[1:2], 3, s, 1, 1)
+    assert (one.level(keys) == np.where(shard == 1, got, 0)).all() and (one.holds(keys) == (shard == 1)).all()
 
 
-def test_small_filters_keep_their_bound(spark, rows):
-    s = lm.Settings(filter_bytes=20_000)
+def plain_scores(rows, s=lm.DEFAULT):
+    """The model in plain Python: exact counts rounded to the middle of their level."""
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows]
+    learned = [tokens(t) for (_, t), h in zip(rows, held, strict=True) if not h]
+    words = Counter(w for own in learned for w in own)
+    pairs = Counter(p for own in learned for p in zip(["begin", *own], own, strict=False))
+    words["begin"] = len(learned)
+    total = sum(map(len, learned))
+    seen = len(words) - 1
+
+    def rounded(c):
+        if not c:
+            return 0.0
+        level = int(np.floor(np.log(c) / np.log(s.base) + 1e-9))
+        low = int(np.ceil(s.base ** level - 1e-9))
+        return (low * max(int(np.ceil(s.base ** (level + 1) - 1e-9)) - 1, low)) ** .5
+
+    out = []
+    for _, t in rows:
+        own, score = tokens(t), 0.0
+        for h, w in zip(["begin", *own], own, strict=False):
+            p, ahead = (rounded(words[w]) + 1) / (total + seen + 1), rounded(words[h])
+            if ahead:
+                share = min(rounded(pairs[h, w]) / ahead, 1.0)
+                p = (1 - s.pair_weight) * p + s.pair_weight * share
+            score += log10(p)
+        out.append(score)
+    return out
+
+
+def test_scores_match_a_plain_model_in_one_pass_and_in_many(spark, rows, monkeypatch):
+    """With so many bits a key that no probe errs, scores are those of the quantised counts."""
+    monkeypatch.setattr(lm, "SHARD_BYTES", 60_000)
+    want = sorted(zip([str(i) for i, _ in rows], map(len, map(tokens, [t for _, t in rows])),
+                      plain_scores(rows), strict=True))
+    for s in (lm.Settings(key_bits=120.0, probes=12),
+              lm.Settings(key_bits=120.0, probes=12, group_bytes=400_000)):
+        got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in scores(spark, rows, s))
+        for g, w in zip(got, want, strict=True):
+            assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], rel=1e-9)
+
+
+def test_ordinary_bits_change_scores_little(spark, rows):
+    got = {(str(r.doc_id), r.n_tokens): r.score / r.n_tokens for r in scores(spark, rows)}
+    gaps = [abs(got[str(i), len(tokens(t))] - w / len(tokens(t)))
+            for (i, t), w in zip(rows, plain_scores(rows), strict=True)]
+    assert np.mean(gaps) < 0.01 and max(gaps) < 0.1
+
+
+def test_every_pass_is_bounded_and_nothing_is_left_out(spark, rows, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_BYTES", 20_000)
+    s = lm.Settings(group_bytes=50_000)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    model, _ = lm.train(docs, settings=s)
-    assert len(model.words.data) + len(model.pairs.data) <= s.filter_bytes + 200
-    count = Counter(w for _, t in rows for w in tokens(t))
-    assert (model.tokens, model.vocabulary) == (count.total(), len(count))
+    model = lm.train(docs, settings=s)
+    words = Counter(w for _, t in rows for w in tokens(t))
+    pairs = {p for _, t in rows for p in zip([0, *tokens(t)], tokens(t), strict=False)}
+    assert (model.totals.tokens, model.totals.vocabulary) == (words.total(), len(words))
+    stored = {r["kind"]: r["n"] for r in model.tables.groupBy("kind").sum("n").toDF(
+        "kind", "n").collect()}
+    assert stored == {lm.WORD: len(words), lm.PAIR: len(pairs)}
+    for kind in (lm.WORD, lm.PAIR):
+        groups = model.groups(kind)
+        assert [a for a, _ in groups[1:]] == [b + 1 for _, b in groups[:-1]]
+        assert (groups[0][0], groups[-1][1]) == (0, model.shards - 1)
+        assert all(len(model.filter(kind, g).data) <= s.group_bytes for g in groups)
+    assert len(model.groups(lm.PAIR)) >= 3
+
+
+def test_keys_do_not_depend_on_how_texts_are_cut(monkeypatch):
+    texts = ["One two", None, "", "a" * 50 + " b " * 40, " x\ty\x0bz ", "é ü Å", "x" * 300]
+    want = lm.Tokens().keys(texts)
+    for piece in (7, 64):
+        monkeypatch.setattr(lm, "PIECE", piece)
+        got = lm.Tokens().keys(texts)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    assert want[1].tolist() == [len(tokens(t)) for t in texts]
+    flat = [w for t in texts for w in tokens(t)]
+    assert len({*zip(flat, want[0].tolist(), strict=True)}) == len(set(flat)) == len(set(want[0].tolist()))
 
 
 def test_empty_tables(spark):
