@@ -18,7 +18,7 @@ bounded table, all others are joined.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from math import ceil, log, log10
 
@@ -37,8 +37,8 @@ _A, _B, _C = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xC
 WORD, PAIR = 1, 2
 #: Training bytes behind a shard of the key range, and tokens a task gathers before it sends counts.
 SHARD_BYTES, SEND_TOKENS = 12_000_000, 2_000_000
-#: Bytes of text that are hashed at a time.
-PIECE = 1 << 19
+#: Bytes of text that are hashed at a time, and of segments that the driver fetches at a time.
+PIECE, FETCH = 1 << 19, 8_000_000
 
 
 @dataclass(frozen=True)
@@ -205,14 +205,15 @@ class Filter:
     settings: Settings
 
     @classmethod
-    def of(cls, parts: list[tuple[int, bytes]], shards: int, settings: Settings, first: int = 0,
-           last: int | None = None) -> Filter:
-        given = dict(parts)
+    def of(cls, parts: Iterable[tuple[int, bytes]], sizes: dict[int, int], shards: int,
+           settings: Settings, first: int = 0, last: int | None = None) -> Filter:
+        """From (shard, segment) in any order, and the bytes of every segment; laid out in place."""
         own = range(first, shards if last is None else last + 1)
-        sizes = [len(given.get(s, b"")) for s in own]
-        data = np.frombuffer(b"".join(given.get(s, b"") for s in own), np.uint8)
-        return cls(data, np.concatenate(([0], np.cumsum(sizes))).astype(np.uint64) * np.uint64(8),
-                   first, shards, settings)
+        edges = np.concatenate(([0], np.cumsum([sizes.get(s, 0) for s in own]))).astype(np.int64)
+        data = np.zeros(edges[-1], np.uint8)
+        for shard, part in parts:
+            data[edges[shard - first]:edges[shard - first + 1]] = np.frombuffer(part, np.uint8)
+        return cls(data, edges.astype(np.uint64) * np.uint64(8), first, shards, settings)
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         shard = shard_of(keys, self.shards) - self.first
@@ -351,12 +352,15 @@ class Model:
     words: DataFrame
     settings: Settings
 
+    def sizes(self, kind: int) -> dict[int, int]:
+        """Bytes of every segment: one row per shard."""
+        return {r["shard"]: r["b"] for r in self.tables.filter(F.col("kind") == kind).select(
+            "shard", F.octet_length("segment").alias("b")).collect()}
+
     def groups(self, kind: int) -> list[tuple[int, int]]:
         """(first shard, last shard) of groups of segments of at most ``group_bytes`` (or one
         segment), evenly filled."""
-        rows = self.tables.filter(F.col("kind") == kind).select(
-            "shard", F.octet_length("segment").alias("b")).collect()  # one row per shard
-        size = {r["shard"]: r["b"] for r in rows}
+        size = self.sizes(kind)
         aim = sum(size.values()) / max(1, ceil(sum(size.values()) / self.settings.group_bytes))
         out, first, held = [], 0, 0
         for shard in range(self.shards):
@@ -368,11 +372,20 @@ class Model:
         return [*out, (first, self.shards - 1)]
 
     def filter(self, kind: int, group: tuple[int, int]) -> Filter:
-        """The segments of one group; they pass through the driver to the workers."""
-        first, last = group
-        rows = self.tables.filter((F.col("kind") == kind) & F.col("shard").between(first, last))
-        parts = [(r["shard"], bytes(r["segment"])) for r in rows.select("shard", "segment").collect()]
-        return Filter.of(parts, self.shards, self.settings, first, last)
+        """The segments of one group; they reach the driver a few at a time."""
+        sizes = self.sizes(kind)
+        rows = self.tables.filter(F.col("kind") == kind).select("shard", "segment")
+
+        def parts() -> Iterator[tuple[int, bytes]]:
+            start, held = group[0], 0
+            for shard in range(group[0], group[1] + 1):
+                held += sizes.get(shard, 0)
+                if held >= FETCH or shard == group[1]:
+                    for r in rows.filter(F.col("shard").between(start, shard)).collect():
+                        yield r["shard"], r["segment"]
+                    start, held = shard + 1, 0
+
+        return Filter.of(parts(), sizes, self.shards, self.settings, *group)
 
 
 def train(docs: DataFrame, text: str = "text", settings: Settings = DEFAULT) -> Model:

@@ -65,14 +65,15 @@ def test_filter_returns_levels_and_errs_upwards_only():
     s = lm.DEFAULT
     shard = lm.shard_of(keys, 3)
     parts = [(k, lm.segment(keys[shard == k], counts[shard == k], 12.0, s)) for k in range(3)]
-    f = lm.Filter.of(parts, 3, s)
+    sizes = {k: len(p) for k, p in parts}
+    f = lm.Filter.of(parts, sizes, 3, s)
     true, got = lm.levels(counts, s.base), f.level(keys)
     assert (got >= true).all() and (got == true).mean() > 0.98
     assert (f.level(keys + np.uint64(1)) > 0).mean() < 0.02
     middle = lm.typical(s.base)
     assert (np.abs(np.log(middle[true] / counts)) <= np.log(s.base)).all()
-    assert lm.Filter.of([], 3, s).level(keys[:5]).tolist() == [0] * 5
-    one = lm.Filter.of(parts[1:2], 3, s, 1, 1)
+    assert lm.Filter.of([], {}, 3, s).level(keys[:5]).tolist() == [0] * 5
+    one = lm.Filter.of(parts[1:2], sizes, 3, s, 1, 1)
     assert (one.level(keys) == np.where(shard == 1, got, 0)).all() and (one.holds(keys) == (shard == 1)).all()
 
 
