@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lossloom.llm import decontaminate as d
@@ -83,3 +84,58 @@ def test_empty_tables(spark):
     assert d.find_passages(docs.limit(0), bench).count() == 0
     assert d.decontaminate(docs, bench.limit(0)).count() == 1
     assert d.decontaminate(docs.limit(0), bench).count() == 0
+
+
+def edited(r, words, n):
+    out = list(words)
+    for k in r.sample(range(len(out)), n):
+        out[k] = f"z{r.randrange(10 ** 6)}"
+    return out
+
+
+def test_tables_discard_most_items_and_keep_windows_of_similarity_08():
+    """Windows of similarity 0.8 to 0.9: recall of the index; unrelated items: share looked at."""
+    r = random.Random(3)
+    base = [[f"w{r.randrange(5000)}" for _ in range(r.choice([60, 90, 150]))] for _ in range(200)]
+
+    def shingles(words):
+        ids = np.array([hash(w) & (1 << 40) - 1 for w in words], np.uint64)
+        return d.shingle_hashes(ids)
+
+    def print_of(words):
+        h = shingles(words)
+        return int(d.window_prints(h, len(h))[0])
+
+    tables = d.BlockTables([print_of(b) for b in base], d.RADIUS)
+    found = wanted = 0
+    for i, words in enumerate(base):
+        for n in range(1, 4):
+            copy = edited(r, words, n)
+            sim = d.similarity(Counter(shingles(copy).tolist()), Counter(shingles(words).tolist()))
+            if .8 <= sim < .9:
+                wanted += 1
+                found += (0, i) in tables.near(np.array([print_of(copy)], np.uint64))
+    assert wanted > 100 and found >= 0.95 * wanted
+    strangers = np.array([print_of([f"s{r.randrange(5000)}" for _ in range(90)]) for _ in range(300)],
+                         np.uint64)
+    w, _ = tables.met(strangers)
+    assert len(w) < 0.2 * 300 * len(base)
+    assert len(list(tables.near(strangers))) < 0.01 * 300 * len(base)
+
+
+def test_both_ways_through_the_tables_agree(monkeypatch):
+    r = np.random.default_rng(5)
+    prints = r.integers(0, 1 << 63, 400).astype(np.uint64)
+    queries = prints[:50] ^ np.array([sum(1 << int(k) for k in r.choice(63, 19, replace=False))
+                                      for _ in range(50)], np.uint64)
+    want = {(w, i) for w, q in enumerate(queries.tolist()) for i, p in enumerate(prints.tolist())
+            if (p ^ q).bit_count() <= 19}
+    tables = d.BlockTables(prints.tolist(), 19)
+    assert set(tables.near(queries)) == want and len(want) >= 50
+    tables.flips, before = tables.flips[:1], tables.flips  # forces enumeration, here of one value
+    assert set(zip(*map(np.ndarray.tolist, tables.met(prints[:5])), strict=True)) >= {
+        (k, k) for k in range(5)}
+    many = d.BlockTables(r.integers(0, 1 << 63, 4000).astype(np.uint64).tolist() + prints.tolist(), 19)
+    assert len(many.prints) > len(before)
+    close = {(w, i - 4000) for w, i in many.near(queries) if i >= 4000}
+    assert close == want
