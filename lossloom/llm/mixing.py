@@ -136,7 +136,9 @@ def marked(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
 
 def draw(docs: DataFrame, mix: Mix = DEFAULT, doc_id: str = "doc_id", text: str = "text",
          source: str = "source") -> DataFrame:
-    """``docs`` with ``epoch`` and ``block``: a row per draw, in no order.
+    """``docs`` with ``epoch``, ``block`` and ``n_tokens``: a row per draw, in no order.
+
+    Columns of ``docs`` with one of these names are replaced; all others pass through.
 
     Read by epoch, block and hash, the rows are the permutations. A document comes once per whole
     epoch of its source, and once more if it stands before the cut of the last. A source with no
@@ -154,8 +156,9 @@ def draw(docs: DataFrame, mix: Mix = DEFAULT, doc_id: str = "doc_id", text: str
     taken = (F.col("__ll_epoch") < F.col("__ll_epochs")) | (here < F.col("__ll_cut_block")) | (
         (here == F.col("__ll_cut_block")) & (at <= F.col("__ll_cut_place")))
     spread = out.withColumn("__ll_epoch", F.explode(F.sequence(F.lit(0), F.col("__ll_epochs"))))
+    keep = [c for c in docs.columns if c not in ("epoch", "block", "n_tokens")]
     return spread.filter(F.coalesce(taken, F.lit(False))).select(
-        *docs.columns, F.col("__ll_epoch").alias("epoch"), here.alias("block"),
+        *keep, F.col("__ll_epoch").alias("epoch"), here.alias("block"),
         F.col("__ll_tokens").alias("n_tokens"))
 
 

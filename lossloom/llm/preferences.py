@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lossloom.llm.storage import stored
+
 TURNS = "array<struct<role:string,text:string>>"
 RUNS = "array<struct<chars:int,loss:boolean>>"
+ADDED = ("n_prompt_turns", "prompt", "chosen", "rejected", "chosen_mask", "rejected_mask")
 
 
 @dataclass(frozen=True)
@@ -33,13 +36,19 @@ def conversations(turns: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     """(conv_id, turns): one row per conversation, turns in order of (turn, role, text).
 
     Rows alike in all of these are one turn; null roles and texts stay null. A conversation is
-    one training example, so its turns meet in one row, as the text of a document does.
+    one training example, so its turns meet in one row, as the text of a document does. A row without
+    an id is a conversation of its own: nothing says which others it belongs to, so such rows
+    are not gathered. Ids may be numbers or text; an empty table gives no rows.
     """
     row = F.struct(F.col("turn"), F.col("role").cast("string").alias("role"),
                    F.col("text").cast("string").alias("text"))
-    return turns.groupBy(conv_id).agg(F.sort_array(F.collect_list(row)).alias("__ll_t")).select(
+    named = turns.filter(F.col(conv_id).isNotNull()).groupBy(conv_id).agg(
+        F.sort_array(F.collect_list(row)).alias("__ll_t")).select(
         conv_id, F.transform(F.array_distinct("__ll_t"), lambda x: F.struct(
             x["role"].alias("role"), x["text"].alias("text"))).cast(TURNS).alias("turns"))
+    single = turns.filter(F.col(conv_id).isNull()).select(conv_id, F.array(F.struct(
+        row["role"].alias("role"), row["text"].alias("text"))).cast(TURNS).alias("turns"))
+    return named.unionByName(single)
 
 
 def common_turns(a: Column, b: Column) -> Column:
@@ -76,7 +85,9 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
     """``pairs`` with turns replaced: adds n_prompt_turns, prompt, chosen, rejected and masks.
 
     A null or empty conversation has no turns. Equal conversations have empty completions; if one
-    is a prefix of the other, its completion is empty. Rows are independent: no shuffle.
+    is a prefix of the other, its completion is empty. Rows are independent, so repeated ones are
+    formatted each and an empty table gives no rows: no shuffle. Columns of ``pairs`` with the name of
+    an added one are replaced; all others pass through.
     """
     none = F.array().cast(TURNS)
     ready = pairs.withColumns({"__ll_a": F.coalesce(F.col(chosen), none),
@@ -87,7 +98,7 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
         "__ll_p": F.slice("__ll_a", F.lit(1), n),
         "__ll_a": F.slice("__ll_a", n + 1, F.size("__ll_a")),
         "__ll_b": F.slice("__ll_b", n + 1, F.size("__ll_b"))})
-    keep = [c for c in pairs.columns if c not in (chosen, rejected)]
+    keep = [c for c in pairs.columns if c not in (chosen, rejected, *ADDED)]
     return rest.select(
         *keep, n.alias("n_prompt_turns"), render(F.col("__ll_p"), t).alias("prompt"),
         render(F.col("__ll_a"), t).alias("chosen"), render(F.col("__ll_b"), t).alias("rejected"),
@@ -95,21 +106,39 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
         loss_runs(F.col("__ll_b"), t).alias("rejected_mask"))
 
 
+def next_ids(ids: DataFrame, conv_id: str) -> DataFrame:
+    """``ids`` (unique, not null) with ``__ll_next``: the next larger id, null for the last.
+
+    Ids are dealt to ranges in order. Within a range the next id is one row on; the last id of a
+    range takes the first one of a later range, from a table of one row per range.
+    """
+    ranged = stored(ids.repartitionByRange(conv_id).withColumn("__ll_range", F.spark_partition_id()))
+    firsts = ranged.groupBy("__ll_range").agg(F.min(conv_id).alias("__ll_first"))
+    later = Window.orderBy("__ll_range").rowsBetween(1, Window.unboundedFollowing)
+    carry = firsts.select("__ll_range", F.min("__ll_first").over(later).alias("__ll_carry"))
+    own = Window.partitionBy("__ll_range").orderBy(conv_id)
+    return ranged.withColumn("__ll_next", F.lead(conv_id).over(own)).join(
+        F.broadcast(carry), "__ll_range").select(
+        conv_id, F.coalesce("__ll_next", "__ll_carry").alias("__ll_next"))
+
+
 def rejected_replies(convs: DataFrame, conv_id: str = "conv_id",
                      t: Template = DEFAULT) -> DataFrame:
     """(conv_id, chosen, rejected): pairs made from a table that has no rejected replies.
 
     Chosen is the conversation. Rejected has the same turns up to its last learned turn, then the
-    last learned turn of the conversation with the next id, if there is one. A conversation without
-    a learned turn is paired with itself. Ids are unique here, so the join has no hot key.
+    last learned turn of the conversation with the next id that has one, whatever ids lie between;
+    the last such conversation, and one without an id, get none. A conversation without a learned
+    turn is paired with itself. Each id is the next of at most one other, so no join has a hot key.
     """
     places = F.transform("turns", lambda x, i: F.when(x["role"] == t.learned, i + 1).otherwise(0))
-    own = convs.withColumn("__ll_last", F.coalesce(F.array_max(places), F.lit(0)))
-    donors = own.filter("__ll_last > 0").select(
-        (F.col(conv_id) - 1).alias(conv_id),
-        F.slice("turns", F.col("__ll_last"), 1).alias("__ll_reply"))
+    own = stored(convs.withColumn("__ll_last", F.coalesce(F.array_max(places), F.lit(0))))
+    learned = own.filter((F.col("__ll_last") > 0) & F.col(conv_id).isNotNull())
+    donors = learned.select(F.col(conv_id).alias("__ll_next"),
+                            F.slice("turns", F.col("__ll_last"), 1).alias("__ll_reply"))
+    replies = next_ids(learned.select(conv_id), conv_id).join(donors, "__ll_next").drop("__ll_next")
     prefix = F.slice("turns", F.lit(1), F.greatest(F.col("__ll_last") - 1, F.lit(0)))
-    return own.join(donors, conv_id, "left").select(
+    return own.join(replies, conv_id, "left").select(
         conv_id, F.col("turns").alias("chosen"),
         F.when(F.col("__ll_last") == 0, F.col("turns")).otherwise(F.concat(
             prefix, F.coalesce("__ll_reply", F.array().cast(TURNS)))).alias("rejected"))
@@ -136,18 +165,23 @@ def oracle(t: Template = DEFAULT) -> str:
             f"(length(coalesce(x.text, '')) + {len(t.end)}) || ':' || "
             f"(case when x.role = '{t.learned}' then 1 else 0 end)), ','), '')")
     return f"""
-with rows as (select distinct conv_id, turn, role, text from conversations),
+with rows as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
 convs as (
   select conv_id, list({{'role': role, 'text': text}} order by turn nulls first, role nulls first,
                       text nulls first) as turns
-  from rows group by conv_id),
+  from rows group by conv_id
+  union all
+  select conv_id, [{{'role': role, 'text': text}}] from conversations where conv_id is null),
 own as (
   select *, coalesce(list_max(list_transform(turns, lambda x, i:
       case when x.role = '{t.learned}' then i else 0 end)), 0) as last from convs),
+donors as (
+  select conv_id, lead(turns[last]) over (order by conv_id) as reply,
+         lead(conv_id) over (order by conv_id) is not null as has
+  from own where last > 0 and conv_id is not null),
 pairs as (
-  select o.conv_id, o.turns, o.last, d.turns[d.last] as reply, d.conv_id is not null as has,
-         o.turns[o.last] as mine
-  from own o left join own d on d.conv_id = o.conv_id + 1 and d.last > 0),
+  select o.conv_id, o.turns, o.last, d.reply, coalesce(d.has, false) as has, o.turns[o.last] as mine
+  from own o left join donors d on d.conv_id = o.conv_id),
 cut as (
   select *, case when last = 0 then len(turns)
                  when has and reply.text is not distinct from mine.text then last

@@ -1,8 +1,15 @@
 """Secret scan with a random forest that removes false positives.
 
 Candidates are long unbroken tokens. A forest scores each from its length, character transitions,
-dictionary coverage, the path of its document and the words beside it. It is trained on labelled
-findings, such as the ones that rules are sure of.
+dictionary coverage, the path of its document and the words beside it, and is trained on labelled
+findings.
+
+Where no labelled findings are given, two independent views label for each other: the rule of one view
+teaches a forest that sees only the other. Words and path around a candidate say whether it is assigned
+like a secret; they label for the forest over its characters. The characters say whether it looks
+drawn at random; they label for the forest over words and path. No forest sees an input of its own
+labels, and a finding is kept only where both agree: a placeholder in quotes and a bare hash are
+overturned, and a form that no rule names is found by what it shares with those that one does.
 """
 
 from __future__ import annotations
@@ -28,6 +35,9 @@ SAMPLE_PATH = r"(?i)(test|example|sample|fixture|mock|doc|readme|license|vendor)
 FEATURES = ["length", "digit_share", "upper_share", "symbol_share", "distinct_share",
             "transitions", "coverage", "hex", "path_sample", "path_depth", "keyword_before",
             "assigned", "quoted", "words_before", "word_after"]
+CHARACTERS = ["length", "digit_share", "upper_share", "symbol_share", "distinct_share",
+              "transitions", "coverage", "hex"]
+SURROUNDINGS = [f for f in FEATURES if f not in CHARACTERS]
 LETTERS = 26
 
 
@@ -126,53 +136,75 @@ def with_features(found: DataFrame, table: bytes) -> DataFrame:
     ).drop("__ll_code")
 
 
-def sure_label() -> Column:
-    """What rules are sure of: 1 for an assigned, quoted token with digits; 0 for a token of
-    letters alone without a keyword, or of digits alone; null for all others."""
+def assigned_label() -> Column:
+    """What the surroundings are sure of: 1 for a quoted token that is assigned to a keyword, 0 for one
+    without a keyword before it, null for all others."""
+    return F.when((F.col("assigned") == 1) & (F.col("quoted") == 1), 1).when(
+        (F.col("assigned") == 0) & (F.col("keyword_before") == 0), 0)
+
+
+def random_label() -> Column:
+    """What the characters are sure of: 1 for letters and digits mixed with few trigrams of words, 0
+    for a token of words, or of letters or digits alone; null for all others."""
     digits = F.col("digit_share")
-    return F.when((F.col("assigned") == 1) & (F.col("quoted") == 1) & (digits > 0)
-                  & (digits < 1), 1).when(
-        ((digits == 0) & (F.col("symbol_share") == 0) & (F.col("keyword_before") == 0))
-        | (digits == 1), 0)
+    return F.when((digits >= 0.05) & (digits < 1) & (F.col("coverage") <= 0.25), 1).when(
+        (digits == 1) | (F.col("coverage") >= 0.5) | ((digits == 0) & (F.col("symbol_share") == 0)), 0)
 
 
-def train(findings: DataFrame, settings: Settings = DEFAULT
+def train(findings: DataFrame, features: list[str] = FEATURES, settings: Settings = DEFAULT
           ) -> RandomForestClassificationModel | None:
-    """Forest over FEATURES and ``label`` (0 or 1), at most ``max_findings`` rows a class, those of
+    """Forest over ``features`` and ``label`` (0 or 1), at most ``max_findings`` rows a class, those of
     the smallest hashes. None if a class has no finding."""
     parts = [findings.filter(F.col("label") == k).orderBy(F.xxhash64("m", "left"), "m", "left")
              .limit(settings.max_findings) for k in (0, 1)]
-    sample = stored(parts[0].unionByName(parts[1]).select("label", *FEATURES))
+    sample = stored(parts[0].unionByName(parts[1]).select("label", *features))
     if sample.select("label").distinct().count() < 2:
         return None
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="__ll_x").transform(sample)
+    rows = VectorAssembler(inputCols=features, outputCol="__ll_x").transform(sample)
     forest = RandomForestClassifier(
         featuresCol="__ll_x", labelCol="label", numTrees=settings.trees, maxDepth=settings.depth,
         seed=settings.seed, cacheNodeIds=False)
     return forest.fit(rows.withColumn("label", F.col("label").cast("double")))
 
 
+def with_probability(found: DataFrame, forest: RandomForestClassificationModel | None,
+                     features: list[str], out: str, rule: Column) -> DataFrame:
+    """``found`` with the forest's probability; without a forest that of the rule (unsure: 0)."""
+    if forest is None:
+        return found.withColumn(out, F.coalesce(rule, F.lit(0)).cast("double"))
+    rows = VectorAssembler(inputCols=features, outputCol="__ll_x").transform(found)
+    return forest.transform(rows).select(
+        *found.columns, F.get(vector_to_array("probability"), F.lit(1)).alias(out))
+
+
+def by_views(found: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """``found`` with by_characters and by_surroundings, each learned from the rule of the other view
+    over documents outside fold 0, and probability, their product: that both are right."""
+    learn = found.filter(bucket("doc_id", settings.folds) != 0)
+    views = (("by_characters", CHARACTERS, assigned_label(), random_label()),
+             ("by_surroundings", SURROUNDINGS, random_label(), assigned_label()))
+    for name, features, teacher, own in views:
+        labelled = learn.withColumn("label", teacher).filter("label is not null")
+        found = with_probability(found, train(labelled, features, settings), features, name, own)
+    return found.withColumn("probability", F.col("by_characters") * F.col("by_surroundings"))
+
+
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source",
          labelled: DataFrame | None = None, settings: Settings = DEFAULT) -> DataFrame:
     """doc_id, start, end, sha256, probability, is_secret: a row per candidate, the strings hashed.
 
-    ``labelled`` (FEATURES, m, left, label) are findings to learn from; without it the rules label
-    their sure findings in documents outside fold 0. If these have one class only, the probability
-    is the rules' own (unsure: 0). Null texts have no candidates; null paths are empty; repeated
-    rows are reported each; an empty table gives no rows.
+    ``labelled`` (FEATURES, m, left, label) are findings to learn from; without it the two views teach
+    each other. A view whose teacher knows one class only falls back on its own rule (unsure:
+    0); so does ``labelled`` with one class, on both rules. Null texts have no candidates; null paths
+    are empty; repeated rows are reported each; an empty table gives no rows.
     """
     found = stored(with_features(candidates(docs, doc_id, text, path),
                                  dictionary(docs, text, settings)).drop("path", "right"))
     if labelled is None:
-        labelled = found.filter(bucket("doc_id", settings.folds) != 0).withColumn(
-            "label", sure_label()).filter("label is not null")
-    forest = train(labelled, settings)
-    if forest is None:
-        scored = found.withColumn("probability", F.coalesce(sure_label(), F.lit(0)).cast("double"))
+        scored = by_views(found, settings)
     else:
-        rows = VectorAssembler(inputCols=FEATURES, outputCol="__ll_x").transform(found)
-        scored = forest.transform(rows).withColumn(
-            "probability", F.get(vector_to_array("probability"), F.lit(1)))
+        scored = with_probability(found, train(labelled, FEATURES, settings), FEATURES, "probability",
+                                  assigned_label() * random_label())
     return scored.select(F.col("doc_id").alias(doc_id), "start", "end",
                          F.sha2("m", 256).alias("sha256"), "probability",
                          (F.col("probability") >= settings.at_least).alias("is_secret"))

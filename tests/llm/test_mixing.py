@@ -6,6 +6,7 @@ from math import ceil, log, sqrt
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from lossloom.llm import mixing as m
 
@@ -107,3 +108,14 @@ def test_repeated_rows_null_ids_and_empty_table(spark, docs):
     assert m.mixed(twice, m.Mix(max_repeats=1.0)).count() == 5
     assert m.draw(twice, m.Mix(max_repeats=1.0)).count() == 5
     assert m.mixed(docs.limit(0)).count() == 0 and m.draw(docs.limit(0)).count() == 0
+
+
+def test_columns_with_the_names_of_added_ones_are_replaced(docs):
+    named = docs.withColumns({"epoch": F.lit("old"), "block": F.lit("old"), "n_tokens": F.lit("old"),
+                              "place": F.lit("mine"), "weight": F.lit("mine")})
+    got, want = m.draw(named), m.draw(docs)
+    assert sorted(got.columns) == sorted([*want.columns, "weight"])
+    rest = [c for c in want.columns if c != "place"]
+    assert sorted(map(str, got.select(*rest).collect())) == sorted(map(
+        str, want.select(*rest).collect()))
+    assert {(r.place, r.weight) for r in got.collect()} == {("mine", "mine")}

@@ -1,6 +1,7 @@
 """The pipeline's stages against plain versions, each on what its predecessor kept."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from lossloom.llm import decontaminate as d
@@ -81,3 +82,24 @@ def test_draws_follow_the_mix(kept):
 def test_run_applies_all_stages(spark, kept):
     got = cp.run(spark, SF)
     assert sorted(map(str, got.collect())) == sorted(map(str, kept[-1]))
+
+
+def test_stages_take_odd_rows_and_clashing_names(spark):
+    """Null ids and texts, repeats, empty tables, and columns named like those of the operators."""
+    text = " ".join(f"word{k}" for k in range(40))
+    rows = [(1, text, "en", "a", 3), (1, text, "en", "a", 3), (None, text + " more", None, None, None),
+            (2, None, "en", "a", 0), (3, "", "en", "b", 0), (None, None, None, None, None),
+            (4, "quite " + " ".join(f"other{k}" for k in range(500)) + " a@b.example", "en", "a", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    names = ("epoch", "block", "n_tokens", "fp", "t", "id", "n", "root", "row", "host", "place", "m",
+             "component_id", "found", "words", "start", "kind", "item_id", "kept")
+    docs = docs.withColumns({c: F.lit(c) for c in names})
+    for frame, size in ((docs, 3), (docs.limit(0), 0)):
+        for name, stage in cp.STAGES[:-1]:
+            before = frame.columns
+            frame = cp.stored(stage(spark, frame, SF))
+            assert frame.columns == before, name
+        assert frame.count() in (size, size - 1)
+        last = cp.STAGES[-1][1](spark, frame, SF)
+        assert set(last.columns) == set(frame.columns)
+        assert (last.count() > 0) == (size > 0)
