@@ -34,6 +34,7 @@ from lossloom.llm.text import bucket, whole, words
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 END, BEGIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 _A, _B, _C = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xC2B2AE3D27D4EB4F))
+_HALF, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
 WORD, PAIR = 1, 2
 #: Training bytes behind a shard of the key range, and tokens a task gathers before it sends counts.
 SHARD_BYTES, SEND_TOKENS = 12_000_000, 2_000_000
@@ -170,11 +171,15 @@ def typical(base: float, top: int = 120) -> np.ndarray:
     return np.concatenate(([0.0], np.sqrt(low * high)))
 
 
-def spots(keys: np.ndarray, level: int, i: int, bits: np.ndarray) -> np.ndarray:
-    """Position of probe ``i`` of keys at a level, in a segment of ``bits`` bits."""
+def start_and_step(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Probe i of a key at a level falls on start + i * step, of which 32 bits count."""
     h = mixed(keys + np.uint64(level * int(_C) & (1 << 64) - 1))
-    step = (h & np.uint64(0xFFFFFFFF)) | np.uint64(1)
-    return ((h >> np.uint64(32)) + np.uint64(i) * step) % bits
+    return h >> _HALF, h | np.uint64(1)
+
+
+def spot(x: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Place of a probe in a segment of ``bits`` bits."""
+    return (x & _LOW) * bits >> _HALF
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -188,9 +193,10 @@ def segment(keys: np.ndarray, counts: np.ndarray, key_bits: float, settings: Set
     size = max(64, int(q.sum() * key_bits)) // 8 * 8
     table = np.zeros(size, bool)
     for level in range(1, int(q.max(initial=0)) + 1):
-        own = keys[q >= level]
-        for i in range(settings.probes):
-            table[spots(own, level, i, np.uint64(size))] = True
+        x, step = start_and_step(keys[q >= level], level)
+        for _ in range(settings.probes):
+            table[spot(x, np.uint64(size))] = True
+            x = x + step
     return np.packbits(table).tobytes()
 
 
@@ -219,23 +225,30 @@ class Filter:
         shard = shard_of(keys, self.shards) - self.first
         return (shard >= 0) & (shard < len(self.begins) - 1)
 
+    def set_at(self, at: np.ndarray) -> np.ndarray:
+        return (self.data[at >> np.uint64(3)] << (at & np.uint64(7)).astype(np.uint8) & 128) > 0
+
     def level(self, keys: np.ndarray) -> np.ndarray:
         """Levels by repeated membership probes; never below the true one."""
         out = np.zeros(len(keys), np.int64)
         live = np.flatnonzero(self.holds(keys))
         shard = shard_of(keys[live], self.shards) - self.first
-        begin = np.zeros(len(keys), np.uint64)
-        bits = np.zeros(len(keys), np.uint64)
-        begin[live], bits[live] = self.begins[shard], self.begins[shard + 1] - self.begins[shard]
-        live = live[bits[live] > 0]
+        begin = self.begins[shard]
+        bits = self.begins[shard + 1] - begin
+        some = bits > 0
+        live, begin, bits = live[some], begin[some], bits[some]
+        left = keys[live]
         level = 0
         while len(live):
             level += 1
-            for i in range(self.settings.probes):
-                at = begin[live] + spots(keys[live], level, i, bits[live])
-                hit = self.data[(at >> np.uint64(3)).astype(np.int64)] >> (
-                    np.uint64(7) - (at & np.uint64(7))).astype(np.uint8) & 1
-                live = live[hit.astype(bool)]
+            x, step = start_and_step(left, level)
+            hit = self.set_at(begin + spot(x, bits))
+            x, step, live, left, begin, bits = (v[hit] for v in (x, step, live, left, begin, bits))
+            hit = np.ones(len(live), bool)
+            for _ in range(1, self.settings.probes):
+                x += step
+                hit &= self.set_at(begin + spot(x, bits))
+            live, left, begin, bits = (v[hit] for v in (live, left, begin, bits))
             out[live] = level
         return out
 
@@ -250,11 +263,6 @@ class Totals:
     counts: np.ndarray
 
 
-def word_levels(words: Filter, keys: np.ndarray) -> np.ndarray:
-    own, at = np.unique(keys, return_inverse=True)
-    return words.level(own)[at]
-
-
 def log_probabilities(keys: np.ndarray, sizes: np.ndarray, levels_: np.ndarray, pairs: Filter,
                       totals: Totals) -> np.ndarray:
     """log10 of the smoothed probability of every token whose pair belongs to ``pairs``; others 0."""
@@ -424,12 +432,13 @@ def with_levels(rows: DataFrame, model: Model, groups: list[tuple[int, int]]) ->
                 made = []
                 for k in range(0, len(texts), 1000):
                     keys, sizes = reader.keys(texts.iloc[k:k + 1000].tolist())
-                    new = word_levels(shared.value, keys).astype(np.uint8)  # noqa: B023
-                    for at, old in zip(np.split(new, np.cumsum(sizes)[:-1]),
-                                       before.iloc[k:k + 1000], strict=True):
+                    own, at = np.unique(keys, return_inverse=True)
+                    new = shared.value.level(own)[at].astype(np.uint8)  # noqa: B023
+                    for part, old in zip(np.split(new, np.cumsum(sizes)[:-1]),
+                                         before.iloc[k:k + 1000], strict=True):
                         if old is not None:
-                            at = np.maximum(at, np.frombuffer(old, np.uint8))
-                        made.append(at.tobytes())
+                            part = np.maximum(part, np.frombuffer(old, np.uint8))
+                        made.append(part.tobytes())
                 yield pd.Series(made, dtype=object)
 
         out = stored(out.withColumn("levels", fill("text", "levels")))
@@ -449,16 +458,22 @@ def passed(rows: DataFrame, model: Model, words: Filter | None, pairs: Filter,
         words_, pairs_, totals = shared.value
         keys, sizes = reader.keys(texts)
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        known = (word_levels(words_, keys) if given is None
-                 else np.frombuffer(b"".join(given), np.uint8).astype(np.int64))
+        if given is None:
+            own, at = np.unique(keys, return_inverse=True)
+            known = words_.level(own)[at]
+        else:
+            known = np.frombuffer(b"".join(given), np.uint8).astype(np.int64)
         logs = log_probabilities(keys, sizes, known, pairs_, totals)
         out = {"score": np.add.reduceat(logs, starts)}
         if not first:
             return pd.DataFrame(out)
         if len(totals.frequent):
-            at = np.searchsorted(totals.frequent, keys).clip(max=len(totals.frequent) - 1)
-            found = totals.frequent[at] == keys
-            logs = np.where(found, np.log10(totals.counts[at] + 1.0), 0.0)
+            if given is not None:
+                own, at = np.unique(keys, return_inverse=True)
+            place = np.searchsorted(totals.frequent, own).clip(max=len(totals.frequent) - 1)
+            hit = totals.frequent[place] == own
+            found = hit[at]
+            logs = np.where(hit, np.log10(totals.counts[place] + 1.0), 0.0)[at]
         else:
             found, logs = np.zeros(len(keys), bool), np.zeros(len(keys))
         rest = [np.unique(k[~f], return_counts=True) for k, f in zip(
