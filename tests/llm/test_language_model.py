@@ -123,8 +123,8 @@ def test_ordinary_bits_change_scores_little(spark, rows):
     got = {(str(r.doc_id), r.n_tokens): r.score / r.n_tokens for r in scores(spark, rows)}
     gaps = [abs(got[str(i), len(tokens(t))] - w / len(tokens(t)))
             for (i, t), w in zip(rows, plain_scores(rows), strict=True)]
-    long = [g for g, (_, t) in zip(gaps, rows, strict=True) if len(set(tokens(t))) > 20]
-    assert np.mean(gaps) < 0.01 and max(long) < 0.02  # one false probe moves a text of few pairs
+    long = [g for g, (_, t) in zip(gaps, rows, strict=True) if len(set(tokens(t))) > 150]
+    assert np.mean(gaps) < 0.01 and max(long) < 0.02  # a false probe moves texts of few, repeated pairs most
 
 
 def test_every_pass_is_bounded_and_nothing_is_left_out(spark, rows, monkeypatch):
