@@ -39,7 +39,7 @@ WORD, PAIR = 1, 2
 #: Training bytes behind a shard of the key range, and tokens a task gathers before it sends counts.
 SHARD_BYTES, SEND_TOKENS = 12_000_000, 2_000_000
 #: Bytes of text that are hashed at a time, and of segments that the driver fetches at a time.
-PIECE, FETCH = 1 << 19, 8_000_000
+PIECE, FETCH = 1 << 16, 8_000_000
 
 
 @dataclass(frozen=True)
