@@ -41,7 +41,7 @@ def vintage_in_name(c: str | Column) -> Column:
 
 
 def quarter_index(vintage: str | Column) -> Column:
-    """Consecutive integer of a ``YYYYQn`` label, null for other text."""
+    """Consecutive integer of a ``YYYYQn`` label of this century, null for other text."""
     text = F.col(vintage) if isinstance(vintage, str) else vintage
     year, quarter = F.substring(text, 1, 4), F.substring(text, 6, 1)
     return F.when(text.rlike("^20[0-9]{2}Q[1-4]"),

@@ -85,9 +85,12 @@ def stability_of_two(df: DataFrame, baseline: str, compare: str, bins: int = 10)
 
 
 def drift_checks(master: DataFrame, q: QualityLimits = QualityLimits()) -> DataFrame:
-    """One result row per feature and consecutive vintage pair with a computable PSI."""
+    """One result row per feature and consecutive vintage pair with a computable PSI.
+
+    Only the quarter and the checked features are read, once.
+    """
     features = [c for c in q.drift_features if c in master.columns]
-    labelled = master.filter(F.col("vintage") != "")
+    labelled = durable(master.filter(F.col("vintage") != "").select("vintage", *features))
     psi = stability(long_values(labelled, features, ("vintage",)), "vintage", q.psi_bins)
     v = F.col("psi")
     status = (F.when(v > q.psi_alert, "FAIL").when(v > q.psi_warn, "WARN").otherwise("PASS"))
@@ -108,11 +111,17 @@ def missing_quarters(master: DataFrame) -> DataFrame:
 
 
 def coverage_check(master: DataFrame) -> DataFrame:
-    gaps = missing_quarters(master).agg(
+    """Quarters without loans. Labels that are no quarter of this century are not judged; the message
+    says how many loans have one."""
+    vintages = durable(master.groupBy("vintage").agg(F.count(F.lit(1)).alias("loans")))
+    gaps = missing_quarters(vintages).agg(
         F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("vintage")).alias("gaps"))
+    left_out = vintages.filter(quarter_index("vintage").isNull()).agg(
+        F.coalesce(F.sum("loans"), F.lit(0)).alias("left_out")).scalar()
     n = F.col("n")
-    return gaps.select(_row(
+    found = F.when(n > 0, F.concat(F.lit("missing: "), F.array_join("gaps", ", "))).otherwise("no gaps")
+    return gaps.withColumn("left_out", left_out).select(_row(
         "loan_master", "coverage", "vintage", "missing_quarters", n, 0,
         F.when(n > 0, "WARN").otherwise("PASS"),
-        F.when(n > 0, F.concat(F.lit("missing: "), F.array_join("gaps", ", ")))
-        .otherwise("no gaps")).alias("r")).select("r.*")
+        F.when(F.col("left_out") > 0, F.concat(found, F.lit("; "), F.col("left_out"), F.lit(
+            " loan(s) without a known quarter"))).otherwise(found)).alias("r")).select("r.*")

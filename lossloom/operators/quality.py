@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lossloom.functions.bounds import no_nan
 from lossloom.operators import ranks
+from lossloom.operators.durable import durable
 from lossloom.params import QualityLimits
 from lossloom.schema import CHECK_RESULT
 
@@ -110,10 +112,25 @@ class Checks:
                                   "WARN", f"unexpected: {', '.join(extra)}"))
         return self
 
+    def _totals(self) -> list[Column]:
+        return [F.count(F.lit(1)).alias("_rows"), *self.aggregates.values()]
+
     def run(self, df: DataFrame) -> DataFrame:
-        totals = df.agg(F.count(F.lit(1)).alias("_rows"), *self.aggregates.values())
+        return self._result(df.agg(*self._totals()))
+
+    def _result(self, totals: DataFrame) -> DataFrame:
         return totals.select(F.explode(F.array(*self.rows)).alias("r")).select("r.*")
 
+    def while_writing(self, df: DataFrame, write: Callable[[DataFrame], None]) -> DataFrame:
+        """Write ``df`` with ``write`` and return the check rows, taken from the rows on their way: the
+        data is read and derived once. ``write`` must run one job over all rows."""
+        seen = Observation()
+        write(df.observe(seen, *self._totals()))
+        figures = seen.get  # one number per check
+        totals = df.sparkSession.createDataFrame(
+            [tuple(figures.values())], ", ".join(f"{name} bigint" for name in figures))
+        return self._result(totals)
+
 
 def duplicate_check(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """Rows beyond the first of each key; null keys count as equal, as in a distinct."""
@@ -136,15 +153,18 @@ def long_values(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -
     return df.select(*keep, F.explode(pairs).alias("p")).select(*keep, "p.feature", "p.x")
 
 
-def outlier_check(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+def outlier_check(df: DataFrame, table: str, columns: list[str],
+                  interpolation: str = "linear") -> DataFrame:
     """Share outside 1.5 interquartile ranges, all columns in one job; report only.
 
-    Quartiles interpolate linearly and come from compacted counts; then one aggregate without a
-    shuffle of rows counts what lies outside. The limits of the checked columns, two numbers each,
-    pass through the driver.
+    Quartiles interpolate linearly (or are the "nearest" value) and come from compacted counts; then
+    one aggregate without a shuffle of rows counts what lies outside. The checked columns are stored
+    once, as they are read three times; their limits, two numbers each, pass through the driver.
     """
     columns = [c for c in columns if c in df.columns]
-    quartiles = ranks.exact_quantiles(long_values(df, columns), ["feature"], "x", [0.25, 0.75])
+    df = durable(df.select(*columns))
+    quartiles = ranks.exact_quantiles(long_values(df, columns), ["feature"], "x", [0.25, 0.75],
+                                      interpolation=interpolation)
     limits = {r["feature"]: r["quantiles"] for r in
               quartiles.filter(F.col("n_total") >= MIN_FOR_OUTLIERS).collect()}
     if not limits:
@@ -163,25 +183,22 @@ def outlier_check(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     ])).alias("r")).select("r.*")
 
 
-def master_checks(master: DataFrame, expected: list[str],
-                  q: QualityLimits = QualityLimits()) -> DataFrame:
-    one_pass = (Checks("loan_master").schema(master, expected)
-                .completeness(master, q.core_master, q.max_null_pct)
-                .non_negative(master, q.non_negative)
-                .ranges(master, q.numeric_ranges)
-                .dates(master, q.date_bounds))
-    return (one_pass.run(master)
-            .unionByName(duplicate_check(master, "loan_master", ["loan_id"]))
-            .unionByName(outlier_check(master, "loan_master", list(q.outlier_columns))))
-
-
-def monthly_checks(monthly: DataFrame, q: QualityLimits = QualityLimits()) -> DataFrame:
-    one_pass = (Checks("loan_monthly")
-                .completeness(monthly, q.core_monthly, q.max_null_pct)
-                .non_negative(monthly, q.non_negative)
-                .dates(monthly, q.date_bounds))
-    return one_pass.run(monthly).unionByName(
-        duplicate_check(monthly, "loan_monthly", ["loan_id", "reporting_period"]))
+def master_pass(master: DataFrame, expected: list[str],
+                q: QualityLimits = QualityLimits()) -> Checks:
+    """Checks of the loan table that share one pass."""
+    return (Checks("loan_master").schema(master, expected)
+            .completeness(master, q.core_master, q.max_null_pct)
+            .non_negative(master, q.non_negative)
+            .ranges(master, q.numeric_ranges)
+            .dates(master, q.date_bounds))
+
+
+def monthly_pass(monthly: DataFrame, q: QualityLimits = QualityLimits()) -> Checks:
+    """Checks of the monthly table that share one pass."""
+    return (Checks("loan_monthly")
+            .completeness(monthly, q.core_monthly, q.max_null_pct)
+            .non_negative(monthly, q.non_negative)
+            .dates(monthly, q.date_bounds))
 
 
 def grade(score: Column) -> Column:

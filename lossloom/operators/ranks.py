@@ -167,10 +167,12 @@ def running_totals(sliced: DataFrame, by: Sequence[str], value: str, sums: Seque
 
 
 def quantiles_of_counts(ranked: DataFrame, by: Sequence[str], value: str,
-                        probabilities: Sequence[float]) -> DataFrame:
-    """Linear-interpolated exact quantiles from :func:`running_totals` over ``n``.
+                        probabilities: Sequence[float],
+                        interpolation: str = "linear") -> DataFrame:
+    """Exact quantiles from :func:`running_totals` over ``n``.
 
-    Returns one row per group: ``n_total`` and the array ``quantiles``.
+    Between two ranks they are interpolated ("linear") or take the value of the nearer one
+    ("nearest", the upper one half way). Returns one row per group: ``n_total`` and the array ``quantiles``.
     """
     first, last = F.col("n_before"), F.col("n_before") + F.col("n") - 1
     picks = []
@@ -185,16 +187,19 @@ def quantiles_of_counts(ranked: DataFrame, by: Sequence[str], value: str,
         position = (F.col("n_total") - 1) * F.lit(float(p))
         share = position - F.floor(position)
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        values.append(lo + (hi - lo) * share)
+        values.append(lo + (hi - lo) * share if interpolation == "linear"
+                      else F.when(share < 0.5, lo).otherwise(hi))
     return grouped.select(*by, "n_total", F.array(*values).alias("quantiles"))
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
-                    probabilities: Sequence[float],
-                    sketch: DataFrame | None = None) -> DataFrame:
+                    probabilities: Sequence[float], sketch: DataFrame | None = None,
+                    interpolation: str = "linear") -> DataFrame:
     """Exact quantiles of ``value`` per group; columns ``n_total`` and ``quantiles``."""
+    if interpolation not in ("linear", "nearest"):
+        raise ValueError(f"no interpolation {interpolation}")
     _, ranked = ranked_counts(df, by, value, probabilities, sketch=sketch)
-    return quantiles_of_counts(ranked, by, value, probabilities)
+    return quantiles_of_counts(ranked, by, value, probabilities, interpolation)
 
 
 def bin_of(value: Column, edges: Column, bins: int) -> Column:

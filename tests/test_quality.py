@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lossloom.operators import drift, quality
+from lossloom.operators import drift, quality, ranks
 from lossloom.schema import CHECK_RESULT
 
 
@@ -53,3 +53,32 @@ def test_outliers(spark):
     df = spark.range(100).select(F.when(F.col("id") == 0, 1e6).otherwise(F.col("id")).alias("v"))
     row = one(quality.outlier_check(df, "t", ["v", "missing"]))
     assert row["value"] == 1.0 and row["status"] == "INFO"
+
+
+def test_nearest_quartiles_take_a_value(spark):
+    df = spark.createDataFrame([(float(v),) for v in (0, 1, 2, 10, 20, 40)], "v double")
+    got = [ranks.exact_quantiles(quality.long_values(df, ["v"]), ["feature"], "x", [.1, .25, .5, .75],
+                                 interpolation=i).first()["quantiles"] for i in ("linear", "nearest")]
+    assert got[0] == [.5, 1.25, 6.0, 17.5] and got[1] == [1.0, 1.0, 10.0, 20.0]
+
+
+def test_checks_while_writing_read_the_rows_once(spark, tmp_path):
+    """An accumulator counts how often rows are derived; figures equal those of a scan."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    plain = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "loan_id long, upb double")
+    rows = plain.mapInPandas(count, plain.schema)
+    checks = quality.Checks("t").completeness(plain, ("upb",), 5.0).non_negative(plain, ("upb",))
+    got = checks.while_writing(rows, lambda df: df.write.parquet(str(tmp_path / "t")))
+    assert sorted(map(str, got.collect())) == sorted(map(str, checks.run(plain).collect()))
+    assert seen.value == 3 and spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_unknown_quarters_are_named(spark):
+    df = spark.createDataFrame([("2018Q1",), ("1995Q3",), ("1995Q3",)], "vintage string")
+    assert "2 loan(s) without a known quarter" in one(drift.coverage_check(df))["message"]

@@ -106,6 +106,21 @@ def q6(spark, sf):
                                          ["fico_orig", "upb_orig", "skewed", "dti_orig"]))
 
 
+@query("q6_outliers_nearest", " union all ".join(f"""
+select 'outlier' as check_type, '{c}' as "column", 'outlier_pct' as metric, 'INFO' as status,
+  round(1e2 * count(case when x < q1 - 15e-1 * (q3 - q1) or x > q3 + 15e-1 * (q3 - q1) then 1 end)
+    / count(*), 4) as value
+from (select {e} as x from @loans), (select
+  max(case when i = floor((n - 1) * 25e-2 + 5e-1) then x end) as q1,
+  max(case when i = floor((n - 1) * 75e-2 + 5e-1) then x end) as q3
+  from (select {e} as x, row_number() over (order by {e}) - 1 as i, count(*) over () as n from @loans))"""
+    for c, e in (("fico_orig", "fico_orig"), ("upb_orig", "upb_orig"),
+                 ("skewed", "pow(upb_orig / 50000, 3e0)"))))
+def q6_nearest(spark, sf):
+    return figures(quality.outlier_check(outlier_rows(spark, sf), "loan_master",
+                                         ["fico_orig", "upb_orig", "skewed", "dti_orig"], "nearest"))
+
+
 @query("q7_schema_validation", """
 select 'missing_columns' as metric, 0e0 as value, 'PASS' as status, count(*) as n from @loans""")
 def q7(spark, sf):
@@ -199,3 +214,95 @@ def q11(spark, sf):
                          expected=[f.name for f in schema.LOAN_MASTER
                                    if f.name in tables.master(spark, sf).columns])
     return rows.groupBy("table", "check_type").agg(F.count(F.lit(1)).alias("checks"))
+
+
+# Loans and months with every kind of fault, so that no check is trivially zero.
+SPOILED = """
+with loans as (
+    select loan_id, case when loan_id % 19 <> 0 then origination_date end as origination_date, vintage,
+      case when loan_id % 29 = 0 then -upb_orig else upb_orig end as upb_orig,
+      case when loan_id % 17 = 0 then 900e0 when loan_id % 13 <> 0 then fico_orig end as fico_orig,
+      ltv_orig, case when loan_id % 3 = 0 then dti_orig end as dti_orig, int_rate_orig, state
+    from @loans),
+  loan_master as (select * from loans union all select * from loans where loan_id % 31 = 0),
+  loan_monthly as (
+    select loan_id, case when loan_id % 23 <> 0 then reporting_period end as reporting_period,
+      case when loan_id % 37 = 0 then -upb_current else upb_current end as upb_current, delq_status,
+      case when loan_id % 11 <> 0 then loan_age end as loan_age, total_principal_current from @panel)
+"""
+
+
+def spoiled(spark, sf):
+    k = F.col("loan_id")
+    loans = tables.master(spark, sf).withColumns({
+        "origination_date": F.when(k % 19 != 0, F.col("origination_date")),
+        "upb_orig": F.when(k % 29 == 0, -F.col("upb_orig")).otherwise(F.col("upb_orig")),
+        "fico_orig": F.when(k % 17 == 0, 900.0).when(k % 13 != 0, F.col("fico_orig")),
+        "dti_orig": F.when(k % 3 == 0, F.col("dti_orig"))})
+    months = tables.monthly(spark, sf).withColumns({
+        "reporting_period": F.when(k % 23 != 0, F.col("reporting_period")),
+        "upb_current": F.when(k % 37 == 0, -F.col("upb_current")).otherwise(F.col("upb_current")),
+        "loan_age": F.when(k % 11 != 0, F.col("loan_age"))})
+    return loans.unionByName(loans.filter(k % 31 == 0)), months
+
+
+def values_sql() -> str:
+    """Every value and status of the suite but drift, which has a query of its own."""
+    rows = []
+
+    def add(table, kind, column, metric, value, status):
+        name = "null" if column is None else f"'{column}'"
+        rows.append(f"select '{table}' as \"table\", '{kind}' as check_type, {name} as \"column\", "
+                    f"'{metric}' as metric, v as value, {status} as status "
+                    f"from (select cast({value} as double) as v from {table})")
+
+    def count(bad):
+        return f"count(case when {bad} then 1 end)"
+
+    def share(bad):
+        return f"round(1e2 * {count(bad)} / count(*), 4)"
+
+    columns = {"loan_master": ("loan_id", "origination_date", "vintage", "upb_orig", "fico_orig",
+                               "ltv_orig", "dti_orig", "int_rate_orig", "state"),
+               "loan_monthly": ("loan_id", "reporting_period", "upb_current", "delq_status", "loan_age",
+                                "total_principal_current")}
+    core = {"loan_master": LIMITS.core_master, "loan_monthly": LIMITS.core_monthly}
+    add("loan_master", "schema", None, "missing_columns", "0 * count(*)", "'PASS'")
+    for t, own in columns.items():
+        for c in core[t]:
+            add(t, "completeness", c, "null_pct", share(f"{c} is null"),
+                f"case when v > {LIMITS.max_null_pct} then 'FAIL' else 'PASS' end")
+        add(t, "completeness", None, "sparse_columns", " + ".join(
+            f"case when {share(f'{c} is null')} > 50 then 1 else 0 end" for c in own), "'INFO'")
+        for c in (c for c in LIMITS.non_negative if c in own):
+            add(t, "non_negative", c, "negative_count", count(f"{c} < 0"),
+                "case when v > 0 then 'FAIL' else 'PASS' end")
+        for c, (lo, hi) in LIMITS.date_bounds.items():
+            if c in own:
+                add(t, "date_validity", c, "invalid_date_pct", share(
+                    f"{c} is null or {c} < date '{lo}' or {c} > date '{hi}'"),
+                    "case when v > 0 then 'WARN' else 'PASS' end")
+        keys = ("loan_id",) if t == "loan_master" else ("loan_id", "reporting_period")
+        add(t, "uniqueness", "+".join(keys), "duplicate_rows",
+            f"count(*) - count(distinct ({', '.join(f'coalesce(cast({k} as varchar), chr(0))' for k in keys)},))",
+            "case when v > 0 then 'FAIL' else 'PASS' end")
+    for c, (lo, hi) in LIMITS.numeric_ranges.items():
+        if c in columns["loan_master"]:
+            add("loan_master", "range", c, "out_of_range_pct", share(f"{c} < {lo} or {c} > {hi}"),
+                "case when v > 0 then 'WARN' else 'PASS' end")
+    for c in LIMITS.outlier_columns:
+        add("loan_master", "outlier", c, "outlier_pct", share(
+            f"{c} < q1 - 15e-1 * (q3 - q1) or {c} > q3 + 15e-1 * (q3 - q1)"), "'INFO'")
+        rows[-1] = rows[-1].replace("from loan_master)", f"from loan_master, (select quantile_cont({c}, 0.25) as q1, "
+                                    f"quantile_cont({c}, 0.75) as q3 from loan_master))")
+    return SPOILED + " union all ".join(rows)
+
+
+@query("q11_check_values", values_sql())
+def q11_values(spark, sf):
+    from lossloom.plans.quality import quality_suite
+
+    loans, months = spoiled(spark, sf)
+    rows = quality_suite(loans, months, expected=loans.columns)
+    return rows.filter(~F.col("check_type").isin("drift", "coverage")).select(
+        "table", "check_type", "column", "metric", "value", "status")
