@@ -149,7 +149,8 @@ def loan_losses(loans: DataFrame, case: LossCase) -> DataFrame:
 def monthly_profile(loans: DataFrame, case: LossCase) -> DataFrame:
     """Expected loss per scenario and month over all loans, before the stage rule.
 
-    ``scenario, month, n, loss``; each block of loans emits scenarios x months partial sums.
+    ``scenario, month, n, loss, n_without_loss``; each block of loans emits scenarios x months partial
+    sums. Loans whose loss is unknown (an input is missing) count in ``n`` and ``n_without_loss``.
     """
     loans = loans.select(*LOAN_COLUMNS[1:])
 
@@ -160,11 +161,13 @@ def monthly_profile(loans: DataFrame, case: LossCase) -> DataFrame:
                 total = _unit_losses(hazard, case.multipliers[s], case.smm, value)
                 step = np.diff(np.nansum(total, axis=0), prepend=0.0) * case.lgd[s]
                 yield pd.DataFrame({"scenario": s, "month": range(1, case.horizon + 1),
-                                    "n": len(block), "loss": step})
+                                    "n": len(block), "loss": step,
+                                    "n_without_loss": np.isnan(total).sum(axis=0)})
 
-    partial = loans.mapInPandas(kernel, "scenario string, month int, n bigint, loss double")
-    return partial.groupBy("scenario", "month").agg(F.sum("n").alias("n"),
-                                                    F.sum("loss").alias("loss"))
+    partial = loans.mapInPandas(
+        kernel, "scenario string, month int, n bigint, loss double, n_without_loss bigint")
+    return partial.groupBy("scenario", "month").agg(
+        *[F.sum(c).alias(c) for c in ("n", "loss", "n_without_loss")])
 
 
 def loss_summary(losses: DataFrame) -> DataFrame:
@@ -211,8 +214,10 @@ def sensitivity_cases(paths: dict[str, tuple[float, ...]], weights: dict[str, fl
 def sensitivity_grid(loans: DataFrame, cases: list[tuple]) -> DataFrame:
     """Portfolio loss under every case in one pass over the loans.
 
-    ``position, lever, value, total_ecl, coverage_pct, delta_vs_base_pct``. Each block emits one
-    partial sum per case, so only blocks x cases rows are shuffled.
+    ``position, lever, value, total_ecl, coverage_pct, delta_vs_base_pct, n_without_loss,
+    ead_without_loss``. Loans whose loss is unknown are in the balance, not in the loss; the last two
+    columns say how many and how much. Each block emits one partial sum per case, so only blocks x
+    cases rows are shuffled.
     """
     loans = loans.select(*LOAN_COLUMNS[1:])
     bare = [c for _, _, c in cases]
@@ -220,17 +225,22 @@ def sensitivity_grid(loans: DataFrame, cases: list[tuple]) -> DataFrame:
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in _blocks(batches):
             first = block["stage"].to_numpy() == 1
-            sums = [np.nansum(np.where(first, near, life)) for near, life in _losses(block, bare)]
-            yield pd.DataFrame({"position": range(len(bare)), "ecl": sums,
-                                "ead": np.nansum(block["upb"].to_numpy(dtype=float))})
-
-    partial = loans.mapInPandas(kernel, "position int, ecl double, ead double")
-    totals = partial.groupBy("position").agg(F.sum("ecl").alias("total_ecl"),
-                                             F.sum("ead").alias("_ead"))
+            upb = block["upb"].to_numpy(dtype=float)
+            each = [np.where(first, near, life) for near, life in _losses(block, bare)]
+            lost = [np.isnan(e) for e in each]
+            yield pd.DataFrame({"position": range(len(bare)), "ecl": [np.nansum(e) for e in each],
+                                "ead": np.nansum(upb), "n": [m.sum() for m in lost],
+                                "out": [np.nansum(upb[m]) for m in lost]})
+
+    partial = loans.mapInPandas(kernel, "position int, ecl double, ead double, n bigint, out double")
+    totals = partial.groupBy("position").agg(
+        F.sum("ecl").alias("total_ecl"), F.sum("ead").alias("_ead"),
+        F.sum("n").alias("n_without_loss"), F.sum("out").alias("ead_without_loss"))
     names = F.array(*[F.struct(F.lit(lever).alias("lever"), F.lit(value).alias("value"))
                       for lever, value, _ in cases])
     base = totals.filter("position = 0").select("total_ecl").scalar()
     return totals.withColumn("_name", F.get(names, F.col("position"))).select(
         "position", "_name.lever", "_name.value", "total_ecl",
         (F.col("total_ecl") / F.greatest("_ead", F.lit(1.0)) * 100).alias("coverage_pct"),
-        ((F.col("total_ecl") / base - 1) * 100).alias("delta_vs_base_pct"))
+        ((F.col("total_ecl") / base - 1) * 100).alias("delta_vs_base_pct"), "n_without_loss",
+        "ead_without_loss")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lossloom.functions.bounds import no_nan
 from lossloom.functions.hashing import hash32
+from lossloom.operators import least_squares
 from lossloom.operators.binning import WoeMap, fit_woe
 from lossloom.operators.durable import small_side
 from lossloom.operators.isotonic import Calibrator, fit_calibrator  # noqa: F401
@@ -177,11 +178,19 @@ def stratified_folds(df: DataFrame, key: Column, target: str = "target", folds:
 
 def cross_validated_auc(df: DataFrame, features: list[str], target: str = "target",
                         estimator=None, folds: int = 3, fold: str = "fold") -> float:
-    """Mean exact area under the ROC curve over the held-out parts of column ``fold``."""
+    """Mean exact area under the ROC curve over the held-out parts of column ``fold``.
+
+    Without an ``estimator`` penalised logistic fits of all folds share their scans; with one, MLlib
+    fits it fold by fold.
+    """
+    if estimator is None:
+        fits = least_squares.fit_folds(df, features, target, fold, folds)
+        sliced = score_counts(fits.scores(df, fold, "_score"), target, "_score", [fold])
+        return float(ranking_metrics(sliced, [fold]).agg(F.avg("auc")).first()[0])
     data = VectorAssembler(inputCols=features, outputCol="features").transform(df)
     data = data.select("features", F.col(target).cast("double").alias("label"), fold)
     runner = CrossValidator(
-        estimator=estimator or LogisticRegression(), numFolds=folds, foldCol=fold,
+        estimator=estimator, numFolds=folds, foldCol=fold,
         estimatorParamMaps=ParamGridBuilder().build(),
         evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0))
     return float(runner.fit(data).avgMetrics[0])

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossloom.functions.bounds import clip
-from lossloom.operators import ranks
+from lossloom.operators import least_squares, ranks
 from lossloom.operators.quality import long_values
 
 
@@ -40,19 +38,16 @@ def fit_linear(df: DataFrame, features: list[str], target: str,
                min_rows: int | None = None) -> LinearFit:
     """Least squares with intercept on the rows where everything is known.
 
-    MLlib's normal-equation solver reads the data once and ships only the moment matrix.
+    One pass of QR over blocks of rows; collinear features get the solution of least norm.
     """
     clean = df.select(*features, F.col(target).cast("double").alias("_y"))
     clean = clean.na.drop()  # drops NaN as well
     minimum = len(features) + 2 if min_rows is None else min_rows
-    n = clean.count()
+    r, n = least_squares.triangle(clean, [*features, "_y"])
     if n < minimum:
         raise ValueError(f"{n} usable rows, at least {minimum} are needed to fit {features}")
-    vectors = VectorAssembler(inputCols=list(features), outputCol="_x").transform(clean)
-    model = LinearRegression(featuresCol="_x", labelCol="_y", solver="normal",
-                             regParam=0.0).fit(vectors)
-    return LinearFit(tuple(features), tuple(float(c) for c in model.coefficients),
-                     float(model.intercept), float(model.summary.r2), n)
+    coefficients, intercept, r2 = least_squares.least_norm(r, n)
+    return LinearFit(tuple(features), tuple(map(float, coefficients)), intercept, r2, n)
 
 
 def simple_regression(df: DataFrame, x: str, y: str) -> DataFrame:

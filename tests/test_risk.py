@@ -352,6 +352,23 @@ def test_each_sensitivity_case_equals_its_own_run(spark, loans):
     assert at["scenario_weights", "mostly bad"] > totals[0]
 
 
+def test_loans_without_a_loss_are_counted_in_every_case(spark, loans):
+    """Rates and probabilities may be missing: the balance stays, the loss is unknown."""
+    cases = loss.sensitivity_cases(PATHS, WEIGHTS, .22, .4, LossSettings(downside="bad"),
+                                   ValidationSettings(cpr_values=(.1,), horizon_values=(12,)))
+    gone = loans.withColumn("pd12", F.when(F.col("stage") != 3, F.col("pd12")))
+    missing = gone.filter("pd12 is null").agg(F.count(F.lit(1)), F.sum("upb")).first()
+    assert missing[0] > 0
+    whole = {r["position"]: r for r in loss.sensitivity_grid(loans, cases).collect()}
+    assert {r["n_without_loss"] for r in whole.values()} == {0}
+    for k, r in {r["position"]: r for r in loss.sensitivity_grid(gone, cases).collect()}.items():
+        assert (r["n_without_loss"], r["ead_without_loss"]) == pytest.approx(tuple(missing))
+        assert r["total_ecl"] < whole[k]["total_ecl"]
+    case = loss.loss_case("x", PATHS, WEIGHTS, .22, .4, LossSettings(horizon=24, downside="bad"))
+    for r in loss.monthly_profile(gone, case).collect():
+        assert r["n_without_loss"] == missing[0]
+
+
 def test_monthly_profile_adds_up_to_the_lifetime_loss(spark, loans):
     case = loss.loss_case("x", PATHS, WEIGHTS, .22, .4, LossSettings(horizon=48, downside="bad"))
     some = loans.filter("stage = 2")
