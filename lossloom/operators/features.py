@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -33,23 +33,34 @@ def loan_month_panel(monthly: DataFrame, master: DataFrame,
     return monthly.select(*MONTHLY_COLUMNS).join(master.select(*MASTER_COLUMNS), "loan_id")
 
 
+def row_features() -> dict[str, Column]:
+    """Features of a row alone, from the panel with ``_balance``."""
+    sized = F.col("upb_orig") > 0
+    return {
+        "current_ltv": F.when(sized, F.col("ltv_orig") * F.col("_balance") / F.col("upb_orig")),
+        "upb_paydown_ratio": F.when(sized, 1 - F.col("_balance") / F.col("upb_orig")),
+        "rate_spread_vs_orig": F.col("int_rate_current") - F.col("int_rate_orig"),
+    }
+
+
+def with_levels(panel: DataFrame) -> DataFrame:
+    """Months past due and usable balance of every row."""
+    return panel.withColumns({"delq_num": months_past_due("delq_status"),
+                              "_balance": usable_balance("upb_current")})
+
+
 def with_features(panel: DataFrame, s: FeatureSettings = FeatureSettings()) -> DataFrame:
     """Add the engineered columns; all windows share one partitioning and one sort."""
-    status = months_past_due("delq_status")
-    balance = usable_balance("upb_current")
-    sized = F.col("upb_orig") > 0
     widest = max(s.windows)
 
     def last_rows(n: int):
         return by_loan().rowsBetween(-(n - 1), 0)
 
-    levels = panel.withColumns({"delq_num": status, "_balance": balance})
+    levels = with_levels(panel)
     paid = F.col("total_principal_current")
     new = {
         "months_on_book": (F.row_number().over(by_loan()) - 1).cast("bigint"),
-        "current_ltv": F.when(sized, F.col("ltv_orig") * F.col("_balance") / F.col("upb_orig")),
-        "upb_paydown_ratio": F.when(sized, 1 - F.col("_balance") / F.col("upb_orig")),
-        "rate_spread_vs_orig": F.col("int_rate_current") - F.col("int_rate_orig"),
+        **row_features(),
         "cum_principal_paid": F.when(
             paid.isNotNull(),
             F.sum(paid).over(by_loan().rowsBetween(W.unboundedPreceding, 0))),

@@ -27,6 +27,7 @@ from workload.common import (
     lgd,
     macro_table,
     scored,
+    scratch,
 )
 from workload.q_cohort import backtest_panel  # noqa: F401
 from workload.q_data import feature_rows
@@ -106,6 +107,30 @@ def l6(spark, sf):
         *[F.round(F.avg(F.col(c).cast("double")), 6).alias(c) for c in L6])
 
 
+NEW_MONTHS = ("2000-01-01", "2000-04-01")
+
+
+@query("l6_features_of_new_months", "select vintage, reporting_period, count(*) as n, " + ", ".join(
+    f"count({c}) as n_{c}, round(avg(cast({c} as double)), 6) as {c}" for c in L6) + f"""
+from @feat where reporting_period >= date '{NEW_MONTHS[0]}' and reporting_period < date '{NEW_MONTHS[1]}'
+group by vintage, reporting_period""")
+def l6_new(spark, sf):
+    """State after the months before 2000, then three months added one by one."""
+    from lossloom.operators import rolling_state
+    from lossloom.sources.versions import VersionedWarehouse
+
+    panel = durable(tables.full_panel(spark, sf))
+    store, month = VersionedWarehouse(spark, scratch(spark)), F.col("reporting_period")
+    rolling_state.save_state(store, rolling_state.initial_state(
+        panel.filter(month < F.lit(NEW_MONTHS[0]).cast("date"))), 8)
+    for m in ("2000-01-01", "2000-02-01", "2000-03-01"):
+        new = panel.filter(F.trunc("reporting_period", "month") == F.lit(m).cast("date"))
+        rolling_state.add_month(store, new, "features", buckets=8)
+    return store.read("features").groupBy("vintage", "reporting_period").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"n_{c}") for c in L6],
+        *[F.round(F.avg(F.col(c).cast("double")), 6).alias(c) for c in L6])
+
+
 @query("l7_macro_table", """
 select reporting_period, """ + ", ".join(f"round({c}, 6) as {c}" for c in (
     "hpi", "treasury_10y", "mortgage_30y", "unemployment", "real_gdp", "hpi_yoy", "gdp_yoy"))
