@@ -26,6 +26,7 @@ from workload.common import (
     losses,
     macro_table,
     scored,
+    scratch,
 )
 from workload.q_cohort import book
 from workload.q_data import HASH_SQL
@@ -281,6 +282,32 @@ def u1(spark, sf):
                                        F.sum("age").alias("age"))
 
 
+@query("u1_files_of_different_types", """
+select vintage, count(*) as n, count(age) as known, cast(sum(age) as double) as age,
+  round(sum(upb), 1) as upb, count(note) as noted
+from (select vintage, case when substr(vintage, 6, 1) <> '4' then loan_age end as age,
+    upb_current as upb, case when substr(vintage, 6, 1) = '2' then 'x' end as note from @panel)
+group by vintage""")
+def u1_files(spark, sf):
+    """Quarters written with whole, fractional and missing ages, other balances and a further column."""
+    from lossloom.sources.united import read_united
+
+    root, rows = scratch(spark), tables.monthly(spark, sf)
+    age, upb, q = F.col("loan_age"), F.col("upb_current"), F.substring("vintage", 6, 1)
+    forms = {"1": [age.cast("int").alias("age"), upb.alias("upb")],
+             "2": [age.alias("age"), upb.alias("upb"), F.lit("x").alias("note")],
+             "3": [upb.alias("upb"), age.cast("bigint").alias("age")], "4": [upb.alias("upb")]}
+    paths = []
+    for k, columns in forms.items():
+        part = rows.filter(q == k)
+        part.select(F.col("vintage").alias("quarter"), "vintage", *columns).write.partitionBy(
+            "quarter").parquet(f"{root}/{k}")
+        paths += [f"{root}/{k}/quarter={r['vintage']}" for r in part.select("vintage").distinct().collect()]
+    return read_united(spark, paths).groupBy("vintage").agg(
+        F.count(F.lit(1)).alias("n"), F.count("age").alias("known"), F.sum("age").alias("age"),
+        F.round(F.sum("upb"), 1).alias("upb"), F.count("note").alias("noted"))
+
+
 @query("u2_class_union", """
 select target, count(*) as n from @labelled group by target""")
 def u2(spark, sf):
