@@ -30,6 +30,7 @@ from workload.common import (
     lgd,
     losses,
     scored,
+    scratch,
     staged,
 )
 from workload.registry import query
@@ -350,3 +351,45 @@ from (select t as "table", n_pass, n_warn, n_fail, n_info, is_overall, total_che
     from r group by rollup (t)))""")
 def a25(spark, sf):
     return quality.scorecard(check_rows(spark, sf))
+
+
+# ---- approximate statistics of quarters ----------------------------------------------------
+
+SKETCHED = ("fico_orig", "upb_orig", "ltv_orig")
+LEVELS = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+@query("a9_sketched_statistics", """
+with own as (select * from @loans where vintage between '1996Q2' and '1999Q3')
+select feature, level, count(*) as n, true as near_rank, true as near_loans
+from own, (select unnest(['fico_orig', 'upb_orig', 'ltv_orig']) as feature),
+  (select unnest([5e-2, 25e-2, 5e-1, 75e-2, 95e-2]) as level) group by feature, level""")
+def a9_sketched(spark, sf):
+    """Quantiles and loans of a range of quarters, one of which came later, within their stated errors."""
+    from lossloom.operators import sketches
+    from lossloom.sources.versions import VersionedWarehouse
+
+    store, loans = VersionedWarehouse(spark, scratch(spark)), tables.loans(spark, sf)
+    late = F.col("vintage") == "1998Q1"
+    for part in (loans.filter(~late), loans.filter(late)):
+        sketches.add_quarters(store, part, list(SKETCHED))
+    first, last = "1996Q2", "1999Q3"
+    own = loans.filter(F.col("vintage").between(first, last))
+    found = None
+    for f in SKETCHED:
+        one = sketches.quantiles(store, f, list(LEVELS), first, last)
+        found = one if found is None else found.unionByName(one)
+    table = found.collect()  # a row per feature and level
+    shares = own.agg(F.count(F.lit(1)).alias("n"), *[
+        F.struct(F.lit(r["feature"]).alias("feature"), F.lit(r["probability"]).alias("probability"),
+                 F.avg((F.col(r["feature"]) < r["value"]).cast("double")).alias("low"),
+                 F.avg((F.col(r["feature"]) <= r["value"]).cast("double")).alias("high")).alias(f"r{i}")
+        for i, r in enumerate(table)])
+    ranks = shares.select("n", F.explode(F.array(*[f"r{i}" for i in range(len(table))])).alias("r")).select(
+        "n", "r.*")
+    e, p = F.lit(sketches.RANK_ERROR), F.col("probability")
+    estimate = sketches.counts(store, first, last).select("n_loans").scalar()
+    loans_exact = own.agg(F.count_distinct("loan_id")).scalar()
+    return ranks.select("feature", p.alias("level"), "n",
+                        ((F.col("low") - e <= p) & (p <= F.col("high") + e)).alias("near_rank"),
+                        (F.abs(estimate / loans_exact - 1) < 4 * sketches.LOAN_ERROR).alias("near_loans"))
