@@ -45,12 +45,12 @@ PIECE, FETCH = 1 << 16, 8_000_000
 @dataclass(frozen=True)
 class Settings:
     """Bytes of the segments that a pass broadcasts (of words and of pairs), bits per inserted key,
-    base of the count levels, probes per key, weight of the pair estimate, and the bound of the
+    base of the count levels, probes per key (at most 9), weight of the pair estimate, and the bound of the
     table of frequent words."""
     group_bytes: int = 64_000_000
     key_bits: float = 12.0
     base: float = 1.5
-    probes: int = 6
+    probes: int = 5
     pair_weight: float = 0.1
     frequent_words: int = 1 << 21
 
@@ -171,15 +171,17 @@ def typical(base: float, top: int = 120) -> np.ndarray:
     return np.concatenate(([0.0], np.sqrt(low * high)))
 
 
-def start_and_step(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Probe i of a key at a level falls on start + i * step, of which 32 bits count."""
+def word_and_bits(keys: np.ndarray, level: int, words: np.ndarray,
+                  probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where keys of a level lie in a segment of so many 64-bit words: one word, and the bits that are
+    set in it. All probes of a key fall into one word, so a look-up fetches memory once."""
     h = mixed(keys + np.uint64(level * int(_C) & (1 << 64) - 1))
-    return h >> _HALF, h | np.uint64(1)
-
-
-def spot(x: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Place of a probe in a segment of ``bits`` bits."""
-    return (x & _LOW) * bits >> _HALF
+    at = (h >> _HALF) * words >> _HALF
+    h = h * _B
+    bits = np.zeros(len(keys), np.uint64)
+    for i in range(probes):
+        bits |= np.uint64(1) << (h >> np.uint64(58 - 6 * i) & np.uint64(63))
+    return at, bits
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -190,20 +192,18 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
 def segment(keys: np.ndarray, counts: np.ndarray, key_bits: float, settings: Settings) -> bytes:
     """The filter of one shard: all its keys at all their levels."""
     q = levels(counts, settings.base)
-    size = max(64, int(q.sum() * key_bits)) // 8 * 8
-    table = np.zeros(size, bool)
+    words = np.uint64(max(1, ceil(q.sum() * key_bits / 64)))
+    table = np.zeros(words, np.uint64)
     for level in range(1, int(q.max(initial=0)) + 1):
-        x, step = start_and_step(keys[q >= level], level)
-        for _ in range(settings.probes):
-            table[spot(x, np.uint64(size))] = True
-            x = x + step
-    return np.packbits(table).tobytes()
+        at, bits = word_and_bits(keys[q >= level], level, words, settings.probes)
+        np.bitwise_or.at(table, at.astype(np.int64), bits)
+    return table.tobytes()
 
 
 @dataclass
 class Filter:
     """Segments of the shards ``first``, ``first`` + 1, ... laid end to end, and where each begins (in
-    bits); keys of other shards have no level here."""
+    words of 64 bits); keys of other shards have no level here."""
     data: np.ndarray
     begins: np.ndarray
     first: int
@@ -215,40 +215,32 @@ class Filter:
            settings: Settings, first: int = 0, last: int | None = None) -> Filter:
         """From (shard, segment) in any order, and the bytes of every segment; laid out in place."""
         own = range(first, shards if last is None else last + 1)
-        edges = np.concatenate(([0], np.cumsum([sizes.get(s, 0) for s in own]))).astype(np.int64)
-        data = np.zeros(edges[-1], np.uint8)
+        edges = np.concatenate(([0], np.cumsum([sizes.get(s, 0) // 8 for s in own]))).astype(np.int64)
+        data = np.zeros(edges[-1], np.uint64)
         for shard, part in parts:
-            data[edges[shard - first]:edges[shard - first + 1]] = np.frombuffer(part, np.uint8)
-        return cls(data, edges.astype(np.uint64) * np.uint64(8), first, shards, settings)
+            data[edges[shard - first]:edges[shard - first + 1]] = np.frombuffer(part, np.uint64)
+        return cls(data, edges.astype(np.uint64), first, shards, settings)
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         shard = shard_of(keys, self.shards) - self.first
         return (shard >= 0) & (shard < len(self.begins) - 1)
 
-    def set_at(self, at: np.ndarray) -> np.ndarray:
-        return (self.data[at >> np.uint64(3)] << (at & np.uint64(7)).astype(np.uint8) & 128) > 0
-
     def level(self, keys: np.ndarray) -> np.ndarray:
         """Levels by repeated membership probes; never below the true one."""
         out = np.zeros(len(keys), np.int64)
         live = np.flatnonzero(self.holds(keys))
         shard = shard_of(keys[live], self.shards) - self.first
         begin = self.begins[shard]
-        bits = self.begins[shard + 1] - begin
-        some = bits > 0
-        live, begin, bits = live[some], begin[some], bits[some]
+        words = self.begins[shard + 1] - begin
+        some = words > 0
+        live, begin, words = live[some], begin[some], words[some]
         left = keys[live]
         level = 0
         while len(live):
             level += 1
-            x, step = start_and_step(left, level)
-            hit = self.set_at(begin + spot(x, bits))
-            x, step, live, left, begin, bits = (v[hit] for v in (x, step, live, left, begin, bits))
-            hit = np.ones(len(live), bool)
-            for _ in range(1, self.settings.probes):
-                x += step
-                hit &= self.set_at(begin + spot(x, bits))
-            live, left, begin, bits = (v[hit] for v in (live, left, begin, bits))
+            at, bits = word_and_bits(left, level, words, self.settings.probes)
+            hit = self.data[(begin + at).astype(np.int64)] & bits == bits
+            live, left, begin, words = (v[hit] for v in (live, left, begin, words))
             out[live] = level
         return out
 

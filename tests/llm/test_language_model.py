@@ -112,8 +112,8 @@ def test_scores_match_a_plain_model_in_one_pass_and_in_many(spark, rows, monkeyp
     monkeypatch.setattr(lm, "SHARD_BYTES", 60_000)
     want = sorted(zip([str(i) for i, _ in rows], map(len, map(tokens, [t for _, t in rows])),
                       plain_scores(rows), strict=True))
-    for s in (lm.Settings(key_bits=120.0, probes=12),
-              lm.Settings(key_bits=120.0, probes=12, group_bytes=400_000)):
+    for s in (lm.Settings(key_bits=640.0, probes=9),
+              lm.Settings(key_bits=640.0, probes=9, group_bytes=2_000_000)):
         got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in scores(spark, rows, s))
         for g, w in zip(got, want, strict=True):
             assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], rel=1e-9)
@@ -123,8 +123,7 @@ def test_ordinary_bits_change_scores_little(spark, rows):
     got = {(str(r.doc_id), r.n_tokens): r.score / r.n_tokens for r in scores(spark, rows)}
     gaps = [abs(got[str(i), len(tokens(t))] - w / len(tokens(t)))
             for (i, t), w in zip(rows, plain_scores(rows), strict=True)]
-    long = [g for g, (_, t) in zip(gaps, rows, strict=True) if len(set(tokens(t))) > 150]
-    assert np.mean(gaps) < 0.01 and max(long) < 0.02  # a false probe moves texts of few, repeated pairs most
+    assert np.mean(gaps) < 0.005 and np.quantile(gaps, .95) < 0.01  # log10 per token
 
 
 def test_every_pass_is_bounded_and_nothing_is_left_out(spark, rows, monkeypatch):
@@ -142,7 +141,7 @@ def test_every_pass_is_bounded_and_nothing_is_left_out(spark, rows, monkeypatch)
         groups = model.groups(kind)
         assert [a for a, _ in groups[1:]] == [b + 1 for _, b in groups[:-1]]
         assert (groups[0][0], groups[-1][1]) == (0, model.shards - 1)
-        assert all(len(model.filter(kind, g).data) <= s.group_bytes for g in groups)
+        assert all(model.filter(kind, g).data.nbytes <= s.group_bytes for g in groups)
     assert len(model.groups(lm.PAIR)) >= 3
 
 
