@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 100_000
+SMALL_ROWS, SMALL_BYTES = 100_000, 64_000_000
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
@@ -29,10 +29,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS,
+               max_bytes: int = SMALL_BYTES) -> DataFrame:
     """Materialise an aggregate once and hint a broadcast only if it really is small.
 
-    Beyond ``max_rows`` the frame comes back without a hint and the join shuffles.
+    Beyond ``max_rows``, or ``max_bytes`` of its rows as text, the frame comes back without a hint and
+    the join shuffles.
     """
     kept = durable(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    size = kept.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length(F.to_json(
+        F.struct("*")))), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(kept) if size["rows"] <= max_rows and size["bytes"] <= max_bytes else kept

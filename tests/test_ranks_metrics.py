@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lossloom.operators.durable import small_side
 from lossloom.operators import binning, metrics, models, ranks, sampling
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
@@ -163,3 +164,10 @@ def test_scorecard_matches_the_penalised_optimum(spark):
     residual = w * (1 / (1 + np.exp(-(b0 + b * v))) - y)
     # gradient of |b|^2 / 2 + sum of weighted log losses
     assert abs(residual @ v + b) < 1.0 and abs(residual.sum()) < 1.0
+
+
+def test_broadcasts_are_bound_by_rows_and_bytes(spark):
+    wide = spark.range(10).select("id", F.array_repeat(F.lit(1.5), 1000).alias("edges"))
+    hints = [str(small_side(wide, *bounds)._jdf.queryExecution().logical()) for bounds in (
+        (10, 10**6), (9, 10**6), (10, 1000))]
+    assert ["ResolvedHint" in h or "UnresolvedHint" in h for h in hints] == [True, False, False]
