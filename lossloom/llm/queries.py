@@ -101,6 +101,6 @@ def op12(spark, sf):
     return exact_copies.judge(table(spark, sf, "documents"))
 
 
-@query("op13_spelling_variants")
+@query("op13_spelling_variants", spelling.oracle())
 def op13(spark, sf):
     return spelling.spelling_variants(table(spark, sf, "documents"))

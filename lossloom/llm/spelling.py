@@ -274,3 +274,50 @@ def spelling_variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     words = vocabulary(docs, doc_id, text)
     rows = stored(forms(words, near_pairs(words, group)))
     return with_roots(rows).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def oracle(documents: str = "documents") -> str:
+    """The same in plain SQL: crc32 byte by byte, near words by equal holes and equal deletions."""
+    upper, lower = (bytes(range(a, a + 26)).decode() for a in (65, 97))
+    return f"""
+with recursive crc_steps as (
+  select i, 0 as k, i as c from range(256) t(i)
+  union all
+  select i, k + 1, case when c & 1 = 1 then xor(c >> 1, {0xEDB88320}) else c >> 1 end
+  from crc_steps where k < 8),
+crc_table as materialized (select list(c order by i) as tab from crc_steps where k = 8),
+runs as materialized (
+  select id, run, count(*) as k, hex(id || ':' || run) as code from (
+    select coalesce(cast(doc_id as varchar), '') as id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), '{upper}', '{lower}'), '[a-zÀ-ÿ]+')) as run
+    from {documents}) group by id, run),
+hashed as materialized (
+  select run, k, xor({0xFFFFFFFF}, list_reduce([{0xFFFFFFFF}] || list_transform(
+      range(1, len(code), 2), lambda i: cast('0x' || substr(code, i, 2) as bigint)),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) as h
+  from runs, crc_table),
+words as materialized (
+  select word, cast(sum(k) as bigint) as n from (
+    select k, case when h % {TYPO} = 0 then substr(run, 1, h % length(run))
+                                || substr(run, h % length(run) + 2) else run end as word from hashed)
+  where length(word) >= {LEAST_LENGTH} group by word having sum(k) >= {LEAST_COUNT}),
+holes as materialized (
+  select word, i, substr(word, 1, i - 1) as a, substr(word, i + 1) as z
+  from (select word, unnest(range(1, length(word) + 1)) as i from words)),
+shorter as materialized (select distinct h.word, w.word as near from holes h join words w on w.word = a || z),
+near as materialized (
+  select x.word, y.word as near from holes x join holes y using (i, a, z) where x.word <> y.word
+  union all select word, near from shorter
+  union all select near, word from shorter),
+forms as materialized (
+  select w.word, w.n, coalesce(b.n_near, 0) as n_near, case when b.best.n >= {FACTOR} * w.n then b.best.near end as form,
+         case when b.best.n >= {FACTOR} * w.n then b.best.n end as form_n
+  from words w left join (
+    select r.word, count(*) as n_near, arg_min({{'near': r.near, 'n': m.n}}, (-m.n, r.near)) as best
+    from near r join words m on m.word = r.near group by r.word) b using (word)),
+roots as (
+  select word, word as at from forms
+  union all
+  select r.word, f.form from roots r join forms f on f.word = r.at where f.form is not null)
+select f.word, f.form, r.at as root, f.n, f.n_near, f.form_n
+from forms f join roots r using (word) join forms e on e.word = r.at and e.form is null"""
