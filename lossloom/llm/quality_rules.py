@@ -188,3 +188,60 @@ def keep_good(docs: DataFrame, rules: Rules = DEFAULT, text: str = "text",
     keep = F.when(F.col("__ll_base"), F.lit(False)).otherwise(
         F.col("__ll_excess") <= F.col("__ll_scale"))
     return rest.filter(keep).select(*docs.columns)
+
+
+def oracle(rules: Rules = DEFAULT, documents: str = "documents") -> str:
+    """``judge`` in plain SQL, host_rate rounded to 9 digits: windows are counted as texts, the prior comes
+    from the same moments."""
+    def real(x: float) -> str:
+        return f"cast({x!r} as double)"
+
+    word = "cast(greatest(n_words, 1) as double)"
+    return f"""
+with docs as materialized (
+  select row_number() over () as r, doc_id, coalesce(text, '') as t,
+         case when source is null then 'none' else 'host ' || source end as host from {documents}),
+parts as materialized (
+  select r, doc_id, host, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') as w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l
+  from docs),
+windows as materialized (
+  select r, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') as v
+  from (select r, w, unnest(range(1, len(w) - {WINDOW - 2})) as i from parts where len(w) >= {WINDOW})),
+repeats as (
+  select r, count(distinct k) as n from (
+    select r, unnest(range(i, i + {WINDOW})) as k from windows
+    where (r, v) in (select (r, v) from windows group by r, v having count(*) > 1)) group by r),
+measured as (
+  select p.r, doc_id, host, cast(len(w) as bigint) as n_words,
+         cast(length(array_to_string(w, '')) as bigint) as word_chars,
+         cast(len(regexp_extract_all(t, '{SYMBOLS}')) as bigint) as n_symbols,
+         cast(len(regexp_extract_all(t, '!')) as bigint) as n_marks,
+         cast(len(l) as bigint) as n_lines, cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines,
+         coalesce(n, 0) as n_repeat_words
+  from parts p left join repeats using (r)),
+judged as materialized (
+  select *, n_words < {rules.min_words}
+         or 100 * n_repeat_words > {rules.max_repeat_percent} * n_words as base_failed,
+         greatest(n_symbols / {word} / {real(rules.symbols_per_word)},
+                  n_marks / {word} / {real(rules.marks_per_word)},
+                  n_dup_lines / cast(greatest(n_lines, 1) as double) / {real(rules.dup_line_share)},
+                  word_chars / {word} / {real(rules.mean_word_chars)}) as excess from measured),
+hosts as materialized (
+  select host, cast(count(*) as double) as n,
+         cast(count(case when base_failed or excess > 1 then 1 end) as double) as f
+  from judged group by host),
+sums as (select count(*) as h, sum(n) as n, sum(n * n) as nn, sum(f * f / n) as ff,
+                least(greatest(sum(f) / sum(n), 1e-6), 1 - 1e-6) as p from hosts),
+spread as (select *, p * (1 - p) as noise, n - nn / n - (h - 1) as free from sums),
+prior as (
+  select p, 1 / least(greatest(case when free > 0 then (ff - n * p * p - noise * (h - 1))
+         / (noise * free) else 0.01 end, 1e-4), 0.9) - 1 as strength from spread),
+rated as (
+  select host, (f + p * strength) / (n + p * strength + (1 - p) * strength) as rate from hosts, prior),
+scaled as (
+  select *, case when rate > {rules.suspect_rate} then {real(rules.suspect_scale)}
+         when rate < {rules.trusted_rate} then {real(rules.trusted_scale)} else 1e0 end as host_scale from rated)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and excess <= host_scale as kept, excess, round(rate, 9) as host_rate, host_scale
+from judged join scaled using (host)"""

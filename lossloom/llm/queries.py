@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lossloom.llm import (
     decontaminate,
@@ -39,9 +40,10 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op5_quality_rules")
+@query("op5_quality_rules", quality_rules.oracle())
 def op5(spark, sf):
-    return quality_rules.judge(table(spark, sf, "documents"))
+    return quality_rules.judge(table(spark, sf, "documents")).withColumn(
+        "host_rate", F.round("host_rate", 9))
 
 
 @query("op6_simhash_near_dedup")
