@@ -22,6 +22,7 @@ from lossloom.operators import least_squares
 from lossloom.operators.binning import WoeMap, fit_woe
 from lossloom.operators.durable import small_side
 from lossloom.operators.isotonic import Calibrator, fit_calibrator  # noqa: F401
+from lossloom.operators.leafwise import LeafSettings, LeafTrees, fit_leafwise
 from lossloom.operators.metrics import best_by_auc, class_weight, ranking_metrics, score_counts
 from lossloom.operators.regression import medians
 
@@ -137,8 +138,17 @@ class TreeSettings:
     seed: int = 42
 
 
-# Sizes of the two boosted candidates; trees of 31 leaves are five levels deep.
-CANDIDATES = {"boosted_300": TreeSettings(trees=300, depth=5), "boosted_400": TreeSettings(trees=400)}
+# Sizes of the two boosted candidates, level-wise of depth 5 and leaf-wise of 31 leaves.
+CANDIDATES: dict[str, TreeSettings | LeafSettings] = {
+    "levelwise_300": TreeSettings(trees=300, depth=5), "leafwise_400": LeafSettings(trees=400)}
+
+
+def fit_candidate(train: DataFrame, features: list[str], target: str,
+                  s: TreeSettings | LeafSettings) -> BoostedTrees | LeafTrees:
+    """The boosted model of these settings. Leaf-wise samples tell rows apart by their features."""
+    if isinstance(s, LeafSettings):
+        return fit_leafwise(train, features, F.xxhash64(*features), target, s)
+    return fit_trees(train, features, target, s)
 
 
 def fit_trees(train: DataFrame, features: list[str], target: str = "target",
@@ -239,11 +249,11 @@ class Contest:
 
 def train_and_compare(train: DataFrame, test: DataFrame, features: list[str],
                       target: str = "target", bins: int = 8,
-                      trees: dict[str, TreeSettings] | None = None) -> Contest:
+                      trees: dict[str, TreeSettings | LeafSettings] | None = None) -> Contest:
     """Fit the scorecard and the boosted candidates and rank them on the test rows."""
     models: dict = {"scorecard": fit_scorecard(train, features, target, bins)}
     for name, s in (CANDIDATES if trees is None else trees).items():
-        models[name] = fit_trees(train, features, target, s)
+        models[name] = fit_candidate(train, features, target, s)
     scored = test
     for name, model in models.items():
         scored = model.score(scored, f"_p_{name}")

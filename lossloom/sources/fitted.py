@@ -13,10 +13,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from lossloom.operators.binning import WoeMap
+from lossloom.operators.leafwise import LeafTrees
 from lossloom.operators.models import BoostedTrees, Calibrator, Scorecard
 from lossloom.operators.regression import LinearFit
 
-Fitted = Scorecard | BoostedTrees | Calibrator | WoeMap | LinearFit
+Fitted = Scorecard | BoostedTrees | LeafTrees | Calibrator | WoeMap | LinearFit
 
 
 def save_fitted(spark: SparkSession, fitted: Fitted, path: str) -> None:
@@ -26,6 +27,8 @@ def save_fitted(spark: SparkSession, fitted: Fitted, path: str) -> None:
         extra = {"bins": fitted.woe.bins, "features": fitted.features}
     elif isinstance(fitted, BoostedTrees):
         extra = {"fill": fitted.fill, "features": fitted.features}
+    elif isinstance(fitted, LeafTrees):
+        extra = {"model": fitted.to_json()}
     elif isinstance(fitted, WoeMap):
         extra = {"bins": fitted.bins}
     elif isinstance(fitted, LinearFit):
@@ -49,6 +52,8 @@ def load_fitted(spark: SparkSession, path: str) -> Fitted:
         return Scorecard(WoeMap(rest["bins"]), PipelineModel.load(f"{path}/mllib"), rest["features"])
     if kind == "BoostedTrees":
         return BoostedTrees(PipelineModel.load(f"{path}/mllib"), rest["fill"], rest["features"])
+    if kind == "LeafTrees":
+        return LeafTrees.from_json(rest["model"])
     if kind == "Calibrator":
         return Calibrator(spark.read.parquet(f"{path}/pools"))
     if kind == "WoeMap":

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lossloom.operators import binning, models, regression
+from lossloom.operators.leafwise import LeafSettings
 from lossloom.operators.models import TreeSettings
 from lossloom.sources.fitted import load_fitted, save_fitted
 
@@ -19,7 +20,8 @@ def rows(spark):
 def test_models_score_the_same_after_loading(spark, rows, tmp_path):
     card = models.fit_scorecard(rows, ["late", "score"])
     trees = models.fit_trees(rows, ["late", "score"], s=TreeSettings(trees=3, depth=2))
-    for name, fitted in (("card", card), ("trees", trees)):
+    leafwise = models.fit_candidate(rows, ["late", "score"], "target", LeafSettings(trees=2, leaves=4))
+    for name, fitted in (("card", card), ("trees", trees), ("leafwise", leafwise)):
         path = str(tmp_path / name)
         save_fitted(spark, fitted, path)
         save_fitted(spark, fitted, path)    # a second save replaces the first

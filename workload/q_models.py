@@ -366,12 +366,12 @@ def ranked_well(metrics_table):
 @query("m9_boosted_trees", f"""
 select model, (select count(*) from {TEST}) as n,
   (select round(avg(target), 8) from {TEST}) as default_rate, true as ranks
-from (select unnest(['boosted_300', 'boosted_400']) as model)""")
+from (select unnest(['levelwise_300', 'leafwise_400']) as model)""")
 def m9(spark, sf):
     train, test = train_test(spark, sf)
     out = None
     for name, s in QUICK.items():
-        fitted = models.fit_trees(train, FEATURES, s=s)
+        fitted = models.fit_candidate(train, FEATURES, "target", s)
         sliced = metrics.score_counts(fitted.score(test), "target", "pd")
         one = ranked_well(metrics.ranking_metrics(sliced)).withColumn("model", F.lit(name))
         out = one if out is None else out.unionByName(one)
@@ -450,7 +450,7 @@ def m12_record(spark, sf):
 @query("m13_model_contest", f"""
 select model, (select count(*) from {TEST}) as n,
   (select round(avg(target), 8) from {TEST}) as default_rate, true as ranks, 1 as winners
-from (select unnest(['scorecard', 'boosted_300', 'boosted_400']) as model)""")
+from (select unnest(['scorecard', 'levelwise_300', 'leafwise_400']) as model)""")
 def m13(spark, sf):
     train, test = train_test(spark, sf)
     contest = models.train_and_compare(train, test, FEATURES, trees=QUICK)
