@@ -8,9 +8,9 @@ goes to every worker; smoothed probabilities come from such probes alone.
 The filter holds every word and pair of the training texts at a fixed number of bits per key, so
 it grows with them. What travels does not: the filter is laid out in segments by key range, and
 groups of segments of a bounded size are broadcast in turn. A token is scored in the pass that has the
-segment of its pair, and a document adds up the partial sums of all passes. Words go in every pass while
-their filter is within the bound; beyond it their levels are probed first, group by group, and stored as
-a byte per token. No count is left out at any size.
+segment of its pair, and a document adds up the partial sums of all passes. One or two passes read the
+texts. For more, keys and word levels of all tokens are stored first, so that a pass only looks up the
+pairs of its own group. No count is left out at any size.
 
 The base score is exact: the few words that make up a fixed fraction of the text travel in a
 bounded table, all others are joined.
@@ -411,19 +411,29 @@ def frequent_count(tokens: int, settings: Settings) -> int:
     return max(1, ceil(tokens / settings.frequent_words))
 
 
-def with_levels(rows: DataFrame, model: Model, groups: list[tuple[int, int]]) -> DataFrame:
-    """``rows`` with ``levels``: the level of every word, a byte per token, one group at a time."""
-    out = rows.withColumn("levels", F.lit(None).cast("binary"))
-    for group in groups:
+def hashed(rows: DataFrame, model: Model, groups: list[tuple[int, int]]) -> DataFrame:
+    """``rows`` with ``keys`` (8 bytes per token) and ``levels`` (a byte per token) in place of the texts,
+    stored: many passes then hash no text and look up no word. Words are looked up group by group."""
+    @F.pandas_udf("binary")
+    def to_keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        reader = Tokens()
+        for texts in batches:
+            made = []
+            for k in range(0, len(texts), 1000):
+                keys, sizes = reader.keys(texts.iloc[k:k + 1000].tolist())
+                made += [x.tobytes() for x in np.split(keys, np.cumsum(sizes)[:-1])]
+            yield pd.Series(made, dtype=object)
+
+    out = stored(rows.withColumn("keys", to_keys("text")).drop("text"))
+    for i, group in enumerate(groups):
         shared = rows.sparkSession.sparkContext.broadcast(model.filter(WORD, group))
 
         @F.pandas_udf("binary")
         def fill(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            reader = Tokens()
-            for texts, before in batches:
+            for packed, before in batches:
                 made = []
-                for k in range(0, len(texts), 1000):
-                    keys, sizes = reader.keys(texts.iloc[k:k + 1000].tolist())
+                for k in range(0, len(packed), 1000):
+                    keys, sizes = unpacked(packed.iloc[k:k + 1000])
                     own, at = np.unique(keys, return_inverse=True)
                     new = shared.value.level(own)[at].astype(np.uint8)  # noqa: B023
                     for part, old in zip(np.split(new, np.cumsum(sizes)[:-1]),
@@ -433,11 +443,18 @@ def with_levels(rows: DataFrame, model: Model, groups: list[tuple[int, int]]) ->
                         made.append(part.tobytes())
                 yield pd.Series(made, dtype=object)
 
-        out = stored(out.withColumn("levels", fill("text", "levels")))
+        before = F.col("levels") if i else F.lit(None).cast("binary")
+        out = stored(out.withColumn("levels", fill("keys", before)))
         shared.destroy()
     return out
 
 
+def unpacked(packed: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all tokens and the number of tokens per text."""
+    return (np.frombuffer(b"".join(packed), np.uint64),
+            np.array([len(x) // 8 for x in packed], np.int64))
+
+
 def passed(rows: DataFrame, model: Model, words: Filter | None, pairs: Filter,
            first: bool) -> DataFrame:
     """``rows`` without texts, stored, with __ll_lm of one pass: the partial sums of its pairs; in the first pass also what the base
@@ -446,22 +463,18 @@ def passed(rows: DataFrame, model: Model, words: Filter | None, pairs: Filter,
     kind = "score double" + (", size long, base double, known long, keys array<long>, "
                              "counts array<long>" if first else "")
 
-    def part(reader: Tokens, texts: list[str | None], given: list[bytes] | None) -> pd.DataFrame:
+    def part(keys: np.ndarray, sizes: np.ndarray, known: np.ndarray | None) -> pd.DataFrame:
         words_, pairs_, totals = shared.value
-        keys, sizes = reader.keys(texts)
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        if given is None:
+        if known is None or first:
             own, at = np.unique(keys, return_inverse=True)
+        if known is None:
             known = words_.level(own)[at]
-        else:
-            known = np.frombuffer(b"".join(given), np.uint8).astype(np.int64)
         logs = log_probabilities(keys, sizes, known, pairs_, totals)
         out = {"score": np.add.reduceat(logs, starts)}
         if not first:
             return pd.DataFrame(out)
         if len(totals.frequent):
-            if given is not None:
-                own, at = np.unique(keys, return_inverse=True)
             place = np.searchsorted(totals.frequent, own).clip(max=len(totals.frequent) - 1)
             hit = totals.frequent[place] == own
             found = hit[at]
@@ -478,21 +491,20 @@ def passed(rows: DataFrame, model: Model, words: Filter | None, pairs: Filter,
     if words is None:
         @F.pandas_udf(kind)
         def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-            reader = Tokens()
-            for texts, given in batches:
-                yield pd.concat([part(reader, texts.iloc[k:k + 1000].tolist(),
-                                      given.iloc[k:k + 1000].tolist())
-                                 for k in range(0, len(texts), 1000)], ignore_index=True)
-        lm = score("text", "levels")
+            for packed, given in batches:
+                yield pd.concat([part(*unpacked(packed.iloc[k:k + 1000]), np.frombuffer(
+                    b"".join(given.iloc[k:k + 1000]), np.uint8).astype(np.int64))
+                    for k in range(0, len(packed), 1000)], ignore_index=True)
+        lm = score("keys", "levels")
     else:
         @F.pandas_udf(kind)
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             reader = Tokens()
             for texts in batches:
-                yield pd.concat([part(reader, texts.iloc[k:k + 1000].tolist(), None)
+                yield pd.concat([part(*reader.keys(texts.iloc[k:k + 1000].tolist()), None)
                                  for k in range(0, len(texts), 1000)], ignore_index=True)
         lm = score("text")
-    out = stored(rows.withColumn("__ll_lm", lm).drop("text", "levels"))
+    out = stored(rows.withColumn("__ll_lm", lm).drop("text", "keys", "levels"))
     shared.destroy()
     return out
 
@@ -510,12 +522,12 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     model = train(out.filter(~F.col("held_out")), "text", settings)
     word_groups, pair_groups = model.groups(WORD), model.groups(PAIR)
     numbered = out.withColumn("rid", F.monotonically_increasing_id())
-    if len(word_groups) + len(pair_groups) > 2:
-        numbered = stored(numbered)  # several passes must see the same numbers
-    if len(word_groups) > 1:
-        numbered, words_ = with_levels(numbered, model, word_groups), None
+    if len(word_groups) > 1 or len(pair_groups) > 2:
+        numbered, words_ = hashed(numbered, model, word_groups), None
     else:
         words_ = model.filter(WORD, word_groups[0])
+        if len(pair_groups) > 1:
+            numbered = stored(numbered)  # both passes must see the same numbers
     rows = passed(numbered, model, words_, model.filter(PAIR, pair_groups[0]), True)
     lm = F.col("__ll_lm")
     more = None
