@@ -40,6 +40,8 @@ WORD, PAIR = 1, 2
 SHARD_BYTES, SEND_TOKENS = 12_000_000, 2_000_000
 #: Bytes of text that are hashed at a time, and of segments that the driver fetches at a time.
 PIECE, FETCH = 1 << 16, 8_000_000
+#: Texts whose tokens are scored at a time.
+TEXTS = 300
 
 
 @dataclass(frozen=True)
@@ -294,8 +296,8 @@ def packed_counts(train: DataFrame, text: str, shards: int) -> DataFrame:
                     "counts": [x.astype(np.uint32).tobytes() for x in np.split(counts, cuts)]})
 
         for batch in batches:
-            for k in range(0, len(batch), 1000):
-                keys, sizes = reader.keys(batch["text"].iloc[k:k + 1000].tolist())
+            for k in range(0, len(batch), TEXTS):
+                keys, sizes = reader.keys(batch["text"].iloc[k:k + TEXTS].tolist())
                 held.append((keys, pair_keys(keys, sizes)))
                 n += len(keys)
                 if n >= SEND_TOKENS:
@@ -419,8 +421,8 @@ def hashed(rows: DataFrame, model: Model, groups: list[tuple[int, int]]) -> Data
         reader = Tokens()
         for texts in batches:
             made = []
-            for k in range(0, len(texts), 1000):
-                keys, sizes = reader.keys(texts.iloc[k:k + 1000].tolist())
+            for k in range(0, len(texts), TEXTS):
+                keys, sizes = reader.keys(texts.iloc[k:k + TEXTS].tolist())
                 made += [x.tobytes() for x in np.split(keys, np.cumsum(sizes)[:-1])]
             yield pd.Series(made, dtype=object)
 
@@ -432,12 +434,12 @@ def hashed(rows: DataFrame, model: Model, groups: list[tuple[int, int]]) -> Data
         def fill(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
             for packed, before in batches:
                 made = []
-                for k in range(0, len(packed), 1000):
-                    keys, sizes = unpacked(packed.iloc[k:k + 1000])
+                for k in range(0, len(packed), TEXTS):
+                    keys, sizes = unpacked(packed.iloc[k:k + TEXTS])
                     own, at = np.unique(keys, return_inverse=True)
                     new = shared.value.level(own)[at].astype(np.uint8)  # noqa: B023
                     for part, old in zip(np.split(new, np.cumsum(sizes)[:-1]),
-                                         before.iloc[k:k + 1000], strict=True):
+                                         before.iloc[k:k + TEXTS], strict=True):
                         if old is not None:
                             part = np.maximum(part, np.frombuffer(old, np.uint8))
                         made.append(part.tobytes())
@@ -492,8 +494,8 @@ def passed(rows: DataFrame, model: Model, words: Filter | None, pairs: Filter,
         @F.pandas_udf(kind)
         def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
             for packed, given in batches:
-                yield pd.concat([part(*unpacked(packed.iloc[k:k + 1000]), np.frombuffer(
-                    b"".join(given.iloc[k:k + 1000]), np.uint8).astype(np.int64))
+                yield pd.concat([part(*unpacked(packed.iloc[k:k + TEXTS]), np.frombuffer(
+                    b"".join(given.iloc[k:k + TEXTS]), np.uint8).astype(np.int64))
                     for k in range(0, len(packed), 1000)], ignore_index=True)
         lm = score("keys", "levels")
     else:
@@ -501,7 +503,7 @@ def passed(rows: DataFrame, model: Model, words: Filter | None, pairs: Filter,
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             reader = Tokens()
             for texts in batches:
-                yield pd.concat([part(*reader.keys(texts.iloc[k:k + 1000].tolist()), None)
+                yield pd.concat([part(*reader.keys(texts.iloc[k:k + TEXTS].tolist()), None)
                                  for k in range(0, len(texts), 1000)], ignore_index=True)
         lm = score("text")
     out = stored(rows.withColumn("__ll_lm", lm).drop("text", "keys", "levels"))
