@@ -496,7 +496,7 @@ def passed(rows: DataFrame, model: Model, words: Filter | None, pairs: Filter,
             for packed, given in batches:
                 yield pd.concat([part(*unpacked(packed.iloc[k:k + TEXTS]), np.frombuffer(
                     b"".join(given.iloc[k:k + TEXTS]), np.uint8).astype(np.int64))
-                    for k in range(0, len(packed), 1000)], ignore_index=True)
+                    for k in range(0, len(packed), TEXTS)], ignore_index=True)
         lm = score("keys", "levels")
     else:
         @F.pandas_udf(kind)
@@ -504,7 +504,7 @@ def passed(rows: DataFrame, model: Model, words: Filter | None, pairs: Filter,
             reader = Tokens()
             for texts in batches:
                 yield pd.concat([part(*reader.keys(texts.iloc[k:k + TEXTS].tolist()), None)
-                                 for k in range(0, len(texts), 1000)], ignore_index=True)
+                                 for k in range(0, len(texts), TEXTS)], ignore_index=True)
         lm = score("text")
     out = stored(rows.withColumn("__ll_lm", lm).drop("text", "keys", "levels"))
     shared.destroy()
