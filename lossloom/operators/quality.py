@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossloom.functions.bounds import no_nan
@@ -121,15 +121,24 @@ class Checks:
     def _result(self, totals: DataFrame) -> DataFrame:
         return totals.select(F.explode(F.array(*self.rows)).alias("r")).select("r.*")
 
-    def while_writing(self, df: DataFrame, write: Callable[[DataFrame], None]) -> DataFrame:
-        """Write ``df`` with ``write`` and return the check rows, taken from the rows on their way: the
-        data is read and derived once. ``write`` must run one job over all rows."""
-        seen = Observation()
-        write(df.observe(seen, *self._totals()))
-        figures = seen.get  # one number per check
+    def while_storing(self, df: DataFrame,
+                      columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+        """``df`` (or some of its columns) stored, and the check rows, taken from the rows on their way:
+        the data is read and derived once. Write a table from what comes back.
+
+        The figures, one number per check, are those of the named observation in the plan that was
+        stored. (An Observation object would make the session unfit for MLlib's closures.)
+        """
+        name = f"checks-{uuid4().hex}"
+        seen = df.observe(name, *self._totals())
+        if columns is not None:
+            seen = seen.select(*columns)
+        kept = durable(seen)
+        row = seen._jdf.queryExecution().observedMetrics().apply(name)
+        figures = [row.get(i) for i in range(row.length())]
         totals = df.sparkSession.createDataFrame(
-            [tuple(figures.values())], ", ".join(f"{name} bigint" for name in figures))
-        return self._result(totals)
+            [tuple(figures)], ", ".join(f"{n} bigint" for n in ("_rows", *self.aggregates)))
+        return kept, self._result(totals)
 
 
 def duplicate_check(df: DataFrame, table: str, keys: list[str]) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 
 from lossloom import schema
 from lossloom.operators import drift, quality
-from lossloom.operators.durable import durable
 from lossloom.params import QualityLimits
 from lossloom.sources.results import Results, quality_rows
 from lossloom.sources.warehouse import Warehouse
@@ -21,24 +20,19 @@ def quality_suite(master: DataFrame, monthly: DataFrame, q: QualityLimits = Qual
                   expected: list[str] | None = None) -> DataFrame:
     """All check rows; only the monthly columns that are checked are read.
 
-    The checks of one pass are taken while the other checks' few columns are written, so each table
+    The checks of one pass are taken while the other checks' few columns are stored, so each table
     is read and derived once.
     """
     expected = expected or schema.LOAN_MASTER.names
     keys = [c for c in ("loan_id", "vintage", *q.outlier_columns, *q.drift_features)
             if c in master.columns]
-    few: list[DataFrame] = []
-
-    def keep(columns: list[str]):
-        return lambda df: few.append(durable(df.select(*dict.fromkeys(columns))))
-
-    found = [quality.master_pass(master, expected, q).while_writing(master, keep(keys))]
+    loans, found = quality.master_pass(master, expected, q).while_storing(
+        master, list(dict.fromkeys(keys)))
     monthly = monthly.select(*[c for c in MONTHLY_COLUMNS if c in monthly.columns])
-    found.append(quality.monthly_pass(monthly, q).while_writing(monthly, keep(
-        [c for c in ("loan_id", "reporting_period") if c in monthly.columns])))
-    loans, months = few
+    months, more = quality.monthly_pass(monthly, q).while_storing(
+        monthly, [c for c in ("loan_id", "reporting_period") if c in monthly.columns])
     return reduce(DataFrame.unionByName, [
-        *found,
+        found, more,
         quality.duplicate_check(loans, "loan_master", ["loan_id"]),
         quality.outlier_check(loans, "loan_master", list(q.outlier_columns)),
         quality.duplicate_check(months, "loan_monthly", ["loan_id", "reporting_period"]),

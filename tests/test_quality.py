@@ -62,7 +62,7 @@ def test_nearest_quartiles_take_a_value(spark):
     assert got[0] == [.5, 1.25, 6.0, 17.5] and got[1] == [1.0, 1.0, 10.0, 20.0]
 
 
-def test_checks_while_writing_read_the_rows_once(spark, tmp_path):
+def test_checks_while_storing_read_the_rows_once(spark, tmp_path):
     """An accumulator counts how often rows are derived; figures equal those of a scan."""
     seen = spark.sparkContext.accumulator(0)
 
@@ -74,9 +74,13 @@ def test_checks_while_writing_read_the_rows_once(spark, tmp_path):
     plain = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "loan_id long, upb double")
     rows = plain.mapInPandas(count, plain.schema)
     checks = quality.Checks("t").completeness(plain, ("upb",), 5.0).non_negative(plain, ("upb",))
-    got = checks.while_writing(rows, lambda df: df.write.parquet(str(tmp_path / "t")))
+    kept, got = checks.while_storing(rows)
+    kept.write.parquet(str(tmp_path / "t"))
     assert sorted(map(str, got.collect())) == sorted(map(str, checks.run(plain).collect()))
     assert seen.value == 3 and spark.read.parquet(str(tmp_path / "t")).count() == 3
+    few, got = checks.while_storing(plain, ["loan_id"])
+    assert few.columns == ["loan_id"] and few.count() == 3
+    assert sorted(map(str, got.collect())) == sorted(map(str, checks.run(plain).collect()))
 
 
 def test_unknown_quarters_are_named(spark):

@@ -355,8 +355,9 @@ def test_each_sensitivity_case_equals_its_own_run(spark, loans):
 def test_loans_without_a_loss_are_counted_in_every_case(spark, loans):
     """Rates and probabilities may be missing: the balance stays, the loss is unknown."""
     cases = loss.sensitivity_cases(PATHS, WEIGHTS, .22, .4, LossSettings(downside="bad"),
-                                   ValidationSettings(cpr_values=(.1,), horizon_values=(12,)))
-    gone = loans.withColumn("pd12", F.when(F.col("stage") != 3, F.col("pd12")))
+                                   ValidationSettings(cpr_values=(.1,), horizon_values=(12,),
+                                                      weight_variants={"mostly bad": {"plain": .1, "good": .1, "bad": .8}}))
+    gone = loans.withColumn("pd12", F.when(F.col("stage") != 2, F.col("pd12")))
     missing = gone.filter("pd12 is null").agg(F.count(F.lit(1)), F.sum("upb")).first()
     assert missing[0] > 0
     whole = {r["position"]: r for r in loss.sensitivity_grid(loans, cases).collect()}
