@@ -44,3 +44,43 @@ def test_audit_message_is_cut_to_its_field(spark):
                                    "rows_monthly int")
     row = warehouse.log_rows(counts, "FAILED", 1.0, "x" * 880).first()
     assert row.message == "x" * 500
+
+
+def test_raw_files_are_small_and_lines_are_not_shuffled(spark, tmp_path):
+    """Written as plain text the months took about 180 bytes each, and were shuffled as lines."""
+    import os
+
+    from workload import q_data
+
+    folder = q_data.raw_folder(spark, SF)
+    paths = q_data.raw_paths(spark, folder)
+    rows = raw_files.read_raw(spark, paths)
+    n = tables.full_panel(spark, SF).count()
+    assert rows.count() == n
+    size = sum(os.path.getsize(p.removeprefix("file:")) for p in paths)
+    assert size < 60 * n
+    per_file = rows.groupBy("vintage").count().count()
+    assert len(paths) <= per_file + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_packed_files_are_ingested_if_named(spark, tmp_path):
+    import gzip
+
+    from lossloom import schema
+    from lossloom.plans.ingest import ingest
+    from lossloom.sources.versions import VersionedWarehouse
+
+    (tmp_path / "raw").mkdir()
+    names = schema.raw_field_names(108)
+    for quarter in ("2018Q1", "2018Q2"):
+        with gzip.open(tmp_path / "raw" / f"Performance_{quarter}.csv.gz", "wt") as f:
+            for loan in "AB":
+                f.write("|".join({"loan_id": loan, "reporting_period": "032018"}.get(c, "")
+                                 for c in names) + "\n")
+    folder, root = str(tmp_path / "raw"), str(tmp_path / "wh")
+    assert ingest(spark, folder, root).count() == 0
+    audit = ingest(spark, folder, root, extensions=(".gz",)).collect()
+    assert {r["vintage"]: (r["status"], r["rows_monthly"]) for r in audit} == {
+        "2018Q1": ("SUCCESS", 2), "2018Q2": ("SUCCESS", 2)}
+    assert VersionedWarehouse(spark, root).read("loan_monthly").count() == 4
