@@ -84,3 +84,22 @@ def test_packed_files_are_ingested_if_named(spark, tmp_path):
     assert {r["vintage"]: (r["status"], r["rows_monthly"]) for r in audit} == {
         "2018Q1": ("SUCCESS", 2), "2018Q2": ("SUCCESS", 2)}
     assert VersionedWarehouse(spark, root).read("loan_monthly").count() == 4
+
+
+def test_versions_arrive_in_many_files_and_one_batch(spark, monkeypatch):
+    """Each version used to be one file, written by one task."""
+    import os
+
+    from lossloom.streaming import corrections
+
+    seen, plain = [], corrections.start_corrections
+
+    def watched(spark, folder, root, *a, **k):
+        seen.append(sum(f.endswith(".parquet") for f in os.listdir(folder.removeprefix("file:"))))
+        return plain(spark, folder, root, *a, **k)
+
+    monkeypatch.setattr(corrections, "start_corrections", watched)
+    rows = QUERIES["i1_row_corrections"](spark, SF).collect()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert seen == [parts, 2 * parts, 3 * parts, 3 * parts, 3 * parts]
+    assert sum(r["n"] for r in rows) == tables.full_panel(spark, SF).count()
