@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lossloom.functions.dates import quarter_start
 from lossloom.operators.drift import stability
-from lossloom.operators.durable import durable
 from lossloom.params import MonitoringSettings
 
 M = MonitoringSettings()
@@ -41,9 +40,11 @@ def backtest(panel: DataFrame, m: MonitoringSettings = M) -> DataFrame:
 
 
 def score_stability(panel: DataFrame, m: MonitoringSettings = M) -> DataFrame:
-    """Score PSI between consecutive quarters: ``from, to, psi, rag``."""
-    values = durable(panel.select("period", F.lit("pred_pd").alias("feature"),
-                                  F.col("pred_pd").alias("x")))  # read three times
+    """Score PSI between consecutive quarters: ``from, to, psi, rag``.
+
+    The panel is read three times: pass stored columns.
+    """
+    values = panel.select("period", F.lit("pred_pd").alias("feature"), F.col("pred_pd").alias("x"))
     psi = stability(values, "period", m.psi_bins)
     return psi.select("from", "to", "psi",
                       traffic_light(F.col("psi"), m.psi_amber, m.psi_red).alias("rag"))

@@ -10,3 +10,16 @@ def test_samples_are_cut_from_stored_rows(spark):
     for name in ("t6_keep_rare_class", "t7_keep_class_rates"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
         assert "o_orderkey" not in plan and "months_on_book" in plan
+
+
+def test_stability_does_not_store_the_panel_again(spark, monkeypatch):
+    """Its callers pass stored columns; it used to write them a second time."""
+    from lossloom.operators import monitoring
+
+    panel = spark.range(400).selectExpr("id % 4 as period", "(id * 37 % 101) / 101e0 as pred_pd")
+    stored, plain = [], type(panel).checkpoint
+    monkeypatch.setattr(type(panel), "checkpoint",
+                        lambda df, *a, **k: stored.append(set(df.columns)) or plain(df, *a, **k))
+    rows = monitoring.score_stability(panel).collect()
+    assert len(rows) == 3 and all(r["psi"] is not None for r in rows)
+    assert {"period", "feature", "x"} not in stored
