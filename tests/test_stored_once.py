@@ -23,3 +23,19 @@ def test_stability_does_not_store_the_panel_again(spark, monkeypatch):
     rows = monitoring.score_stability(panel).collect()
     assert len(rows) == 3 and all(r["psi"] is not None for r in rows)
     assert {"period", "feature", "x"} not in stored
+
+
+def test_overview_stages_the_loans_once(spark, monkeypatch):
+    """Losses and stage counts each computed the features of the whole panel."""
+    from workload import common, q_oversight
+
+    calls, plain = [], common.staged
+
+    def counted(*a):
+        calls.append(a)
+        return plain(*a)
+
+    monkeypatch.setattr(common, "staged", counted)
+    monkeypatch.setattr(q_oversight, "staged", counted)
+    row = q_oversight.s17(spark, SF).first()
+    assert len(calls) == 1 and row["stages"] == 3 and row["n_loans"] > 0

@@ -32,8 +32,9 @@ def verdict(rows):
     return rows.select("check", "passed", "severity")
 
 
-def summary(spark, sf):
-    return durable(loss.loss_summary(loss.loan_losses(book(spark, sf), flat_case(spark, sf))))
+def summary(spark, sf, stages=None):
+    return durable(loss.loss_summary(loss.loan_losses(book(spark, sf, stages),
+                                                      flat_case(spark, sf))))
 
 
 WEIGHTED_LGD = 0.75 * BASE_LGD + 0.25 * DOWNTURN_LGD
@@ -263,8 +264,9 @@ select round(sum(ecl), 1) as total_ecl, round(sum(upb), -1) as total_ead, count(
   round(max(total), 6) as coverage_pct, cast(null as varchar) as monitoring_status,
   count(distinct stage) as stages from loan_ecl join cover on true""")
 def s17(spark, sf):
-    stages = staged(spark, sf).groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
-    view = results.overview(spark, summary(spark, sf), durable(stages))
+    rows = durable(staged(spark, sf))  # one row per loan, for the losses and the counts
+    stages = rows.groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
+    view = results.overview(spark, summary(spark, sf, rows), durable(stages))
     return view.select(
         F.round("total_ecl", 1).alias("total_ecl"), F.round("total_ead", -1).alias("total_ead"),
         "n_loans", F.round("coverage_pct", 6).alias("coverage_pct"), "monitoring_status",
