@@ -27,13 +27,25 @@ def remaining_balance(balance, annual_pct, months, paid) -> Column:
     """Balance left after ``paid`` of ``months`` level payments (never below zero)."""
     b, n = _col(balance), _col(months)
     k = F.least(_col(paid), n)
-    r = monthly_rate(_col(annual_pct))
-    full, part = F.pow(1 + r, n), F.pow(1 + r, k)
-    left = (
+    growth = monthly_growth(_col(annual_pct))
+    return not_below_zero(unpaid(b, _col(annual_pct), n, k, F.pow(growth, n), F.pow(growth, k)))
+
+
+def monthly_growth(annual_pct) -> Column:
+    return 1 + monthly_rate(_col(annual_pct))
+
+
+def unpaid(b: Column, annual_pct: Column, n: Column, k: Column, full: Column, part: Column) -> Column:
+    """The balance after ``k`` of ``n`` payments from the growth over both, for callers that keep these
+    powers in columns: an expression would take each of them several times per row."""
+    return (
         F.when((b <= 0) | (n <= 0), F.lit(0.0))
-        .when(F.abs(r) < 1e-9, F.try_divide(b * (n - k), n))
+        .when(F.abs(monthly_rate(annual_pct)) < 1e-9, F.try_divide(b * (n - k), n))
         .when(F.abs(full - 1) >= 1e-12, F.try_divide(b * (full - part), full - 1))
     )
+
+
+def not_below_zero(left: Column) -> Column:
     return F.when(left.isNotNull(), F.greatest(left, F.lit(0.0)))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossloom.functions.amortization import balance_path, remaining_balance
+from lossloom.functions.amortization import balance_path, monthly_growth, not_below_zero, unpaid
 from lossloom.operators import ranks
 from lossloom.operators.durable import durable
 from lossloom.operators.sampling import sample_one_in
@@ -44,34 +44,50 @@ def schedule_backtest(panel: DataFrame, horizons: tuple = (3, 6, 12, 24)) -> Dat
     ``horizon, n, mean_pred, mean_actual, mae, median_abs_pct_err, actual_to_scheduled``.
     """
     b, r, n = F.col("upb_current"), F.col("note_rate"), F.col("remaining_term")
-    wide = panel.select(*[
-        F.struct(F.lit(h).alias("horizon"), remaining_balance(b, r, n, float(h)).alias("pred"),
-                 F.lead(b, h).over(by_loan()).alias("actual")).alias(f"h{h}") for h in horizons])
-    # One row per loan-month is stored, with all horizons beside each other; means and sketches
-    # of the medians come from one aggregate over it, the medians from one more pass.
-    wide = durable(wide)
-    pred, actual = F.col("v.pred"), F.col("v.actual")
-    errors = {"pct_err": F.abs(pred - actual) / F.greatest(actual, F.lit(1.0)),
-              "ratio": actual / F.greatest(pred, F.lit(1.0))}
-    ahead = wide.select(F.explode(F.array(*wide.columns)).alias("v")).filter(
-        actual.isNotNull() & (pred > 0)).select(
-        "v.horizon", pred.alias("pred"), actual.alias("actual"),
-        *[x.alias(kind) for kind, x in errors.items()])
-    pred, actual = F.col("pred"), F.col("actual")
-    means = durable(ahead.groupBy("horizon").agg(
-        F.count(F.lit(1)).alias("n"), F.avg(pred).alias("mean_pred"),
-        F.avg(actual).alias("mean_actual"), F.avg(F.abs(pred - actual)).alias("mae"),
-        *[ranks.sketch_of(kind, [0.5]).alias(f"_q_{kind}") for kind in errors]))
-    long = lambda df, prefix, name: df.select("horizon", F.explode(F.array(*[
-        F.struct(F.lit(kind).alias("kind"), F.col(prefix + kind).alias(name)) for kind in errors
-    ])).alias("v")).select("horizon", "v.*")
-    sketch = long(means, "_q_", "_q").withColumn("_few", F.lit(False))
-    mid = ranks.exact_quantiles(long(ahead, "", "x"), ["horizon", "kind"], "x", [0.5], sketch)
+    known = panel.select(b, r, n, *[F.lead(b, h).over(by_loan()).alias(f"actual{h}") for h in horizons])
+    # Powers are dear: each is taken once per row, and none for a horizon past the last row of the loan.
+    paid = {h: F.least(F.lit(float(h)), n) for h in horizons}
+    growth = monthly_growth(r)
+    powers = known.withColumns({"_full": F.pow(growth, n), **{
+        f"_part{h}": F.when(F.col(f"actual{h}").isNotNull(), F.pow(growth, k)) for h, k in paid.items()}})
+    left = powers.withColumns({f"pred{h}": unpaid(b, r, n, k, F.col("_full"), F.col(f"_part{h}"))
+                               for h, k in paid.items()})
+    # One flat row per loan-month is stored, with all horizons beside each other: one aggregate over it
+    # gives the means and the sketches of the medians, one more pass the medians.
+    wide = durable(left.select(*[c for h in horizons for c in (
+        f"actual{h}", not_below_zero(F.col(f"pred{h}")).alias(f"pred{h}"))]))
+    errors = {h: {"pct_err": F.abs(pred - actual) / F.greatest(actual, F.lit(1.0)),
+                  "ratio": actual / F.greatest(pred, F.lit(1.0))}
+              for h in horizons for actual, pred in [(F.col(f"actual{h}"), F.col(f"pred{h}"))]}
+    counted = {h: F.col(f"actual{h}").isNotNull() & (F.col(f"pred{h}") > 0) for h in horizons}
+    series = [(h, kind) for h in horizons for kind in errors[h]]
+    terms = []
+    for h, ok in counted.items():
+        actual, pred = F.col(f"actual{h}"), F.col(f"pred{h}")
+        terms += [F.count_if(ok).alias(f"n{h}")]
+        terms += [F.avg(F.when(ok, x)).alias(f"{name}{h}") for name, x in (
+            ("mean_pred", pred), ("mean_actual", actual), ("mae", F.abs(pred - actual)))]
+    kept = wide.select(*wide.columns, *[F.when(counted[h], errors[h][kind]).alias(f"_{i}")
+                                        for i, (h, kind) in enumerate(series)])
+    totals = durable(kept.agg(*terms, *[ranks.sketch_of(f"_{i}", [0.5]).alias(f"_q{i}")
+                                        for i in range(len(series))]))
+    means = totals.select(F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), *[
+        F.col(f"{c}{h}").alias(c) for c in ("n", "mean_pred", "mean_actual", "mae")])
+        for h in horizons])).alias("v")).select("v.*").filter("n > 0")
+    sketch = totals.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("series"), F.col(f"_q{i}").alias("_q")) for i in range(len(series))]))
+        .alias("v")).select("v.*").withColumn("_few", F.lit(False))
+    long = kept.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("series"), F.col(f"_{i}").alias("x")) for i in range(len(series))]))
+        .alias("v")).select("v.*").filter(F.col("x").isNotNull())
+    mid = ranks.exact_quantiles(long, ["series"], "x", [0.5], sketch)
     middle = F.get("quantiles", F.lit(0))
-    medians = mid.groupBy("horizon").agg(
+    of = {name: F.get(F.array(*[F.lit(x) for x in values]), F.col("series"))
+          for name, values in zip(("horizon", "kind"), zip(*series))}
+    medians = mid.withColumns(of).groupBy("horizon").agg(
         F.max(F.when(F.col("kind") == "pct_err", middle)).alias("median_abs_pct_err"),
         F.max(F.when(F.col("kind") == "ratio", middle)).alias("actual_to_scheduled"))
-    return means.drop(*[f"_q_{kind}" for kind in errors]).join(medians, "horizon")
+    return means.join(medians, "horizon")
 
 
 def curtailment_factor(backtest: DataFrame, at_horizon: int = 12) -> DataFrame:
