@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossloom.functions.rates import monthly_prepay_value
+from lossloom.operators.durable import durable
 from lossloom.params import LossSettings, ValidationSettings
 
 LOAN_COLUMNS = ["loan_id", "stage", "pd12", "upb", "rate", "term"]
@@ -233,9 +234,10 @@ def sensitivity_grid(loans: DataFrame, cases: list[tuple]) -> DataFrame:
                                 "out": [np.nansum(upb[m]) for m in lost]})
 
     partial = loans.mapInPandas(kernel, "position int, ecl double, ead double, n bigint, out double")
-    totals = partial.groupBy("position").agg(
+    # One row per case, stored: the base case is read from it too, without a second pass over the loans.
+    totals = durable(partial.groupBy("position").agg(
         F.sum("ecl").alias("total_ecl"), F.sum("ead").alias("_ead"),
-        F.sum("n").alias("n_without_loss"), F.sum("out").alias("ead_without_loss"))
+        F.sum("n").alias("n_without_loss"), F.sum("out").alias("ead_without_loss")))
     names = F.array(*[F.struct(F.lit(lever).alias("lever"), F.lit(value).alias("value"))
                       for lever, value, _ in cases])
     base = totals.filter("position = 0").select("total_ecl").scalar()

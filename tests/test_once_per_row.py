@@ -2,7 +2,10 @@
 
 from datetime import date
 
-from lossloom.operators import exposure
+from pyspark.sql import functions as F
+
+from lossloom.operators import exposure, loss
+from lossloom.params import LossSettings, ValidationSettings
 
 
 def plan_of(df) -> str:
@@ -19,3 +22,17 @@ def test_backtest_takes_each_power_once(spark, monkeypatch):
     out = {r["horizon"]: r for r in exposure.schedule_backtest(frame, (3, 6, 12)).collect()}
     assert {h: r["n"] for h, r in out.items()} == {3: 15, 6: 6}  # no loan has 12 more rows
     assert stored[0].upper().count("POWER(") == 4
+
+
+def test_grid_reads_the_loans_once(spark):
+    """The base case ran the kernel over all loans a second time."""
+    loans = spark.createDataFrame([("a", 1, .02, 1e5, 4.0, 300.0), ("b", 3, .5, 2e5, 5.0, 200.0)],
+                                  "loan_id string, stage int, pd12 double, upb double, rate double, term double")
+    paths = {"base": (.01,) * 60, "downside": (.02,) * 60}
+    cases = loss.sensitivity_cases(paths, {"base": .6, "downside": .4}, .3, .4, LossSettings(),
+                                   ValidationSettings(weight_variants={}))
+    out = loss.sensitivity_grid(loans, cases)
+    assert "InPandas" not in plan_of(out)
+    rows = out.orderBy("position").collect()
+    assert len(rows) == len(cases) and rows[0]["delta_vs_base_pct"] == 0
+    assert out.filter(F.col("total_ecl") <= 0).isEmpty()
