@@ -1,10 +1,12 @@
 """Costly steps run once per row, and once per query."""
 
 from datetime import date
+from math import inf, nan
 
 from pyspark.sql import functions as F
 
 from lossloom.operators import exposure, loss
+from lossloom.operators.binning import WoeMap
 from lossloom.params import LossSettings, ValidationSettings
 
 
@@ -36,3 +38,41 @@ def test_grid_reads_the_loans_once(spark):
     rows = out.orderBy("position").collect()
     assert len(rows) == len(cases) and rows[0]["delta_vs_base_pct"] == 0
     assert out.filter(F.col("total_ecl") <= 0).isEmpty()
+
+
+def woe_map(n: int) -> WoeMap:
+    """``n`` features: every third of single values, the others of ranges."""
+    ranges = [{"kind": "numeric", "hi": h, "value": None, "woe": w}
+              for h, w in [(None, .4), (-1.5, .1), (0.0, -.2), (2.0, .3), (3.0, .7), (5.0, .9), (8.0, 1.1), (9.0, 1.3)]]
+    values = [{"kind": "discrete", "hi": None, "value": v, "woe": w}
+              for v, w in [(2.0, .6), (0.0, .5), (-1.5, -.7), (7.0, .8), (8.0, .9), (9.0, 1.0), (10.0, 1.2)]]
+    null = {"kind": "null", "hi": None, "value": None, "woe": -.9}
+    return WoeMap({f"f{i}": [*(values if i % 3 == 0 else ranges), *([null] if i % 2 else [])]
+                   for i in range(n)} | {"only_null": [null], "open": [dict(ranges[0])]})
+
+
+def test_bins_are_found_as_by_their_conditions(spark):
+    points = [-inf, -2.0, -1.5, -1.4, -0.0, 0.0, 5e-324, 1.9, 2.0, 2.0000000000000004, 9.0, 10.0, inf, nan, None]
+    woe = woe_map(4)
+    rows = spark.createDataFrame([tuple([x] * len(woe.bins)) for x in points],
+                                 ", ".join(f"{f} double" for f in woe.bins))
+    out = woe.transform(rows)
+    assert out.columns == [*rows.columns, *[f"{f}_woe" for f in woe.bins]]
+    wrong = out.select(*[(~F.col(f"{f}_woe").eqNullSafe(woe.column(f))).cast("int").alias(f) for f in woe.bins])
+    assert list(wrong.agg(*[F.sum(f) for f in woe.bins]).first()) == [0] * len(woe.bins)
+
+
+def test_bins_of_many_features_make_a_method_that_is_compiled(spark):
+    """Java leaves methods of over 8,000 bytes to the interpreter; the conditions made one of 14,720 here."""
+    woe = woe_map(16)
+    rows = spark.range(40, numPartitions=1).select(*[F.when(F.col("id") % (i + 3) > 0, F.col("id") - 9.5).alias(f)
+                                                      for i, f in enumerate(woe.bins)]).localCheckpoint()
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scored = woe.transform(rows).agg(*[F.sum(f"{f}_woe") for f in woe.bins])
+        stages = scored._jdf.queryExecution().debug().codegenToSeq()
+        longest = max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert longest < 8000
