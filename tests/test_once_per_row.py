@@ -76,3 +76,19 @@ def test_bins_of_many_features_make_a_method_that_is_compiled(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
     assert longest < 8000
+
+
+def test_month_state_stores_only_the_new_months(spark, monkeypatch):
+    """The whole panel was stored, and read again for every month."""
+    from workload import q_models
+
+    stored, plain = [], q_models.durable
+
+    def kept(df):
+        out = plain(df)
+        stored.append(out.agg(F.min("reporting_period"), F.max("reporting_period")).first())
+        return out
+
+    monkeypatch.setattr(q_models, "durable", kept)
+    assert q_models.l6_new(spark, "/root/testdata/sf0.001").count() > 0
+    assert [(str(a), str(b)) for a, b in stored] == [("2000-01-01", "2000-03-01")]
