@@ -78,6 +78,22 @@ def test_bins_of_many_features_make_a_method_that_is_compiled(spark):
     assert longest < 8000
 
 
+def test_tally_labels_the_panel_once(spark, monkeypatch):
+    """Its rate and its scores each took the windows of the labels."""
+    from workload import common, q_cohort, q_models, q_oversight
+
+    calls, plain = [], common.closed
+
+    def counted(*a):
+        calls.append(a)
+        return plain(*a)
+
+    for module in (common, q_cohort, q_oversight):
+        monkeypatch.setattr(module, "closed", counted)
+    row = q_oversight.v8(spark, "/root/testdata/sf0.001").first()
+    assert len(calls) == 1 and row["n_advisory"] == 1
+
+
 def test_month_state_stores_only_the_new_months(spark, monkeypatch):
     """The whole panel was stored, and read again for every month."""
     from workload import q_models

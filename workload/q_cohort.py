@@ -196,9 +196,12 @@ def a18(spark, sf):
     return staging.trigger_counts(staged(spark, sf))
 
 
-def flat_case(spark, sf):
-    """Scenario paths that depend on the data through the long-run rate only."""
-    ttc = closed(spark, sf).agg(F.avg("target")).first()[0]
+def flat_case(spark, sf, rows=None):
+    """Scenario paths that depend on the data through the long-run rate only.
+
+    ``rows`` are the closed labelled rows, if the caller has them.
+    """
+    ttc = (closed(spark, sf) if rows is None else rows).agg(F.avg("target")).first()[0]
     horizon = SCENARIOS.horizon
     paths = {"base": tuple(ttc * (1 + t / 200) for t in range(1, horizon + 1)),
              "upside": tuple(ttc * (0.8 - t / 400) for t in range(1, horizon + 1)),

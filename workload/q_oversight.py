@@ -32,9 +32,9 @@ def verdict(rows):
     return rows.select("check", "passed", "severity")
 
 
-def summary(spark, sf, stages=None):
+def summary(spark, sf, stages=None, rows=None):
     return durable(loss.loss_summary(loss.loan_losses(book(spark, sf, stages),
-                                                      flat_case(spark, sf))))
+                                                      flat_case(spark, sf, rows))))
 
 
 WEIGHTED_LGD = 0.75 * BASE_LGD + 0.25 * DOWNTURN_LGD
@@ -112,8 +112,9 @@ def v7(spark, sf):
 select cast(s1 <= s2 and s2 <= s3 as bigint) + cast(total between 5e-2 and 2 as bigint) as n_error_passed,
   2 as n_error_checks, 1 as n_advisory from cover""")
 def v8(spark, sf):
-    s = summary(spark, sf)
-    table = metrics.calibration_table(slices(spark, sf))
+    rows = closed(spark, sf)  # for the long-run rate and the scores
+    s = summary(spark, sf, rows=rows)
+    table = metrics.calibration_table(slices(spark, sf, rows))
     return validation.tally(validation.all_checks(
         validation.coverage_rises_by_stage(s), validation.coverage_in_range(s),
         validation.raw_calibration(table)))
