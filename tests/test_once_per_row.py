@@ -108,3 +108,16 @@ def test_month_state_stores_only_the_new_months(spark, monkeypatch):
     monkeypatch.setattr(q_models, "durable", kept)
     assert q_models.l6_new(spark, "/root/testdata/sf0.001").count() > 0
     assert [(str(a), str(b)) for a, b in stored] == [("2000-01-01", "2000-03-01")]
+
+
+def test_prepay_dataset_is_stored_narrow(spark, monkeypatch):
+    """All columns of the feature panel were stored with it."""
+    from lossloom.plans import prepayment
+    from workload import q_models
+
+    stored, plain = [], prepayment.durable
+    monkeypatch.setattr(prepayment, "durable", lambda df: stored.append(set(df.columns)) or plain(df))
+    rows = q_models.l5(spark, "/root/testdata/sf0.001").collect()
+    assert {(r["split"], r["target"]) for r in rows} == {(s, t) for s in ("train", "test") for t in (0, 1)}
+    assert {"months_on_book", "incentive_burnout", "split"} <= stored[0]
+    assert not {"state", "cum_principal_paid", "vintage"} & stored[0]
