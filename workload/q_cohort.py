@@ -28,6 +28,7 @@ from workload.common import (
     closed,
     feat,
     lgd,
+    long_run_rate,
     losses,
     scored,
     scratch,
@@ -137,7 +138,7 @@ def a11(spark, sf):
 
 @query("a12_long_run_rate", "select avg(target) as ttc_pd from @closed")
 def a12(spark, sf):
-    return closed(spark, sf).agg(F.avg("target").alias("ttc_pd"))
+    return long_run_rate(spark, sf).withColumnRenamed("target", "ttc_pd")
 
 
 @query("a13_first_row_per_loan", """
@@ -201,7 +202,7 @@ def flat_case(spark, sf, rows=None):
 
     ``rows`` are the closed labelled rows, if the caller has them.
     """
-    ttc = (closed(spark, sf) if rows is None else rows).agg(F.avg("target")).first()[0]
+    ttc = (long_run_rate(spark, sf) if rows is None else rows.agg(F.avg("target"))).first()[0]
     horizon = SCENARIOS.horizon
     paths = {"base": tuple(ttc * (1 + t / 200) for t in range(1, horizon + 1)),
              "upside": tuple(ttc * (0.8 - t / 400) for t in range(1, horizon + 1)),

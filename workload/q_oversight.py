@@ -16,6 +16,7 @@ from workload.common import (
     SCENARIOS,
     book,
     closed,
+    long_run_rate,
     losses,
     scored,
     snapshot,
@@ -97,7 +98,7 @@ def v5(spark, sf):
 select 'effective_pd_calibration' as "check", (select avg(pd_now) from @snapshot)
   / (select avg(target) from @closed) between 3e-1 and 3 as passed, 'error' as severity""")
 def v6(spark, sf):
-    ttc = closed(spark, sf).agg(F.avg("target")).first()[0]
+    ttc = long_run_rate(spark, sf).first()[0]
     return verdict(validation.effective_calibration(snapshot(spark, sf), ttc))
 
 

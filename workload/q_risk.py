@@ -25,6 +25,7 @@ from workload.common import (
     closed,
     feat,
     lgd,
+    long_run_rate,
     losses,
     macro_table,
     score,
@@ -294,7 +295,7 @@ def factor_paths(spark, sf, clamp=True):
 
 
 def pit_paths(spark, sf):
-    ttc = closed(spark, sf).agg(F.avg("target").alias("t")).scalar()
+    ttc = long_run_rate(spark, sf).scalar()
     return scenarios.default_paths(factor_paths(spark, sf), ttc, RHO)
 
 
