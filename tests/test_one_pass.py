@@ -1,11 +1,11 @@
-"""Rates take one pass over the rows."""
+"""Rates and sketches take one pass over the rows."""
 
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from lossloom.operators import labels
+from lossloom.operators import binning, labels, ranks
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,3 +29,20 @@ def test_long_run_rate_stores_no_loan_months(spark, monkeypatch):
     assert stored == [["month", "n", "bad"]]
     ttc = common.closed(spark, SF).agg(F.avg("target")).first()[0]
     assert case.multipliers == q_cohort.flat_case(spark, SF, common.closed(spark, SF)).multipliers and ttc > 0
+
+
+def test_bins_sketch_all_columns_in_one_row_of_aggregates(spark, monkeypatch):
+    """Every value was a row of its own, grouped by the name of its column."""
+    nan = float("nan")
+    rows = spark.range(5000).select(
+        (F.col("id") % 7).alias("few"), (F.col("id") * 37 % 4999 / 3.0).alias("many"),
+        F.when(F.col("id") % 3 == 0, F.lit(nan)).when(F.col("id") % 3 == 1, -0.0).alias("odd"),
+        F.lit(None).cast("double").alias("none"), (F.col("id") % 4 == 0).cast("int").alias("target"))
+    names, probs, given = ["few", "many", "odd", "none"], [i / 8 for i in range(9)], []
+    plain = ranks.ranked_counts
+    monkeypatch.setattr(ranks, "ranked_counts", lambda *a, **k: given.append(k.get("sketch")) or plain(*a, **k))
+    new = {tuple(r) for r in binning.woe_table(rows, names, "target").collect()}
+    assert {r["feature"]: (r["_few"], r["_q"] is None) for r in given[0].collect()} == {
+        "few": (True, False), "many": (False, False), "odd": (True, False), "none": (True, True)}
+    monkeypatch.setattr(ranks, "ranked_counts", lambda *a, **k: plain(*a, **{**k, "sketch": None}))
+    assert {tuple(r) for r in binning.woe_table(rows, names, "target").collect()} == new
