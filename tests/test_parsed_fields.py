@@ -10,7 +10,8 @@ from lossloom.sources import raw_files
 NAMES = schema.raw_field_names(108)
 LINES = ["|".join(str(i) for i in range(n)) for n in (1, 3, 12, 13, 108, 110)] + [
     "", "|" * 107, "|" * 120, None, 'a|"b|c"|d|"e""f"|' + "x|" * 120, 'a|"open|b|c' + "|" * 104, "a|b\nc|d",
-    "\\a|b\\|c|d", " a | b |\t", '"q"|""|"|"|' + "y|" * 104, "\n1|2", "#1|2|3", "ä|世|\U0001f600"]
+    "\\a|b\\|c|d", " a | b |\t", '"q"|""|"|"|' + "y|" * 104, "\n1|2", "#1|2|3", "\x00a|b|c",
+    "\r\n1|2|3", "a\rb|c\n" + "|" * 107, "|", "\n", "'a|b'|c", '1|2|3|4|5|6|7|8|9|10|11|12|"13|14"|15' + "|" * 94, "ä|世|\U0001f600"]
 
 
 @pytest.mark.parametrize("columns", [["loan_id"], ["upb_current", "reporting_period"], [NAMES[-1]], [NAMES[0]], []])
@@ -31,6 +32,14 @@ def test_fields_behind_the_wanted_ones_are_not_made(spark):
         raw_files.parse_lines(spark.createDataFrame([("1|2",)], "line string"), columns=["loan_id", "nothing"])
 
 
+def test_lines_without_quotes_are_cut(spark):
+    """Every line with fields behind the wanted ones was reported as malformed, by an exception."""
+    lines = spark.createDataFrame([("7|8" + "|x" * 106,)], "line string")
+    plan = raw_files.parse_lines(lines, columns=["loan_id"])._jdf.queryExecution().analyzed().toString()
+    assert "substring_index(line" in plan
+    assert "substring_index" not in raw_files.parse_lines(lines)._jdf.queryExecution().analyzed().toString()
+
+
 def test_months_are_read_as_by_their_format(spark):
     """A format was tried on every text, which took longer than the parsing of the line."""
     odd = ["", " 12018", "012018\n", "1٣" + "2018", "0120180", "13x018", "+12018", "-12018", "01201", None]
