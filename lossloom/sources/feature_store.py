@@ -13,8 +13,8 @@ from lossloom.sources.warehouse import Warehouse, open_writers
 TABLE = "feature_store"
 # First vintage of a loan: one value per loan, and the vintage itself if the loan has only one.
 HOME = "home_vintage"
-# With 27 to 48 months per loan and 300 bytes per row, the sort of a part takes 0.8 to 1.5 GB.
-LOANS_PER_PART = 100_000
+# With 27 to 48 months per loan and 300 bytes per row, the sort of a part takes 0.4 to 0.8 GB.
+LOANS_PER_PART = 50_000
 
 
 def place_loans(loans: DataFrame) -> DataFrame:
