@@ -243,7 +243,7 @@ def forms(words: DataFrame, pairs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct(-F.col("m"), F.col("near"))).alias("best"))
     best_n = -F.col("best.col1")
     taken = best_n >= FACTOR * F.col("n")
-    return words.join(per, "word", "left").select(
+    return words.join(per.hint("merge"), "word", "left").select(  # one row per word: never broadcast
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(taken, F.col("best.near")).alias("form"), F.when(taken, best_n).alias("form_n"))
 
@@ -260,7 +260,7 @@ def with_roots(rows: DataFrame) -> DataFrame:
         links = met.select("word", F.coalesce("to", "root").alias("root"))
         if met.filter("to is not null").isEmpty():
             break
-    return rows.join(links, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return rows.join(links.hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def spelling_variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

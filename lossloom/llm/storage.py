@@ -43,4 +43,5 @@ def join_on_hot_key(left: DataFrame, right: DataFrame, key: str, spread: str,
         return left.join(F.broadcast(right), key, how)
     salted = left.withColumn("__ll_salt", F.pmod(F.hash(spread), F.lit(SALTS)))
     copies = right.withColumn("__ll_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [key, "__ll_salt"], how).drop("__ll_salt")
+    # Spark takes the copies for as large as ``right``, so it would broadcast up to SALTS times its limit.
+    return salted.join(copies.hint("merge"), [key, "__ll_salt"], how).drop("__ll_salt")
