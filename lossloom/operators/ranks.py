@@ -73,19 +73,21 @@ def compact_counts(df: DataFrame, by: Sequence[str], value: str, probabilities:
             (F.approx_count_distinct(value) <= FEW_VALUES).alias("_few"))
     n = len(probabilities)
     x, q = F.col(value), F.col("_q")
-    inside = F.coalesce(F.col("_few"), F.lit(True))
-    cell = F.lit(0)
+    # Both ends rise with the interval, so a value can only be in the first one that does not end below it.
+    # Few conditions, counted once: more make a method that is too long to be compiled.
+    ended = F.lit(0)
     for i in range(n):
-        inside = inside | ((x >= F.get(q, F.lit(i))) & (x <= F.get(q, F.lit(n + i))))
-        cell = cell + F.when(x > F.get(q, F.lit(n + i)), 1).otherwise(0)
+        ended = ended + F.when(x > F.get(q, F.lit(n + i)), 1).otherwise(0)
+    cell = F.col("_ended")
+    inside = F.coalesce(F.col("_few"), F.lit(True)) | (
+        (cell < n) & (x >= F.get(q, F.when(cell < n, cell))))
     if by:
         joined = rows.join(small_side(sketch), list(by))
     else:
         joined = rows.withColumns({c: sketch.select(c).scalar() for c in ("_q", "_few")})
-    kept = F.when(inside | x.isNull(), x)
-    placed = joined.withColumns({
-        "_kept": kept,
-        "_cell": F.when(x.isNull(), F.lit(-1)).when(inside, F.lit(None)).otherwise(cell)})
+    placed = joined.withColumn("_ended", ended).withColumn("_inside", inside).withColumns({
+        "_kept": F.when(F.col("_inside") | x.isNull(), x),
+        "_cell": F.when(x.isNull(), F.lit(-1)).when(F.col("_inside"), F.lit(None)).otherwise(cell)})
     merged = placed.groupBy(*by, "_cell", "_kept").agg(
         F.count(value).alias("n"), F.min(value).alias("_min"), F.max(value).alias("_max"),
         *[F.sum(name).alias(name) for name in sums])

@@ -32,3 +32,31 @@ def test_words_are_not_broadcast(spark):
     assert "BroadcastHashJoin" not in plan(roots)
     assert {(r.word, r.root) for r in roots.collect()} == {
         ("aaaaa", "aaaaa"), ("aaaab", "aaaaa"), ("bbbbb", "bbbbb")}
+
+
+def test_monitoring_stores_its_panel_once(spark, monkeypatch):
+    """The labelled rows were stored, and the scored ones again."""
+    from workload.catalog import QUERIES
+
+    probe, stored = spark.range(1), []
+    plain = type(probe).checkpoint
+    monkeypatch.setattr(type(probe), "checkpoint",
+                        lambda df, *a, **k: stored.append(set(df.columns)) or plain(df, *a, **k))
+    QUERIES["v14_monitoring_run"](spark, SF).collect()
+    assert not any(s & {"count_30dpd_12m", "pred_pd"} for s in stored)
+
+
+def test_few_conditions_place_a_value(spark):
+    """Each of 11 intervals was compared four times in one method, too long to be compiled."""
+    from lossloom.operators import ranks
+
+    probs = [i / 10 for i in range(11)]
+    rows = spark.range(40_000).selectExpr("id % 3 as g", "pmod(hash(id), 10007) / 7e0 as x")
+    counts = ranks.compact_counts(rows, ["g"], "x", probs)
+    text = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("_q#") < 60
+    assert {r.g: r.n for r in counts.groupBy("g").agg(F.sum("n").alias("n")).collect()} == {
+        0: 13334, 1: 13333, 2: 13333}
+    found = {r.g: r.quantiles for r in ranks.exact_quantiles(rows, ["g"], "x", probs).collect()}
+    for r in rows.groupBy("g").agg(F.percentile("x", probs).alias("q")).collect():
+        assert all(abs(a - b) < 1e-9 for a, b in zip(found[r.g], r.q, strict=True))

@@ -5,8 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lossloom.operators import drift, loss, metrics, monitoring, scenarios, severity, validation
-from lossloom.operators.durable import durable
+from lossloom.operators import (
+    drift,
+    labels,
+    loss,
+    metrics,
+    monitoring,
+    scenarios,
+    severity,
+    validation,
+)
+from lossloom.operators.durable import durable, durable_columns
 from lossloom.params import ValidationSettings
 from lossloom.sources import results
 from workload.common import (
@@ -16,6 +25,7 @@ from workload.common import (
     SCENARIOS,
     book,
     closed,
+    labelled,
     long_run_rate,
     losses,
     scored,
@@ -238,7 +248,10 @@ WORST = ("case when count(*) = 0 then 'n/a' when count(case when rag = 'RED' the
 
 
 def lights(spark, sf):
-    panel = durable(backtest_panel(spark, sf).select("period", "pred_pd", "target"))
+    """The panel is stored once, scored and before the cut, which needs its last month."""
+    rows = scored(spark, sf, labelled(spark, sf)).withColumnRenamed("p", "pred_pd")
+    panel = labels.drop_open_window(durable_columns(monitoring.with_quarter(rows).select(
+        "reporting_period", "period", "pred_pd", "target")), 12)
     return monitoring.lights(monitoring.backtest(panel), monitoring.score_stability(panel))
 
 
