@@ -1,5 +1,7 @@
 """What grows with the tables is neither broadcast, copied nor read without need."""
 
+from pyspark.sql import functions as F
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -34,6 +36,37 @@ def test_words_are_not_broadcast(spark):
         ("aaaaa", "aaaaa"), ("aaaab", "aaaaa"), ("bbbbb", "bbbbb")}
 
 
+def test_a_batch_is_merged_without_a_copy(spark, tmp_path, monkeypatch):
+    """The batch was cached, and shuffled before its rows met the old ones."""
+    from lossloom.sources.versions import VersionedWarehouse
+    from lossloom.streaming import corrections
+
+    calls, plain = [], corrections.newest_rows
+    monkeypatch.setattr(corrections, "newest_rows", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    kept = []
+    rows = spark.createDataFrame([(1, 1, 1, 5.0, "2018Q1"), (1, 1, 3, 6.0, "2018Q1"), (2, 1, 2, 7.0, "2018Q1")],
+                                 "loan_id long, reporting_period int, version int, upb double, vintage string")
+    monkeypatch.setattr(type(rows), "persist", lambda df, *a, **k: kept.append(1) or df)
+    store = VersionedWarehouse(spark, str(tmp_path))
+    for batch in (rows, rows.withColumn("upb", F.lit(1.0)).withColumn("version", F.lit(2))):
+        corrections.merge_corrections(store, batch, "t", 2)
+    assert not kept and len(calls) == 2
+    assert sorted((r.loan_id, r.version, r.upb) for r in store.read("t").collect()) == [(1, 3, 6.0), (2, 2, 7.0)]
+
+
+def test_replaced_parts_are_deleted(spark, monkeypatch):
+    """Every load of the corrections stayed on disk."""
+    import os
+
+    from workload import q_data
+    from workload.catalog import QUERIES
+
+    roots, plain = [], q_data.scratch
+    monkeypatch.setattr(q_data, "scratch", lambda s: roots.append(plain(s)) or roots[-1])
+    assert QUERIES["i1_row_corrections"](spark, SF).count() > 0
+    assert len(os.listdir(f"{roots[0].removeprefix('file:')}/wh/data/rows")) == 1
+
+
 def test_monitoring_stores_its_panel_once(spark, monkeypatch):
     """The labelled rows were stored, and the scored ones again."""
     from workload.catalog import QUERIES
