@@ -1,5 +1,7 @@
 """What grows with the tables is neither broadcast, copied nor read without need."""
 
+import gzip
+
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -67,6 +69,24 @@ def test_replaced_parts_are_deleted(spark, monkeypatch):
     assert len(os.listdir(f"{roots[0].removeprefix('file:')}/wh/data/rows")) == 1
 
 
+def test_widths_need_the_first_lines_only(spark, tmp_path):
+    """A job decompressed and measured every line of every file."""
+    from lossloom.sources import raw_files
+
+    (tmp_path / "Performance_2018Q1.csv").write_text("a|b|c\r\n1|2\n")
+    (tmp_path / "Performance_2018Q2.csv").write_text("")
+    (tmp_path / "Performance_2018Q3.csv").write_text("\n1|2\n")
+    with gzip.open(tmp_path / "Performance_2018 Q4.csv.gz", "wt") as f:
+        f.write("é|b\n1|2|3|4\n")
+    sc = spark.sparkContext
+    sc.setJobGroup("widths", "widths")
+    widths = raw_files.first_line_widths(spark, [str(f) for f in sorted(tmp_path.iterdir())])
+    jobs = sc.statusTracker().getJobIdsForGroup("widths")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs and widths == {
+        "Performance_2018Q1.csv": 3, "Performance_2018Q3.csv": 1, "Performance_2018 Q4.csv.gz": 2}
+
+
 def test_monitoring_stores_its_panel_once(spark, monkeypatch):
     """The labelled rows were stored, and the scored ones again."""
     from workload.catalog import QUERIES
